@@ -1,0 +1,77 @@
+"""Registered queries: each reads the driver's tables at ``sf_dir`` and returns a
+DataFrame; ``ORACLES`` holds the DuckDB SQL that must give the same rows.
+
+Every query runs over whole tables.  Column names and types are aliased identically
+on both sides.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..operators import dedup, extract, resume
+from ..sources import tables
+from . import oracles as O
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+
+def register(name: str, oracle: str | None = None):
+    def deco(fn):
+        QUERIES[name] = fn
+        if oracle is not None:
+            ORACLES[name] = oracle
+        return fn
+    return deco
+
+
+# --- shared inputs ------------------------------------------------------------------
+
+def fixture_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents -> raw_entries -> long form."""
+    docs = tables.read_table(spark, sf_dir, "documents")
+    return extract.unpivot_variants(tables.raw_entries(docs))
+
+
+def fixture_log(entries: DataFrame) -> DataFrame:
+    return tables.log_from_entries(entries)
+
+
+def fixture_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
+    entries = fixture_entries(spark, sf_dir)
+    return resume.pending(entries, fixture_log(entries))
+
+
+# --- M1: tables ---------------------------------------------------------------------
+
+@register("q_pending_per_file", O.with_(*O.BASE) + """
+SELECT p.filepath, CAST(p.n_pending AS BIGINT) AS n_pending,
+       CAST(g.n_groups AS BIGINT) AS n_groups, CAST(g.n_deduped AS BIGINT) AS n_deduped,
+       CAST(g.n_units AS BIGINT) AS n_units
+FROM (SELECT filepath, count(*) AS n_pending FROM pending GROUP BY filepath) p
+JOIN (SELECT filepath, count(*) AS n_groups,
+             sum(CASE WHEN f_idx IS NOT NULL AND m_idx IS NOT NULL AND f_text = m_text
+                      THEN 1 ELSE 0 END) AS n_deduped,
+             sum(CASE WHEN f_idx IS NOT NULL AND m_idx IS NOT NULL AND f_text = m_text THEN 1
+                      ELSE (f_idx IS NOT NULL)::INT + (m_idx IS NOT NULL)::INT END) AS n_units
+      FROM groups GROUP BY filepath) g ON p.filepath = g.filepath
+""")
+def q_pending_per_file(spark, sf_dir):
+    """Flagship: pending translation units per file.  Unpivot, null-safe
+    anti join, last-wins grouping and pair dedup."""
+    p = fixture_pending(spark, sf_dir)
+    g = dedup.group_entries(p)
+    f, m = F.col("female"), F.col("male")
+    dd = f.isNotNull() & m.isNotNull() & (f.source_text == m.source_text)
+    per_group = g.groupBy("filepath").agg(
+        F.count(F.lit(1)).alias("n_groups"),
+        F.count_if(dd).alias("n_deduped"),
+        F.sum(F.when(dd, F.lit(1)).otherwise(f.isNotNull().cast("int") + m.isNotNull().cast("int")))
+         .cast("long").alias("n_units"))
+    per_file = p.groupBy("filepath").agg(F.count(F.lit(1)).alias("n_pending"))
+    return per_file.join(per_group, "filepath").select(
+        "filepath", "n_pending", "n_groups", "n_deduped", "n_units")
