@@ -75,3 +75,80 @@ def q_pending_per_file(spark, sf_dir):
     per_file = p.groupBy("filepath").agg(F.count(F.lit(1)).alias("n_pending"))
     return per_file.join(per_group, "filepath").select(
         "filepath", "n_pending", "n_groups", "n_deduped", "n_units")
+
+
+@register("q_extract_long", O.with_(O.RAW_ENTRIES, O.ENTRIES) + """
+SELECT filepath, entry_idx, variant_idx, field, string_key, string_id, source_text
+FROM entries
+""")
+def q_extract_long(spark, sf_dir):
+    """Two variants per entry in long form; blank variants dropped."""
+    return fixture_entries(spark, sf_dir).select(
+        "filepath", "entry_idx", "variant_idx", "field", "string_key", "string_id",
+        "source_text")
+
+
+@register("q_resume_pending", O.with_(O.RAW_ENTRIES, O.ENTRIES, O.LOG, O.PENDING) + """
+SELECT filepath, entry_idx, variant_idx, field, string_key, string_id FROM pending
+""")
+def q_resume_pending(spark, sf_dir):
+    """Entries not yet in the log (null-safe key)."""
+    return fixture_pending(spark, sf_dir).select(
+        "filepath", "entry_idx", "variant_idx", "field", "string_key", "string_id")
+
+
+@register("q_done_keys", O.with_(O.RAW_ENTRIES, O.ENTRIES, O.LOG) + """
+SELECT CAST(count(*) AS BIGINT) AS n_done_keys
+FROM (SELECT DISTINCT filepath, string_key, string_id, field FROM log) k
+""")
+def q_done_keys(spark, sf_dir):
+    """A3: distinct done keys of the log."""
+    return resume.done_key_count(fixture_log(fixture_entries(spark, sf_dir)))
+
+
+@register("q_pair_dedup", O.with_(*O.BASE, O.UNITS) + """
+SELECT filepath, string_key, string_id, first_entry_idx, variant_idx, field, entry_idx,
+       source_text, is_dedup
+FROM units
+""")
+def q_pair_dedup(spark, sf_dir):
+    """A1, A2: last duplicate wins per group and field; identical pairs sent once."""
+    return dedup.plan_units(fixture_pending(spark, sf_dir))
+
+
+@register("q_plan_counts", O.with_(*O.BASE) + """
+SELECT 'n_pending' AS metric, CAST(count(*) AS BIGINT) AS value FROM pending
+UNION ALL SELECT 'n_groups', CAST(count(*) AS BIGINT) FROM groups
+UNION ALL SELECT 'n_deduped', CAST(count(*) FILTER (WHERE f_idx IS NOT NULL AND m_idx IS NOT NULL
+                                                 AND f_text = m_text) AS BIGINT) FROM groups
+UNION ALL SELECT 'n_units', CAST(sum(CASE WHEN f_idx IS NOT NULL AND m_idx IS NOT NULL
+                                           AND f_text = m_text THEN 1
+                                      ELSE (f_idx IS NOT NULL)::INT + (m_idx IS NOT NULL)::INT
+                                      END) AS BIGINT) FROM groups
+""")
+def q_plan_counts(spark, sf_dir):
+    """A5: plan counters (pending, groups, deduped pairs, units)."""
+    return dedup.plan_counts(fixture_pending(spark, sf_dir))
+
+
+# --- M3: batches and requests -------------------------------------------------------
+
+BATCH_SIZE = 40
+
+
+def fixture_batches(spark, sf_dir, batch_size: int = BATCH_SIZE) -> DataFrame:
+    from ..operators import batching
+    units = dedup.plan_units(fixture_pending(spark, sf_dir))
+    return batching.assign_batches(units, batching.unit_order(), batch_size)
+
+
+@register("q_batches", O.with_(*O.BASE, O.UNITS, O.NUMBERED) + f"""
+SELECT filepath, string_key, string_id, field, CAST(idx AS BIGINT) AS unit_idx,
+       CAST(idx // {BATCH_SIZE} AS BIGINT) AS batch_id, CAST(idx % {BATCH_SIZE} AS INTEGER) AS pos
+FROM numbered
+""")
+def q_batches(spark, sf_dir):
+    """Contiguous batches of 40 units in unit order, numbered without a
+    single-partition window."""
+    return fixture_batches(spark, sf_dir).select(
+        "filepath", "string_key", "string_id", "field", "unit_idx", "batch_id", "pos")
