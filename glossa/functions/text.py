@@ -73,8 +73,8 @@ def py_float_repr(java_text) -> Column:
     ip = F.split_part(mant, F.lit("."), F.lit(1))
     fp = F.split_part(mant, F.lit("."), F.lit(2))
     raw = F.concat(ip, fp)
-    lead = F.length(raw) - F.length(F.ltrim(raw, "0"))
-    digits = F.rtrim(F.ltrim(raw, "0"), "0")
+    lead = F.length(raw) - F.length(F.ltrim(raw, F.lit("0")))
+    digits = F.rtrim(F.ltrim(raw, F.lit("0")), F.lit("0"))
     n = F.length(digits)
     point = F.length(ip) + exp - lead
     x = point - 1
@@ -108,9 +108,9 @@ def py_str_variant(v) -> Column:
     dec_scale0 = F.regexp_extract(t, r"^DECIMAL\((\d+),0\)$", 1)
     as_text = v.cast("string")
     return (F.when(v.isNull(), F.lit(None).cast("string"))
+            .when(t == "STRING", as_text)
             .when(t == "VOID", F.lit("None"))
             .when(t == "BOOLEAN", F.initcap(as_text))
-            .when(t == "STRING", as_text)
             .when(t.isin("BIGINT", "INT", "SMALLINT", "TINYINT"), as_text)
             # an integer too long for BIGINT is DECIMAL(p,0) with p >= 19: keep the digits
             .when((dec_scale0 != "") & (dec_scale0.cast("int") >= 19), as_text)

@@ -26,6 +26,8 @@ from .extract import strict_json
 
 # --- fixed values -------------------------------------------------------------------
 FENCE = "```"
+# a JSON string literal (unrolled, possessive: linear and without deep recursion)
+JSON_STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
 STATUS_OK = "ok"
 # ------------------------------------------------------------------------------------
 
@@ -81,7 +83,13 @@ def parse_replies(df: DataFrame, text_col: str = "reply", n_col: str = "n") -> D
     s2 = s1.withColumn("_v", F.coalesce(whole, fallback))
     arr = F.col("_v").try_cast("array<variant>")
     s3 = s2.withColumn("_arr", arr)
-    nested = F.exists(F.col("_arr"), lambda x: F.schema_of_variant(x).rlike("^(OBJECT|ARRAY)"))
+    # The skeleton is the array's canonical JSON with every string literal emptied; an
+    # item is nested iff '[' or '{' remains inside the outer brackets.  This keeps the
+    # status free of lambdas, so filters on it stay in generated code.
+    skeleton = F.regexp_replace(F.to_json(F.col("_arr")), JSON_STRING, '""')
+    s3 = s3.withColumn("_skel", skeleton)
+    inner = F.substr(F.col("_skel"), F.lit(2), F.length("_skel") - 2)
+    nested = inner.rlike(r"[\[{]")
     status = (F.when(prior.isNotNull(), prior)
                .when(F.col(text_col).isNull() | F.col("_v").isNull(), F.lit("invalid_json"))
                .when(F.col("_arr").isNull(), F.lit("not_array"))
@@ -98,13 +106,23 @@ def parse_replies(df: DataFrame, text_col: str = "reply", n_col: str = "n") -> D
               .when(F.col("status") == "invalid_json", F.lit("Reply is not valid JSON")))
     out = s4.withColumn("error", F.when(F.col("error").isNotNull(), F.col("error"))
                         .otherwise(error) if "error" in df.columns else error)
-    out = out.withColumn("items", F.when(F.col("status") == STATUS_OK,
-                                         F.transform("_arr", lambda x: py_str_variant(x))))
-    return out.drop("_body", "_v", "_arr")
+    # all-string replies (the normal case) are read natively; only replies with other
+    # scalars go through the per-item Python ``str`` rendering
+    all_strings = F.col("_skel").rlike(r'^\[(""(,"")*)?\]$')
+    items = (F.when(all_strings, F.from_json(F.to_json(F.col("_arr")), "array<string>"))
+              .otherwise(F.transform("_arr", lambda x: py_str_variant(x))))
+    out = out.withColumn("items", F.when(F.col("status") == STATUS_OK, items))
+    return out.drop("_body", "_v", "_arr", "_skel")
 
 
 def explode_items(parsed: DataFrame, keep=("batch_id",)) -> DataFrame:
-    """J4 input: one row per (batch_id, pos, translated_text) of the ok replies."""
-    return (parsed.filter(F.col("status") == STATUS_OK)
-                  .select(*keep, F.posexplode("items").alias("pos", "translated_text"))
+    """J4 input: one row per (batch_id, pos, translated_text) of the ok replies.
+
+    ``items`` is NULL unless the reply is ok.  Filters on ``status`` or ``items``
+    would be pushed below the parse projections with the parse inlined into them
+    (Catalyst also infers ``size(items) > 0`` for a plain ``posexplode``), so the
+    outer form is used and the filter is on the generated ``pos``, which stays above.
+    """
+    return (parsed.select(*keep, F.posexplode_outer("items").alias("pos", "translated_text"))
+                  .filter(F.col("pos").isNotNull())
                   .withColumn("pos", F.col("pos").cast("int")))
