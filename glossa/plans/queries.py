@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import dedup, extract, resume
+from ..operators import dedup, extract, records, resume
 from ..sources import tables
 from . import oracles as O
 
@@ -387,3 +387,429 @@ def q_retry(spark, sf_dir):
         return r["batch_id"] % 4 == 1 and r["attempt"] == 1
     t = _translate(spark, sf_dir, pipeline.failing_translator(fails))
     return t.results.select("batch_id", F.col("attempts").cast("int").alias("attempts"), "status")
+
+
+# --- M2: log, last wins, apply --------------------------------------------------------
+
+def fixture_logs(entries: DataFrame) -> DataFrame:
+    """Two runs: r1 translates every 5th female variant; r2 re-translates every 10th
+    and adds every entry with entry_idx % 10 = 3.  Order within a run = entry order."""
+    e = entries
+
+    def run(df, run_id, prefix):
+        return df.select(F.lit(run_id).alias("run_id"), F.col("entry_idx").cast("long").alias("batch_id"),
+                         F.lit(0).alias("pos"), "variant_idx", "filepath", "string_key",
+                         "string_id", "field", "source_text",
+                         F.concat(F.lit(prefix), F.col("source_text")).alias("translated_text"),
+                         F.lit("translated").alias("status"))
+    r1 = run(e.filter((e.entry_idx % 5 == 0) & (e.variant_idx == 0)), "r1", "[xx] ")
+    r2 = run(e.filter(((e.entry_idx % 10 == 0) & (e.variant_idx == 0)) | (e.entry_idx % 10 == 3)),
+             "r2", "[yy] ")
+    return records.union_logs(r1, r2)
+
+
+LOGS_SQL = """,
+logs AS (
+  SELECT 'r1' AS run_id, entry_idx, variant_idx, filepath, string_key, string_id, field,
+         source_text, '[xx] ' || source_text AS translated_text
+  FROM entries WHERE entry_idx % 5 = 0 AND variant_idx = 0
+  UNION ALL
+  SELECT 'r2', entry_idx, variant_idx, filepath, string_key, string_id, field, source_text,
+         '[yy] ' || source_text
+  FROM entries WHERE (entry_idx % 10 = 0 AND variant_idx = 0) OR entry_idx % 10 = 3
+), latest AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY filepath, string_key, string_id, field
+                                 ORDER BY run_id DESC, entry_idx DESC, variant_idx DESC) AS rn
+    FROM logs) WHERE rn = 1
+), patched AS (
+  SELECT e.filepath, e.entry_idx, e.variant_idx, e.field, e.string_key, e.string_id,
+         coalesce(l.translated_text, e.source_text) AS translated_text,
+         l.translated_text IS NOT NULL AS matched
+  FROM entries e LEFT JOIN latest l
+    ON e.filepath = l.filepath AND e.string_key = l.string_key
+   AND e.string_id IS NOT DISTINCT FROM l.string_id AND e.field = l.field
+)
+"""
+
+
+def _logs_query(sql: str) -> str:
+    return "WITH " + O.RAW_ENTRIES + "," + O.ENTRIES + LOGS_SQL + sql
+
+
+@register("q_last_wins", _logs_query("""
+SELECT filepath, string_key, string_id, field, translated_text FROM latest
+"""))
+def q_last_wins(spark, sf_dir):
+    """Union of two runs; per entry key the last record in log order wins."""
+    logs = fixture_logs(fixture_entries(spark, sf_dir))
+    return records.latest_per_key(logs).select("filepath", "string_key", "string_id", "field",
+                                               "translated_text")
+
+
+@register("q_apply", _logs_query("""
+SELECT filepath, entry_idx, variant_idx, field, translated_text, matched FROM patched
+"""))
+def q_apply(spark, sf_dir):
+    """Every entry with its translation (source kept when there is none)."""
+    from ..operators import apply as ap
+    entries = fixture_entries(spark, sf_dir)
+    patched = ap.apply_log(entries, fixture_logs(entries))
+    return patched.select("filepath", "entry_idx", "variant_idx", "field", "translated_text",
+                          "matched")
+
+
+@register("q_apply_counts", _logs_query("""
+SELECT CAST(count(*) FILTER (WHERE matched) AS BIGINT) AS n_updated,
+       CAST(count(DISTINCT filepath) FILTER (WHERE matched) AS BIGINT) AS n_files_modified
+FROM patched
+"""))
+def q_apply_counts(spark, sf_dir):
+    """Strings updated (each matched occurrence) and files modified."""
+    from ..operators import apply as ap
+    entries = fixture_entries(spark, sf_dir)
+    return ap.apply_counts(ap.apply_log(entries, fixture_logs(entries)))
+
+
+@register("q_touched_files", _logs_query("""
+SELECT DISTINCT filepath FROM raw_entries WHERE filepath IN (SELECT filepath FROM logs)
+"""))
+def q_touched_files(spark, sf_dir):
+    """Documents named by the log (semi join on normalized paths)."""
+    from ..operators import apply as ap
+    docs = tables.read_table(spark, sf_dir, "documents")
+    files = tables.raw_entries(docs).select("filepath").distinct()
+    logs = fixture_logs(extract.unpivot_variants(tables.raw_entries(docs)))
+    return ap.touched_documents(files, logs)
+
+
+@register("q_stale", "WITH " + O.RAW_ENTRIES + "," + O.ENTRIES + """,
+old AS (
+  SELECT filepath, string_key, string_id, field, entry_idx, variant_idx,
+         CASE WHEN entry_idx % 8 = 0 THEN 'old: ' || source_text ELSE source_text END AS source_text
+  FROM entries WHERE entry_idx % 4 = 0 AND variant_idx = 0
+), latest AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY filepath, string_key, string_id, field
+                                 ORDER BY entry_idx DESC) AS rn FROM old) WHERE rn = 1
+)
+SELECT e.filepath, e.entry_idx, e.variant_idx, e.field, l.source_text <> e.source_text AS stale
+FROM entries e JOIN latest l
+  ON e.filepath = l.filepath AND e.string_key = l.string_key
+ AND e.string_id IS NOT DISTINCT FROM l.string_id AND e.field = l.field
+""")
+def q_stale(spark, sf_dir):
+    """Entries whose latest log record was translated from another source text."""
+    from ..operators import qa
+    entries = fixture_entries(spark, sf_dir)
+    e = entries.filter((F.col("entry_idx") % 4 == 0) & (F.col("variant_idx") == 0))
+    old = e.select(F.lit("r0").alias("run_id"), F.col("entry_idx").cast("long").alias("batch_id"),
+                   F.lit(0).alias("pos"), "variant_idx", "filepath", "string_key", "string_id",
+                   "field",
+                   F.when(F.col("entry_idx") % 8 == 0, F.concat(F.lit("old: "), F.col("source_text")))
+                    .otherwise(F.col("source_text")).alias("source_text"),
+                   F.lit("t").alias("translated_text"))
+    return qa.stale_translations(entries, old).select("filepath", "entry_idx", "variant_idx",
+                                                      "field", "stale")
+
+
+# --- M6: documents --------------------------------------------------------------------
+
+JSON_DOCS_SQL = """
+WITH d AS (
+  SELECT doc_id, text,
+         'loc/' || lang || '-' || lang || '/' || source || '/' || doc_id || '.json.json' AS filepath,
+         CAST(CASE WHEN doc_id % 4 = 2 THEN 2 ELSE 0 END AS INTEGER) AS entry_idx,
+         CASE doc_id % 5 WHEN 0 THEN 'sk' || doc_id WHEN 1 THEN 'None'
+              WHEN 2 THEN 'type' || (doc_id % 3) WHEN 3 THEN 'unknown' ELSE 'False' END AS string_key,
+         CASE (doc_id // 5) % 5 WHEN 0 THEN CAST(doc_id AS VARCHAR) WHEN 3 THEN 's' || doc_id
+              WHEN 4 THEN doc_id || '.5' END AS string_id
+  FROM documents WHERE doc_id % 50 NOT IN (7, 17)
+), x AS (
+  SELECT doc_id, filepath, entry_idx, 0 AS variant_idx, 'femaleVariant' AS field, string_key,
+         string_id, text AS source_text FROM d
+  UNION ALL SELECT doc_id, filepath, entry_idx, 1, 'maleVariant', string_key, string_id, text
+  FROM d WHERE doc_id % 6 = 0
+  UNION ALL SELECT doc_id, filepath, entry_idx, 1, 'maleVariant', string_key, string_id,
+                   text || ' (m)' FROM d WHERE doc_id % 6 = 5
+)
+"""
+
+
+def json_docs(spark, sf_dir) -> DataFrame:
+    return tables.json_documents(tables.read_table(spark, sf_dir, "documents"))
+
+
+@register("q_extract_json", JSON_DOCS_SQL + """
+SELECT filepath, entry_idx, variant_idx, field, string_key, string_id, source_text FROM x
+""")
+def q_extract_json(spark, sf_dir):
+    """JSON documents of four shapes -> entries; bad files skipped."""
+    return extract.extract_entries(json_docs(spark, sf_dir))
+
+
+@register("q_key_fallback", JSON_DOCS_SQL + """
+SELECT filepath, entry_idx, string_key, string_id FROM x WHERE field = 'femaleVariant'
+""")
+def q_key_fallback(spark, sf_dir):
+    """key = secondaryKey if present (null -> 'None', false -> 'False'),
+    else $type, else 'unknown'; id stringified like Python, NULL when missing or null."""
+    e = extract.extract_entries(json_docs(spark, sf_dir))
+    return e.filter(F.col("field") == "femaleVariant").select(
+        "filepath", "entry_idx", "string_key", "string_id")
+
+
+@register("q_quarantine", """
+SELECT 'loc/' || lang || '-' || lang || '/' || source || '/' || doc_id || '.json.json' AS filepath,
+       'extract' AS stage, 'invalid_json' AS reason
+FROM documents WHERE doc_id % 50 IN (7, 17)
+""")
+def q_quarantine(spark, sf_dir):
+    """Unreadable documents (truncated, trailing junk) go to quarantine."""
+    return extract.quarantine(extract.parse_documents(json_docs(spark, sf_dir)))
+
+
+@register("q_rebuild_docs", JSON_DOCS_SQL + """
+SELECT filepath, entry_idx, variant_idx, field,
+       CASE WHEN field = 'femaleVariant' THEN '[xx] ' || source_text ELSE source_text END
+         AS source_text
+FROM x WHERE doc_id % 3 = 0
+""")
+def q_rebuild_docs(spark, sf_dir):
+    """Rewrite the documents named by the log (female variants of every
+    3rd document translated), then extract the rewritten documents again."""
+    from ..operators import apply as ap
+    docs = json_docs(spark, sf_dir)
+    entries = extract.extract_entries(docs)
+    doc_id = F.regexp_extract("filepath", r"/(\d+)\.json\.json$", 1).cast("long")
+    log = (entries.filter((F.col("field") == "femaleVariant") & (doc_id % 3 == 0))
+                  .select("filepath", "string_key", "string_id", "field", "source_text",
+                          F.concat(F.lit("[xx] "), F.col("source_text")).alias("translated_text"),
+                          F.lit("r1").alias("run_id"), F.lit(0).cast("long").alias("batch_id"),
+                          F.lit(0).alias("pos"), "variant_idx"))
+    patched = ap.apply_log(entries, log)
+    rebuilt = ap.rebuild_documents(ap.touched_documents(docs.drop("doc_id"), log), patched)
+    return extract.extract_entries(rebuilt).select("filepath", "entry_idx", "variant_idx",
+                                                   "field", "source_text")
+
+
+@register("q_json_props", """
+SELECT event_id, CAST(regexp_extract(props, '"k":\\s*(-?[0-9]+)', 1) AS BIGINT) AS k FROM events
+""")
+def q_json_props(spark, sf_dir):
+    """A field read out of a JSON text column through VARIANT."""
+    ev = tables.read_table(spark, sf_dir, "events")
+    return ev.select("event_id", F.try_variant_get(F.try_parse_json("props"), "$.k", "bigint")
+                     .alias("k"))
+
+
+# --- M7: paths, selection, limits, gates ----------------------------------------------
+
+LOCALE = "en-en"
+
+
+def _built_paths(spark, sf_dir) -> DataFrame:
+    d = tables.read_table(spark, sf_dir, "documents")
+    k4, k3 = d.doc_id % 4, d.doc_id % 3
+    loc = (F.when(k4 == 0, F.concat(d.lang, F.lit("-"), d.lang))
+            .when(k4 == 1, F.concat(F.upper(d.lang), F.lit("_"), F.upper(d.lang)))
+            .when(k4 == 2, F.concat(d.lang, F.lit("-xx")))
+            .otherwise(F.concat(F.lit("voice_"), d.lang)))
+    ext = F.when(k3 == 0, F.lit(".json")).otherwise(F.lit(".json.json"))
+    return d.select("doc_id", F.concat(d.source, F.lit("/"), loc, F.lit("/f"),
+                                       d.doc_id.cast("string"), ext).alias("path"))
+
+
+@register("q_locale_filter", """
+WITH p AS (
+  SELECT doc_id, source || '/' || CASE doc_id % 4 WHEN 0 THEN lang || '-' || lang
+      WHEN 1 THEN upper(lang) || '_' || upper(lang) WHEN 2 THEN lang || '-xx'
+      ELSE 'voice_' || lang END || '/f' || doc_id
+      || CASE doc_id % 3 WHEN 0 THEN '.json' ELSE '.json.json' END AS path
+  FROM documents
+)
+SELECT doc_id, path, CASE WHEN ends_with(path, '.json.json') THEN 'converted' ELSE 'raw' END AS kind,
+       'en' AS locale_code
+FROM p
+WHERE list_contains(string_split(lower(path), '/'), 'en-en')
+   OR list_contains(string_split(lower(path), '/'), 'en_en')
+""")
+def q_locale_filter(spark, sf_dir):
+    """P1, P11, S1/S2 naming: paths under the locale folder (either separator, any
+    case), split into converted (.json.json) and raw (.json) documents."""
+    from ..functions.paths import is_locale_path, locale_code
+    p = _built_paths(spark, sf_dir).filter(is_locale_path(F.col("path"), LOCALE))
+    return p.select("doc_id", "path",
+                    F.when(F.col("path").endswith(".json.json"), F.lit("converted"))
+                     .otherwise(F.lit("raw")).alias("kind"),
+                    locale_code(F.lit(LOCALE)).alias("locale_code"))
+
+
+SOURCE_CODE = "es"
+
+
+def _listing(spark, sf_dir) -> DataFrame:
+    d = tables.read_table(spark, sf_dir, "documents")
+    k = d.doc_id % 5
+    name = (F.when(k == 0, F.concat(F.lit("lang_"), d.lang, F.lit("_text.archive")))
+             .when(k == 1, F.concat(F.lit("lang_"), d.lang, F.lit("_voice.archive")))
+             .when(k == 2, F.concat(F.lit("xlang_"), d.lang, F.lit("_extra"),
+                                    (d.doc_id % 3).cast("string"), F.lit(".archive")))
+             .when(k == 3, F.concat(F.lit("other_"), d.doc_id.cast("string"), F.lit(".archive")))
+             .otherwise(F.concat(F.lit("lang_"), d.lang, F.lit("_text_patch.archive"))))
+    return d.select(F.concat(F.lit("archive/pc/"), d.source).alias("dir"), name.alias("name")).distinct()
+
+
+@register("q_source_fallback", f"""
+WITH l AS (
+  SELECT DISTINCT 'archive/pc/' || source AS dir,
+         CASE doc_id % 5 WHEN 0 THEN 'lang_' || lang || '_text.archive'
+              WHEN 1 THEN 'lang_' || lang || '_voice.archive'
+              WHEN 2 THEN 'xlang_' || lang || '_extra' || (doc_id % 3) || '.archive'
+              WHEN 3 THEN 'other_' || doc_id || '.archive'
+              ELSE 'lang_' || lang || '_text_patch.archive' END AS name
+  FROM documents
+), c AS (
+  SELECT *, name = 'lang_{SOURCE_CODE}_text.archive' AS is_primary FROM l
+  WHERE name = 'lang_{SOURCE_CODE}_text.archive'
+     OR (name LIKE '%lang\\_{SOURCE_CODE}%.archive' ESCAPE '\\' AND NOT contains(lower(name), 'voice'))
+)
+SELECT dir, name FROM c
+WHERE is_primary = (SELECT max(CAST(is_primary AS INT)) = 1 FROM c c2 WHERE c2.dir = c.dir)
+""")
+def q_source_fallback(spark, sf_dir):
+    """Per folder the primary text archive, else the fallback glob without
+    voice archives."""
+    from ..operators import selection
+    return selection.select_sources(_listing(spark, sf_dir), SOURCE_CODE)
+
+
+LIMIT = 25
+
+
+@register("q_limit", O.with_(O.RAW_ENTRIES, O.ENTRIES) + f""",
+files AS (
+  SELECT filepath FROM (SELECT DISTINCT filepath FROM entries)
+  ORDER BY string_split(filepath, '/') LIMIT {LIMIT}
+)
+SELECT filepath, entry_idx, variant_idx, field, source_text FROM entries
+WHERE filepath IN (SELECT filepath FROM files)
+ORDER BY string_split(filepath, '/'), entry_idx, variant_idx LIMIT {LIMIT}
+""")
+def q_limit(spark, sf_dir):
+    """First N files in path-component order, then first N entries of
+    those files (the limit is the feature)."""
+    from ..operators import selection
+    e = selection.limit_entries(fixture_entries(spark, sf_dir), LIMIT)
+    return e.select("filepath", "entry_idx", "variant_idx", "field", "source_text")
+
+
+MOD_NAME = "LocalizationMod"
+
+
+@register("q_manifest", f"""
+SELECT name, 'archive/pc/mod/{MOD_NAME}'
+       || CASE WHEN i > 0 THEN '_' || i ELSE '' END || '.archive' AS package_path
+FROM (SELECT name, row_number() OVER (ORDER BY name) - 1 AS i
+      FROM (SELECT DISTINCT source || '.archive' AS name FROM documents))
+""")
+def q_manifest(spark, sf_dir):
+    """K6: package names for the output archives in name order (distributed index)."""
+    from ..operators import selection
+    d = tables.read_table(spark, sf_dir, "documents")
+    return selection.manifest(d.select(F.concat("source", F.lit(".archive")).alias("name")),
+                              MOD_NAME)
+
+
+@register("q_preview", O.with_(O.RAW_ENTRIES, O.ENTRIES) + f"""
+SELECT filepath, CAST(count(*) AS BIGINT) AS n_strings,
+       CAST(sum(length(source_text)) AS BIGINT) AS n_chars,
+       CAST(ceil(count(*) / {BATCH_SIZE}) AS BIGINT) AS n_batches
+FROM entries GROUP BY ROLLUP (filepath)
+""")
+def q_preview(spark, sf_dir):
+    """Cost preview per file with a grand total."""
+    from ..operators import qa
+    return qa.cost_preview(fixture_entries(spark, sf_dir), BATCH_SIZE)
+
+
+@register("q_failure_gate", """
+WITH o AS (
+  SELECT lang, CASE WHEN lang = 'de' THEN doc_id % 5 <> 0 ELSE doc_id % 13 <> 0 END AS ok
+  FROM documents
+), g AS (
+  SELECT lang, count(*) AS total, count(*) FILTER (WHERE NOT ok) AS failed FROM o GROUP BY lang
+)
+SELECT lang, CAST(total AS BIGINT) AS total, CAST(failed AS BIGINT) AS failed,
+       CAST(failed AS DOUBLE) * 100 / total AS pct,
+       CAST(failed AS DOUBLE) * 100 / total > 10 AS too_high, failed = total AS all_failed
+FROM g
+""")
+def q_failure_gate(spark, sf_dir):
+    """Conversion outcomes per language; failure rate above 10 % trips
+    the gate (exactly 10 % passes)."""
+    from ..operators import gates
+    d = tables.read_table(spark, sf_dir, "documents")
+    ok = F.when(d.lang == "de", d.doc_id % 5 != 0).otherwise(d.doc_id % 13 != 0)
+    return gates.failure_rates(d.select("lang", ok.alias("ok")), "ok", ["lang"]).select(
+        "lang", "total", "failed", "pct", "too_high", "all_failed")
+
+
+# --- M8: QA extensions, CSV ---------------------------------------------------------
+
+@register("q_markup_check", r"""
+WITH t AS (SELECT page_id, html AS s, replace(html, '</p>', '') AS t FROM pages)
+SELECT page_id,
+       CAST(len(regexp_extract_all(s, '<[^<>]+>')) AS INTEGER) AS n_src_tags,
+       CAST(len(regexp_extract_all(t, '<[^<>]+>')) AS INTEGER) AS n_tgt_tags,
+       list_sort(regexp_extract_all(s, '<[^<>]+>')) = list_sort(regexp_extract_all(t, '<[^<>]+>'))
+         AS tags_ok,
+       list_sort(regexp_extract_all(s, '\{[A-Za-z_][A-Za-z0-9_]*\}'))
+         = list_sort(regexp_extract_all(t, '\{[A-Za-z_][A-Za-z0-9_]*\}')) AS placeholders_ok
+FROM t
+""")
+def q_markup_check(spark, sf_dir):
+    """Tags and placeholders of each page against a copy with '</p>' removed."""
+    from ..operators import qa
+    p = tables.read_table(spark, sf_dir, "pages")
+    t = p.select("page_id", F.col("html").alias("source_text"),
+                 F.replace(F.col("html"), F.lit("</p>"), F.lit("")).alias("translated_text"))
+    return qa.markup_report(t).select("page_id", "n_src_tags", "n_tgt_tags", "tags_ok",
+                                      "placeholders_ok")
+
+
+@register("q_len_ratio", """
+SELECT u.conv_id, u.turn,
+       CAST(length(a.text) AS DOUBLE) / length(u.text) AS ratio,
+       CAST(length(a.text) AS DOUBLE) / length(u.text) > 1.5 AS too_long
+FROM conversations u JOIN conversations a
+  ON a.conv_id = u.conv_id AND a.turn = u.turn + 1
+WHERE u.role = 'user' AND a.role = 'assistant'
+""")
+def q_len_ratio(spark, sf_dir):
+    """Each user turn against the assistant turn that follows it."""
+    from ..operators import qa
+    c = tables.read_table(spark, sf_dir, "conversations")
+    u = c.filter(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("source_text"))
+    a = c.filter(F.col("role") == "assistant").select(
+        "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("translated_text"))
+    return qa.length_ratio(u.join(a, ["conv_id", "turn"])).select(
+        "conv_id", "turn", "ratio", "too_long")
+
+
+@register("q_csv_roundtrip", O.with_(O.RAW_ENTRIES, O.ENTRIES, O.LOG) + """
+SELECT filepath, string_key, string_id, field, source_text, translated_text FROM log
+""")
+def q_csv_roundtrip(spark, sf_dir):
+    """The log written as CSV (quotes, commas, newlines, NULL ids) and
+    read back."""
+    from ..session import scratch_path
+    from ..sinks.files import write_log_csv
+    from ..sources.logs import read_log_csv
+    log = fixture_log(fixture_entries(spark, sf_dir))
+    path = scratch_path(spark, "log-csv")
+    write_log_csv(log.withColumn("run_id", F.lit("r1")).withColumn(
+        "batch_id", F.col("entry_idx").cast("long")).withColumn("pos", F.lit(0)), path)
+    back = read_log_csv(spark, path)
+    return back.select("filepath", "string_key", "string_id", "field", "source_text",
+                       "translated_text")
