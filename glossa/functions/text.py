@@ -58,41 +58,57 @@ def json_quote(col) -> Column:
     return F.when(c.rlike(r"[\x0b\x0e\x0f\x1a-\x1f]"), fixed).otherwise(quoted)
 
 
-def py_float_repr(java_text) -> Column:
-    """Python ``repr(float)`` from Java's ``Double.toString`` text of the same value.
+def _let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and pass it to ``body`` (a one-element ``transform``).
 
-    Both print the shortest digit string that round-trips (Java 17 with rare
-    exceptions); only the layout differs: Python writes positional notation for
-    decimal exponents -4..15 and ``d.ddde+XX`` otherwise.
+    Used where a formula refers to an intermediate many times: inlining would repeat
+    it and blow the 64 KB limit of generated methods."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def py_float_repr(x) -> Column:
+    """Python ``repr(float)`` of a DOUBLE column.
+
+    Python prints the shortest decimal that reads back as the same double.  That is
+    found natively: format the value with 1..17 significant digits (``%.Ne``) and keep
+    the first text that casts back to the same double; then lay it out as Python does
+    (positional for decimal exponents -4..15, else ``d.ddde+XX``).  Java's
+    ``Double.toString`` is not used: before JDK 19 it sometimes prints extra digits.
     """
-    s = _c(java_text)
-    neg = s.startswith("-")
-    u = F.regexp_replace(s, "^-", "")
-    mant = F.regexp_extract(u, r"^([0-9.]*)", 1)
-    exp = F.coalesce(F.regexp_extract(u, r"[eE]([+-]?[0-9]+)$", 1).try_cast("int"), F.lit(0))
-    ip = F.split_part(mant, F.lit("."), F.lit(1))
-    fp = F.split_part(mant, F.lit("."), F.lit(2))
-    raw = F.concat(ip, fp)
-    lead = F.length(raw) - F.length(F.ltrim(raw, F.lit("0")))
-    digits = F.rtrim(F.ltrim(raw, F.lit("0")), F.lit("0"))
-    n = F.length(digits)
-    point = F.length(ip) + exp - lead
-    x = point - 1
-    positional = (F.when(point <= 0, F.concat(F.lit("0."), F.repeat(F.lit("0"), -point), digits))
-                  .when(point >= n, F.concat(digits, F.repeat(F.lit("0"), point - n), F.lit(".0")))
-                  .otherwise(F.concat(F.substr(digits, F.lit(1), point), F.lit("."),
-                                      F.substr(digits, point + 1))))
-    scientific = F.concat(
-        F.substr(digits, F.lit(1), F.lit(1)),
-        F.when(n > 1, F.concat(F.lit("."), F.substr(digits, F.lit(2)))).otherwise(F.lit("")),
-        F.lit("e"), F.when(x < 0, F.lit("-")).otherwise(F.lit("+")),
-        F.lpad(F.abs(x).cast("string"), 2, "0"))
-    body = (F.when(n == 0, F.lit("0.0"))
-            .when((x >= -4) & (x < 16), positional)
-            .otherwise(scientific))
-    special = (F.when(u == "Infinity", F.lit("inf")).when(u == "NaN", F.lit("nan")))
-    out = F.concat(F.when(neg, F.lit("-")).otherwise(F.lit("")), F.coalesce(special, body))
-    return F.when(u == "NaN", F.lit("nan")).otherwise(out)
+    v = _c(x).cast("double")
+    candidates = F.array(*[F.format_string(f"%.{k}e", v) for k in range(17)])
+    shortest = F.element_at(F.filter(candidates, lambda t: t.cast("double") == v), 1)
+
+    def split(a):
+        m = F.regexp_extract(a["u"], r"^([0-9])\.?([0-9]*)e([+-][0-9]+)$", 0)
+        d = F.rtrim(F.concat(F.regexp_extract(m, r"^([0-9])", 1),
+                             F.regexp_extract(m, r"^[0-9]\.?([0-9]*)e", 1)), F.lit("0"))
+        d = F.ltrim(d, F.lit("0"))
+        p = F.regexp_extract(m, r"e([+-][0-9]+)$", 1).try_cast("int") + 1
+        return _let(F.struct(a["neg"].alias("neg"), a["u"].alias("u"), d.alias("d"),
+                             p.alias("p")), layout)
+
+    def layout(c):
+        d, p = c["d"], c["p"]
+        n, e = F.length(d), p - 1
+        positional = (F.when(p <= 0, F.concat(F.lit("0."), F.repeat(F.lit("0"), -p), d))
+                      .when(p >= n, F.concat(d, F.repeat(F.lit("0"), p - n), F.lit(".0")))
+                      .otherwise(F.concat(F.substr(d, F.lit(1), p), F.lit("."), F.substr(d, p + 1))))
+        scientific = F.concat(
+            F.substr(d, F.lit(1), F.lit(1)),
+            F.when(n > 1, F.concat(F.lit("."), F.substr(d, F.lit(2)))).otherwise(F.lit("")),
+            F.lit("e"), F.when(e < 0, F.lit("-")).otherwise(F.lit("+")),
+            # at least two exponent digits (lpad would cut longer ones)
+            F.when(F.abs(e) < 10, F.lit("0")).otherwise(F.lit("")), F.abs(e).cast("string"))
+        body = (F.when(c["u"] == "Infinity", F.lit("inf"))
+                 .when(n == 0, F.lit("0.0"))
+                 .when((e >= -4) & (e < 16), positional)
+                 .otherwise(scientific))
+        return F.when(c["u"] == "NaN", F.lit("nan")).otherwise(
+            F.concat(F.when(c["neg"], F.lit("-")).otherwise(F.lit("")), body))
+
+    return _let(F.struct(shortest.startswith("-").alias("neg"),
+                         F.regexp_replace(shortest, "^-", "").alias("u")), split)
 
 
 def py_str_variant(v) -> Column:
@@ -115,5 +131,5 @@ def py_str_variant(v) -> Column:
             # an integer too long for BIGINT is DECIMAL(p,0) with p >= 19: keep the digits
             .when((dec_scale0 != "") & (dec_scale0.cast("int") >= 19), as_text)
             .when(t.startswith("DECIMAL") | t.isin("DOUBLE", "FLOAT"),
-                  py_float_repr(v.cast("double").cast("string")))
+                  py_float_repr(v.cast("double")))
             .otherwise(F.to_json(v)))

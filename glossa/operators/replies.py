@@ -11,9 +11,8 @@ Python rule being reproduced (reply parse):
   and the only one that can succeed is the one matching that '['); the value must be
   an array of exactly ``n`` scalars; scalars are rendered with Python ``str``.
 
-Known differences: Python accepts NaN/Infinity in JSON, Spark does not (the reply is
-then ``invalid_json``); floats printed with an exponent follow Python's layout, but
-Java 17 may pick a longer digit string in rare cases.
+Known difference: Python accepts NaN/Infinity in JSON, Spark does not (the reply is
+then ``invalid_json``).  Floats are rendered exactly as Python's ``repr``.
 """
 
 from __future__ import annotations
