@@ -66,6 +66,10 @@ def _let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def _named(**fields) -> Column:
+    return F.named_struct(*[x for k, v in fields.items() for x in (F.lit(k), v)])
+
+
 def py_float_repr(x) -> Column:
     """Python ``repr(float)`` of a DOUBLE column.
 
@@ -85,8 +89,7 @@ def py_float_repr(x) -> Column:
                              F.regexp_extract(m, r"^[0-9]\.?([0-9]*)e", 1)), F.lit("0"))
         d = F.ltrim(d, F.lit("0"))
         p = F.regexp_extract(m, r"e([+-][0-9]+)$", 1).try_cast("int") + 1
-        return _let(F.struct(a["neg"].alias("neg"), a["u"].alias("u"), d.alias("d"),
-                             p.alias("p")), layout)
+        return _let(_named(neg=a["neg"], u=a["u"], d=d, p=p), layout)
 
     def layout(c):
         d, p = c["d"], c["p"]
@@ -107,8 +110,8 @@ def py_float_repr(x) -> Column:
         return F.when(c["u"] == "NaN", F.lit("nan")).otherwise(
             F.concat(F.when(c["neg"], F.lit("-")).otherwise(F.lit("")), body))
 
-    return _let(F.struct(shortest.startswith("-").alias("neg"),
-                         F.regexp_replace(shortest, "^-", "").alias("u")), split)
+    return _let(_named(neg=shortest.startswith("-"), u=F.regexp_replace(shortest, "^-", "")),
+                split)
 
 
 def py_str_variant(v) -> Column:
