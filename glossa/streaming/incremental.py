@@ -23,6 +23,13 @@ from ..functions.paths import is_locale_path, relative_to
 from ..operators import extract, records
 from ..plans import pipeline
 
+BINARY_FILE_SCHEMA = T.StructType([
+    T.StructField("path", T.StringType(), False),
+    T.StructField("modificationTime", T.TimestampType(), False),
+    T.StructField("length", T.LongType(), False),
+    T.StructField("content", T.BinaryType(), True),
+])
+
 DOC_TABLE_SCHEMA = T.StructType([
     T.StructField("filepath", T.StringType(), False),
     T.StructField("content", T.StringType(), True),
@@ -37,7 +44,8 @@ def document_stream(spark: SparkSession, source_dir: str, source: str = "binaryF
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     if source == "binaryFile":
-        df = (reader.format("binaryFile").option("pathGlobFilter", "*.json.json")
+        df = (reader.format("binaryFile").schema(BINARY_FILE_SCHEMA)
+                    .option("pathGlobFilter", "*.json.json")
                     .option("recursiveFileLookup", "true").load(source_dir)
                     .select(relative_to(F.col("path"), source_dir).alias("filepath"), "content"))
     elif source == "parquet":
