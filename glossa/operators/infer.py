@@ -9,8 +9,9 @@ Attempts are rounds: round k calls only the batches that failed round k-1, eithe
 raising or by a reply that does not parse (the reference retries both, because its
 batch function parses inside the retry loop).  Each round's replies are written to
 the shared folder before they are parsed, so lazy re-evaluation never repeats a paid
-call; the parse itself runs on the JVM (``replies``).  The number of partitions of
-``requests`` bounds the calls in flight.
+call; the parse itself runs on the JVM (``replies``).  ``parallelism`` (default: the
+cluster's cores) is the number of tasks per round and so bounds the calls in flight;
+batches are hash-spread over those tasks by id.
 """
 
 from __future__ import annotations
@@ -54,6 +55,7 @@ def _call_round(requests: DataFrame, fn_factory: Callable[[], Callable[[dict], s
                     out_raw.append(None)
                     out_err.append(f"{type(e).__name__}: {e}".strip()[:ERROR_CHARS])
             yield pd.DataFrame({"batch_id": pdf["batch_id"].astype("int64"),
+                                "n": pdf["n"].astype("int32"),
                                 "attempt": pd.Series([attempt] * len(pdf), dtype="int32"),
                                 "raw": out_raw, "error": out_err})
 
@@ -66,14 +68,17 @@ def run_batches(requests: DataFrame, fn_factory: Callable[[], Callable[[dict], s
     """Call every batch, retrying failed ones; return one row per batch:
     (batch_id, n, attempts, status, error, items).  ``status`` is ``ok`` or the last
     failure reason (``error`` for an exception, else the parse status)."""
-    if parallelism:
-        requests = requests.repartition(parallelism, "batch_id")
+    # persisted once: every round reads the same prompts, and they are the audit record
+    # of what was sent
+    requests = materialize(requests, "requests")
+    # calls in flight = tasks of a round; batches are spread by id over that many tasks
+    tasks = parallelism or requests.sparkSession.sparkContext.defaultParallelism
     todo = requests
     finished: list[DataFrame] = []
     last_failed: DataFrame | None = None
     for attempt in range(1, max_attempts + 1):
-        replies = materialize(_call_round(todo, fn_factory, attempt), f"replies-{attempt}")
-        replies = replies.join(todo.select("batch_id", "n"), "batch_id")
+        replies = materialize(_call_round(todo.repartition(tasks, "batch_id"), fn_factory, attempt),
+                              f"replies-{attempt}")
         if envelope:
             text, env_status = envelope_text(envelope)
             replies = replies.withColumn("reply", text).withColumn(

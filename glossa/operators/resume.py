@@ -4,8 +4,10 @@ The log can be as large as the entries table, so the join is a shuffle anti join
 the entry key by default.  The log side is first reduced to its distinct keys (partial
 aggregation before the shuffle), so a key repeated in the log never multiplies rows;
 a hot key on the entries side is split by AQE's skew-join handling, which supports
-left-anti joins.  A broadcast is used only after a bounded row count proves that the
-key set is small.
+left-anti joins.  Whether the key side is broadcast is decided by AQE at run time from
+the measured size of the distinct keys (``spark.sql.adaptive.autoBroadcastJoinThreshold``),
+with the shuffle join beyond it.  ``broadcast_max_keys`` forces an explicit broadcast
+after a bounded row count (for logs known to be small; costs one extra job).
 """
 
 from __future__ import annotations
@@ -33,8 +35,8 @@ def done_keys(log: DataFrame, translated_only: bool = True) -> DataFrame:
     return normalize_ids(log.select(*ENTRY_KEY)).distinct()
 
 
-def pending(entries: DataFrame, log: DataFrame | None, broadcast_max_keys: int | None =
-            BROADCAST_MAX_KEYS, translated_only: bool = True) -> DataFrame:
+def pending(entries: DataFrame, log: DataFrame | None, broadcast_max_keys: int | None = None,
+            translated_only: bool = True) -> DataFrame:
     """Entries whose (filepath, string_key, string_id, field) is not in the log,
     comparing NULL ids as equal."""
     if log is None:

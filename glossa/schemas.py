@@ -50,6 +50,7 @@ TRANSLATION_LOG = T.StructType([
 
 RESPONSES = T.StructType([
     T.StructField("batch_id", T.LongType(), False),
+    T.StructField("n", T.IntegerType(), False),
     T.StructField("attempt", T.IntegerType(), False),
     T.StructField("raw", T.StringType(), True),
     T.StructField("error", T.StringType(), True),

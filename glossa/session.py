@@ -82,3 +82,18 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
 def fits(df: DataFrame, max_rows: int) -> bool:
     """Bounded size check: reads at most ``max_rows + 1`` rows, never the whole input."""
     return df.limit(max_rows + 1).count() <= max_rows
+
+
+def balance(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a scan that yields fewer partitions than the cluster has cores.
+
+    A Parquet file with one row group is read by one task; per-row CPU work after the
+    scan (JSON parsing, text building) would then run single-threaded.  Only then is
+    the input redistributed round-robin; a large input (one split per row group and
+    128 MB) already has many partitions and is returned unchanged, with no shuffle.
+    """
+    spark = df.sparkSession
+    target = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)

@@ -12,13 +12,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import balance
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations")
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
+    """A driver table; with ``spread``, a scan with fewer partitions than cores is
+    redistributed (see :func:`glossa.session.balance`)."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return balance(df) if spread else df
 
 
 def raw_entries(documents: DataFrame) -> DataFrame:
@@ -89,6 +94,10 @@ def json_documents(documents: DataFrame) -> DataFrame:
              .when(m6 == 3, F.lit('"maleVariant": null'))
              .when(m6 == 5, F.concat(F.lit('"maleVariant": '), _q(F.concat(d.text, F.lit(" (m)"))))))
     entry = F.concat(F.lit("{"), F.concat_ws(", ", key, ident, female, male), F.lit("}"))
+    # one projection per step, so the entry text is built once and not copied into
+    # every shape branch
+    d = d.select("doc_id", "lang", "source", entry.alias("entry"))
+    s4, entry = d.doc_id % 4, F.col("entry")
     doc = (F.when(s4 == 0, F.concat(
                 F.lit('{"Header": {"v": 1}, "Data": {"RootChunk": {"root": {"Data": {"entries": ['),
                 entry, F.lit("]}}}}}")))
@@ -97,7 +106,8 @@ def json_documents(documents: DataFrame) -> DataFrame:
             .otherwise(F.concat(
                 F.lit('{"Data": {"RootChunk": {"root": {"Data": {"entries": {"x": 1}}}}}, "entries": ['),
                 entry, F.lit("]}"))))
-    bad = d.doc_id % 50
+    d = d.select("doc_id", "lang", "source", doc.alias("doc"))
+    bad, doc = d.doc_id % 50, F.col("doc")
     content = (F.when(bad == 7, F.lit('{"entries": ['))
                 .when(bad == 17, F.concat(doc, F.lit(" junk")))
                 .when(bad == 27, F.concat(F.lit("\ufeff"), doc))
