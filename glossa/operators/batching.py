@@ -17,6 +17,7 @@ The only single-task step is the running sum over the per-range counts.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,13 +31,20 @@ def global_index(df: DataFrame, order: list[Column], name: str = "idx",
 
     ``order`` must be a total order (unique per row) for the index to be reproducible.
     """
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    pid = F.spark_partition_id()
-    tagged = ranged.select("*", pid.alias("_range"),
-                           (F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33))
-                           .alias("_pos"))
-    fixed = materialize(tagged, "ordered")
+    # range partitioning first samples its input in a separate job; keep the input so
+    # the upstream plan is not evaluated twice (lost blocks are recomputed from lineage)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        # without an explicit count AQE may merge neighbouring ranges, which keeps order
+        ranged = (cached.repartitionByRange(partitions, *order) if partitions
+                  else cached.repartitionByRange(*order)).sortWithinPartitions(*order)
+        pid = F.spark_partition_id()
+        tagged = ranged.select("*", pid.alias("_range"),
+                               (F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33))
+                               .alias("_pos"))
+        fixed = materialize(tagged, "ordered")
+    finally:
+        cached.unpersist()
     counts = fixed.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
     starts = counts.select(
         "_range",

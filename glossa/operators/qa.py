@@ -18,6 +18,26 @@ from .resume import normalize_ids
 # --- fixed values -------------------------------------------------------------------
 TAG = r"<[^<>]+>"
 PLACEHOLDER = r"\{[A-Za-z_][A-Za-z0-9_]*\}"
+# Common locales: language, locale folder.  The archive name follows the rule
+# lang_<code>_text.archive with code = text before the first '-'.
+LOCALES = (
+    ("English", "en-us"),
+    ("Turkish", "tr-tr"),
+    ("Russian", "ru-ru"),
+    ("Japanese", "ja-jp"),
+    ("Chinese (Simplified)", "zh-cn"),
+    ("Korean", "ko-kr"),
+    ("Polish", "pl-pl"),
+    ("German", "de-de"),
+    ("French", "fr-fr"),
+    ("Spanish", "es-es"),
+    ("Italian", "it-it"),
+    ("Portuguese (Brazil)", "pt-br"),
+    ("Czech", "cz-cz"),
+    ("Hungarian", "hu-hu"),
+    ("Arabic", "ar-ar"),
+    ("Thai", "th-th"),
+)
 # ------------------------------------------------------------------------------------
 
 
@@ -58,8 +78,18 @@ def cost_preview(entries: DataFrame, batch_size: int = 40) -> DataFrame:
     return g.withColumn("n_batches", F.ceil(F.col("n_strings") / batch_size).cast("long"))
 
 
+def locale_table(spark) -> DataFrame:
+    """The locale dimension (code, language, locale, archive); 16 fixed rows."""
+    from ..functions.paths import locale_code
+    from .selection import PRIMARY_ARCHIVE
+    df = spark.createDataFrame(list(LOCALES), "language string, locale string")
+    code = locale_code(F.col("locale"))
+    return df.select(code.alias("code"), "language", "locale",
+                     F.replace(F.lit(PRIMARY_ARCHIVE), F.lit("{code}"), code).alias("archive"))
+
+
 def with_locales(df: DataFrame, locales: DataFrame, code_col: str = "code") -> DataFrame:
-    """Attach the locale dimension (a fixed table of a few rows, broadcast)."""
+    """Attach the locale dimension (a fixed table of 16 rows, broadcast)."""
     return df.join(F.broadcast(locales), code_col, "left")
 
 

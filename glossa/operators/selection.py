@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.paths import glob_to_like, not_voice, path_parts
@@ -20,16 +20,18 @@ def select_sources(listing: DataFrame, code: str, dir_col: str = "dir",
     """S3: per directory the primary archive if present there, else every archive that
     matches the fallback glob and is not a voice archive.
 
-    ``max(is_primary) over (partition by dir)`` decides per directory; a directory
-    holds one listing row per file, so a partition is bounded by a folder listing.
+    "Has a primary" is a per-directory ``max`` (map-side combined, one row per
+    directory) joined back, rather than a window, so a directory holding most of the
+    listing is never sorted in one task.
     """
     name = F.col(name_col)
     primary = PRIMARY_ARCHIVE.format(code=code)
     like = glob_to_like(FALLBACK_ARCHIVE_GLOB.format(code=code))
     cand = listing.filter((name == primary) | (name.like(like) & not_voice(name)))
     cand = cand.withColumn("_is_primary", name == primary)
-    cand = cand.withColumn("_has_primary", F.max("_is_primary").over(Window.partitionBy(dir_col)))
-    return (cand.filter(F.col("_is_primary") == F.col("_has_primary"))
+    per_dir = cand.groupBy(dir_col).agg(F.max("_is_primary").alias("_has_primary"))
+    return (cand.join(per_dir, dir_col)
+                .filter(F.col("_is_primary") == F.col("_has_primary"))
                 .drop("_is_primary", "_has_primary"))
 
 

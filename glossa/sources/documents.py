@@ -61,3 +61,21 @@ def require_dir(path: str) -> str:
     if path.startswith(("file:", "/")) and not os.path.isdir(path.replace("file:", "", 1)):
         raise FileNotFoundError(f"Extracted directory not found: {path}")
     return path
+
+
+def read_documents_from(spark: SparkSession, roots: list[str], locale: str | None = None) -> DataFrame:
+    """Documents of several search folders (e.g. base content and an expansion),
+    each path relative to its own root; folders that do not exist are skipped."""
+    frames = []
+    for root in roots:
+        local = root.replace("file:", "", 1)
+        if root.startswith(("file:", "/")) and not os.path.isdir(local):
+            continue
+        frames.append(read_documents(spark, root, locale)
+                      .withColumn("root", F.lit(root)))
+    if not frames:
+        raise FileNotFoundError(f"none of the folders exist: {roots}")
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
