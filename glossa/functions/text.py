@@ -121,18 +121,26 @@ def py_str_variant(v) -> Column:
     with a fraction or exponent (VARIANT keeps them as DECIMAL or DOUBLE) -> Python float
     repr.  Objects and arrays come back as compact JSON (Python would print a dict or
     list repr; documented difference).  SQL NULL (field missing) stays NULL.
+
+    Strings and integers (nearly all keys and ids) take a short inline path; the rare
+    kinds go through one bound lambda, which keeps generated code small.
     """
     v = _c(v)
     t = F.schema_of_variant(v)
-    dec_scale0 = F.regexp_extract(t, r"^DECIMAL\((\d+),0\)$", 1)
-    as_text = v.cast("string")
+    simple = t.isin("STRING", "BIGINT", "INT", "SMALLINT", "TINYINT")
+
+    def rare(a):
+        x, k = a["v"], a["t"]
+        as_text = x.cast("string")
+        dec_scale0 = F.regexp_extract(k, r"^DECIMAL\((\d+),0\)$", 1)
+        return (F.when(k == "VOID", F.lit("None"))
+                 .when(k == "BOOLEAN", F.initcap(as_text))
+                 # an integer too long for BIGINT is DECIMAL(p,0) with p >= 19: digits
+                 .when((dec_scale0 != "") & (dec_scale0.cast("int") >= 19), as_text)
+                 .when(k.startswith("DECIMAL") | k.isin("DOUBLE", "FLOAT"),
+                       py_float_repr(x.cast("double")))
+                 .otherwise(F.to_json(x)))
+
     return (F.when(v.isNull(), F.lit(None).cast("string"))
-            .when(t == "STRING", as_text)
-            .when(t == "VOID", F.lit("None"))
-            .when(t == "BOOLEAN", F.initcap(as_text))
-            .when(t.isin("BIGINT", "INT", "SMALLINT", "TINYINT"), as_text)
-            # an integer too long for BIGINT is DECIMAL(p,0) with p >= 19: keep the digits
-            .when((dec_scale0 != "") & (dec_scale0.cast("int") >= 19), as_text)
-            .when(t.startswith("DECIMAL") | t.isin("DOUBLE", "FLOAT"),
-                  py_float_repr(v.cast("double")))
-            .otherwise(F.to_json(v)))
+             .when(simple, v.cast("string"))
+             .otherwise(_let(_named(v=v, t=t), rare)))

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import has_text, py_str_variant
+from ..session import balance
 from ..schemas import VARIANT_FIELDS
 
 # --- fixed values -------------------------------------------------------------------
@@ -88,9 +89,16 @@ def extract_entries(docs: DataFrame, content_col: str = "content") -> DataFrame:
     """Documents -> entries (filepath, entry_idx, variant_idx, field, string_key,
     string_id, source_text).  Unreadable files produce no rows (see :func:`quarantine`).
     """
-    parsed = parse_documents(docs, content_col).filter(F.col("reason").isNull())
-    exploded = parsed.select(
-        "filepath", F.posexplode(locate_entries(F.col("doc"))).alias("entry_idx", "en"))
+    # parsing is the heavy step: a listing that landed in few partitions is spread first
+    parsed = parse_documents(balance(docs), content_col)
+    # No filter on the parse result: Catalyst would push it (and the size filter it
+    # infers for a plain posexplode) below the projections and the spread, evaluating
+    # the parse twice in one oversized generated method.  A bad file has a NULL doc,
+    # whose entry list is empty; the outer explode yields one NULL row per such file,
+    # removed by a filter on the generated position, which stays above the generator.
+    exploded = (parsed.select("filepath", F.posexplode_outer(locate_entries(F.col("doc")))
+                              .alias("entry_idx", "en"))
+                      .filter(F.col("entry_idx").isNotNull()))
     en = F.col("en")
     # Only objects are entries
     objects = exploded.filter(F.schema_of_variant(en).startswith("OBJECT"))

@@ -254,7 +254,7 @@ def q_request_body(spark, sf_dir):
 
 def _doc_replies(spark, sf_dir) -> DataFrame:
     """Replies built around known items: fences, preambles, trailing notes, scalars."""
-    d = tables.read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    d = tables.read_table(spark, sf_dir, "documents", spread=True).select("doc_id", "text")
     two = F.to_json(F.array(F.col("text"), F.concat(F.lit("x"), F.col("doc_id").cast("string"))))
     scalars = F.concat(F.lit("["), F.col("doc_id").cast("string"),
                        F.lit(", true, null, 1.5, 1e20, 1.0, 12345678.0, 0.0001, "),
@@ -303,7 +303,7 @@ FROM documents
 def q_reply_status(spark, sf_dir):
     """Provider envelope (truncation) and validation outcomes."""
     from ..operators import replies
-    d = tables.read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    d = tables.read_table(spark, sf_dir, "documents", spread=True).select("doc_id", "text")
     k = F.col("doc_id") % 6
     t = F.to_json(F.array("text"))
     body = (F.when(k == 0, t)
@@ -538,7 +538,8 @@ WITH d AS (
 
 
 def json_docs(spark, sf_dir) -> DataFrame:
-    return tables.json_documents(tables.read_table(spark, sf_dir, "documents"))
+    # building and parsing JSON text is heavy per row: spread a single-split scan
+    return tables.json_documents(tables.read_table(spark, sf_dir, "documents", spread=True))
 
 
 @register("q_extract_json", JSON_DOCS_SQL + """
@@ -860,3 +861,43 @@ def q_locale_dim(spark, sf_dir):
     out = qa.with_locales(d, qa.locale_table(spark))
     return out.select("code", "n_docs", "n_chars", "language", "locale",
                       F.concat(F.lit("lang_"), F.col("code"), F.lit("_text.archive")).alias("archive"))
+
+
+@register("q_extract_counts", JSON_DOCS_SQL + """
+SELECT 'entries' AS metric, CAST(count(*) AS BIGINT) AS value FROM x
+UNION ALL SELECT 'files', CAST(count(*) AS BIGINT) FROM documents
+UNION ALL SELECT 'files_skipped', CAST(count(*) AS BIGINT) FROM documents WHERE doc_id % 50 IN (7, 17)
+""")
+def q_extract_counts(spark, sf_dir):
+    """A4: entries extracted, files read, files skipped."""
+    from ..operators import gates
+    docs = json_docs(spark, sf_dir)
+    parsed = extract.parse_documents(docs)
+    return gates.extraction_counts(extract.extract_entries(docs), extract.quarantine(parsed), docs)
+
+
+@register("q_run_counts", _logs_query("""
+SELECT CAST(count(*) FILTER (WHERE run_id = 'r2') AS BIGINT) AS n_new,
+       CAST(count(*) AS BIGINT) AS n_total
+FROM logs
+"""))
+def q_run_counts(spark, sf_dir):
+    """Records of the latest run and records in total."""
+    return records.run_counts(fixture_logs(fixture_entries(spark, sf_dir)), "r2")
+
+
+@register("q_preview_resume", O.with_(O.RAW_ENTRIES, O.ENTRIES, O.LOG, O.PENDING) + """
+SELECT filepath, entry_idx, variant_idx, field, 'pending' AS state FROM pending
+""")
+def q_preview_resume(spark, sf_dir):
+    """A preview (blank translations, status 'preview') of every entry is
+    added to the log; resume still counts only translated rows as done."""
+    entries = fixture_entries(spark, sf_dir)
+    log = fixture_log(entries).select(
+        F.lit("r1").alias("run_id"), F.col("entry_idx").cast("long").alias("batch_id"),
+        F.lit(0).alias("pos"), "variant_idx", "filepath", "string_key", "string_id", "field",
+        "source_text", "translated_text", F.lit("translated").alias("status"))
+    preview = records.preview_records(entries, "p1")
+    both = records.union_logs(log, preview)
+    p = resume.pending(entries, both)
+    return p.select("filepath", "entry_idx", "variant_idx", "field", F.lit("pending").alias("state"))

@@ -41,6 +41,7 @@ def build_session(master: str | None = None, app: str = "glossa",
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -97,3 +98,35 @@ def balance(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     if df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target)
+
+
+_SHIPPED_FLAG = "spark.glossa.pyfiles.shipped"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``glossa`` importable on the executors (what ``--py-files`` does).
+
+    Pandas UDFs and ``mapInPandas`` functions defined in the package are pickled by
+    reference, so Python workers must be able to import it wherever the driver was
+    started.  The package is zipped once per application and added with
+    ``addPyFile``; Spark distributes it to every executor.
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    if sc.getConf().get(_SHIPPED_FLAG, "") == "1" or getattr(sc, "_glossa_shipped", False):
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    ckpt = ensure_checkpoint_dir(spark)
+    local_ckpt = ckpt[len("file:"):] if ckpt.startswith("file:") else ckpt
+    base = local_ckpt if local_ckpt.startswith("/") else tempfile.mkdtemp(prefix="glossa-py-")
+    os.makedirs(base, exist_ok=True)
+    target = os.path.join(base, f"glossa-{uuid.uuid4().hex}.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as zf:
+        for root, _dirs, files in os.walk(pkg_dir):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(root, name)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    sc.addPyFile(target)
+    sc._glossa_shipped = True

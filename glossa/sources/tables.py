@@ -19,9 +19,9 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations")
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
     """A driver table; with ``spread``, a scan with fewer partitions than cores is
-    redistributed (see :func:`glossa.session.balance`)."""
+    redistributed before heavy per-row work (see :func:`glossa.session.balance`)."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     return balance(df) if spread else df
 
