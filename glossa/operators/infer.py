@@ -108,5 +108,6 @@ def stop_at_first_failure(results: DataFrame) -> DataFrame:
     The default keeps every successful batch; this reproduces the reference, where
     the first batch that fails all attempts ends translation.  The first failed id is a
     scalar subquery (one aggregate value)."""
-    first_bad = results.filter(F.col("status") != STATUS_OK).select(F.min("batch_id")).scalar()
-    return results.filter(first_bad.isNull() | (F.col("batch_id") < first_bad))
+    first_bad = (results.filter(F.col("status") != STATUS_OK)
+                        .select(F.coalesce(F.min("batch_id"), F.lit(2**63 - 1))).scalar())
+    return results.filter(F.col("batch_id") < first_bad)
