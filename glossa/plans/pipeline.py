@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import json
+import os
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -112,3 +113,50 @@ def with_lit(df: DataFrame, **cols) -> DataFrame:
     for k, v in cols.items():
         df = df.withColumn(k, F.lit(v))
     return df
+
+
+def run_translation_job(entries: DataFrame, log_path: str,
+                        fn_factory: Callable[[], Callable[[dict], str]],
+                        source_lang: str, target_lang: str, provider: str = "anthropic",
+                        model: str = "claude-sonnet-4-20250514",
+                        batch_size: int = DEFAULT_BATCH_SIZE, wave_batches: int | None = 10_000,
+                        n_waves: int | None = None,
+                        run_id: str | None = None, max_attempts: int = infer.MAX_ATTEMPTS,
+                        backoff_base: float = infer.BACKOFF_BASE_SECONDS,
+                        envelope: str | None = None, title: str = requests.DEFAULT_TITLE,
+                        parallelism: int | None = None) -> int:
+    """K2 at scale: translate in waves of ``wave_batches`` batches and append each
+    wave's records to the log before the next wave starts.
+
+    A crash (even of the driver) loses at most the wave in flight: rerunning the job
+    resumes from the log (J1), like the reference's log rewrite after every batch but
+    with appends only.  The batched units are written once, partitioned by wave, so
+    each wave reads only its own folder (partition pruning); the driver loop is over
+    waves, never over rows.  ``n_waves`` sizes the waves by count instead.  Returns
+    the number of waves run.
+    """
+    from ..session import materialize
+    from ..sources.logs import read_log_table
+    spark = entries.sparkSession
+    run_id = run_id or new_run_id()
+    local = log_path.replace("file:", "", 1)
+    has_log = not log_path.startswith(("file:", "/")) or os.path.isdir(local)
+    log = read_log_table(spark, log_path) if has_log else None
+    units = plan_batches(entries, log, batch_size)
+    top = units.agg(F.max("batch_id").alias("m")).first()["m"]
+    if top is None:
+        return 0
+    check_provider(provider)
+    if n_waves:
+        wave_batches = -(-(top + 1) // n_waves)
+    by_wave = materialize(units.withColumn("wave", F.floor(F.col("batch_id") / wave_batches)
+                                           .cast("long")), "waves", partition_by=["wave"])
+    waves = 0
+    for w in range(0, top // wave_batches + 1):
+        wave = by_wave.filter(F.col("wave") == w).drop("wave")
+        reqs = requests.build_requests(wave, source_lang, target_lang, provider, model, title)
+        results = infer.run_batches(reqs, fn_factory, max_attempts, backoff_base, envelope,
+                                    parallelism)
+        records.append_log(records.records_from_results(wave, results, run_id), log_path)
+        waves += 1
+    return waves

@@ -901,3 +901,24 @@ def q_preview_resume(spark, sf_dir):
     both = records.union_logs(log, preview)
     p = resume.pending(entries, both)
     return p.select("filepath", "entry_idx", "variant_idx", "field", F.lit("pending").alias("state"))
+
+
+@register("q_translate_waves", RECORDS_SQL + "SELECT * FROM recs")
+def q_translate_waves(spark, sf_dir):
+    """The translation job in three waves, each appended to the log before the
+    next starts (a restart resumes from the log); each wave reads only its partition."""
+    from ..session import scratch_path
+    from . import pipeline
+    entries = fixture_entries(spark, sf_dir)
+    log_path = scratch_path(spark, "wave-log")
+    # the fixture's partial log is the starting point of the job
+    start = fixture_log(entries).select(
+        F.lit("r0").alias("run_id"), F.col("entry_idx").cast("long").alias("batch_id"),
+        F.lit(0).alias("pos"), "variant_idx", "filepath", "string_key", "string_id", "field",
+        "source_text", "translated_text", F.lit("translated").alias("status"))
+    records.append_log(start, log_path)
+    pipeline.run_translation_job(entries, log_path, pipeline.echo_translator(), "English",
+                                 "Kazakh", batch_size=BATCH_SIZE, n_waves=3, run_id="r1",
+                                 backoff_base=0)
+    return (spark.read.parquet(log_path).filter(F.col("run_id") == "r1")
+                 .select(*RECORD_COLS))
