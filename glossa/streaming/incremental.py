@@ -81,6 +81,10 @@ def run_incremental(spark: SparkSession, source_dir: str, log_path: str, checkpo
     def one_batch(batch: DataFrame, epoch_id: int) -> None:
         entries = extract.extract_entries(batch)
         log = _current_log(batch.sparkSession, log_path)
+        if log is not None:
+            # only the log rows of files in this micro-batch can match: reduce the log
+            # before its keys are de-duplicated and shuffled for the anti join
+            log = log.join(batch.select("filepath").distinct(), "filepath", "left_semi")
         t = pipeline.translate(entries, log, fn_factory, source_lang, target_lang, provider,
                                model, batch_size, run_id=f"e{epoch_id:08d}",
                                backoff_base=backoff_base)
