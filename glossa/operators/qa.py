@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..schemas import ENTRY_KEY, key_match
+from ..schemas import key_match
 from .records import latest_per_key
 from .resume import normalize_ids
 
@@ -91,7 +91,3 @@ def locale_table(spark) -> DataFrame:
 def with_locales(df: DataFrame, locales: DataFrame, code_col: str = "code") -> DataFrame:
     """Attach the locale dimension (a fixed table of 16 rows, broadcast)."""
     return df.join(F.broadcast(locales), code_col, "left")
-
-
-def entry_keys(df: DataFrame) -> DataFrame:
-    return df.select(*ENTRY_KEY)

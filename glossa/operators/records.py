@@ -76,7 +76,3 @@ def union_logs(*logs: DataFrame) -> DataFrame:
     for other in logs[1:]:
         out = out.unionByName(other, allowMissingColumns=True)
     return out
-
-
-def keys_of(df: DataFrame) -> DataFrame:
-    return df.select(*ENTRY_KEY)

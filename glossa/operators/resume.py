@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from ..schemas import ENTRY_KEY, key_match
 from ..session import fits
 
-BROADCAST_MAX_KEYS = 2_000_000
 
 
 def normalize_ids(df: DataFrame) -> DataFrame:

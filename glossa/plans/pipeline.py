@@ -109,12 +109,6 @@ def failing_translator(fails: Callable[[dict], bool], prefix: str = "[xx] "):
     return factory
 
 
-def with_lit(df: DataFrame, **cols) -> DataFrame:
-    for k, v in cols.items():
-        df = df.withColumn(k, F.lit(v))
-    return df
-
-
 def run_translation_job(entries: DataFrame, log_path: str,
                         fn_factory: Callable[[], Callable[[dict], str]],
                         source_lang: str, target_lang: str, provider: str = "anthropic",

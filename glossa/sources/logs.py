@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.gates import header_gate
-from ..schemas import LOG_CSV_COLUMNS
 
 CSV_OPTIONS = {
     "header": "true", "multiLine": "true", "quote": '"', "escape": '"',
