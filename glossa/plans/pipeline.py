@@ -118,7 +118,7 @@ def run_translation_job(entries: DataFrame, log_path: str,
                         run_id: str | None = None, max_attempts: int = infer.MAX_ATTEMPTS,
                         backoff_base: float = infer.BACKOFF_BASE_SECONDS,
                         envelope: str | None = None, title: str = requests.DEFAULT_TITLE,
-                        parallelism: int | None = None) -> int:
+                        parallelism: int | None = None, metrics_path: str | None = None) -> int:
     """K2 at scale: translate in waves of ``wave_batches`` batches and append each
     wave's records to the log before the next wave starts.
 
@@ -127,9 +127,15 @@ def run_translation_job(entries: DataFrame, log_path: str,
     with appends only.  The batched units are written once, partitioned by wave, so
     each wave reads only its own folder (partition pruning); the driver loop is over
     waves, never over rows.  ``n_waves`` sizes the waves by count instead.  Returns
-    the number of waves run.
+    the number of waves run.  With ``metrics_path``, counters of the run (D11: units,
+    deduped pairs, ok/failed batches, records, elapsed seconds) are appended there as
+    ``run_metrics`` rows; each counter is one aggregate over a materialized table.
     """
+    import time
+
     from ..session import materialize
+    started = time.time()
+    metrics: list[tuple[str, str, float]] = []
     from ..sources.logs import read_log_table
     spark = entries.sparkSession
     run_id = run_id or new_run_id()
@@ -145,12 +151,35 @@ def run_translation_job(entries: DataFrame, log_path: str,
         wave_batches = -(-(top + 1) // n_waves)
     by_wave = materialize(units.withColumn("wave", F.floor(F.col("batch_id") / wave_batches)
                                            .cast("long")), "waves", partition_by=["wave"])
+    if metrics_path:
+        plan = by_wave.agg(F.count(F.lit(1)).alias("u"), F.count_if("is_dedup").alias("d")).first()
+        metrics += [("plan", "units", plan["u"]), ("plan", "deduped_pairs", plan["d"]),
+                    ("plan", "batches", top + 1)]
     waves = 0
     for w in range(0, top // wave_batches + 1):
         wave = by_wave.filter(F.col("wave") == w).drop("wave")
         reqs = requests.build_requests(wave, source_lang, target_lang, provider, model, title)
         results = infer.run_batches(reqs, fn_factory, max_attempts, backoff_base, envelope,
                                     parallelism)
-        records.append_log(records.records_from_results(wave, results, run_id), log_path)
+        new = records.records_from_results(wave, results, run_id)
+        records.append_log(new, log_path)
+        if metrics_path:
+            r = results.agg(F.count_if(F.col("status") == "ok").alias("ok"),
+                            F.count_if(F.col("status") != "ok").alias("failed")).first()
+            metrics += [(f"wave{w}", "batches_ok", r["ok"]), (f"wave{w}", "batches_failed", r["failed"])]
         waves += 1
+    if metrics_path:
+        spark_ = entries.sparkSession
+        written = read_log_table(spark_, log_path).filter(F.col("run_id") == run_id).count()
+        metrics += [("run", "records", written), ("run", "waves", waves),
+                    ("run", "elapsed_seconds", round(time.time() - started, 3))]
+        write_metrics(spark_, run_id, metrics, metrics_path)
     return waves
+
+
+def write_metrics(spark, run_id: str, metrics: list[tuple[str, str, float]], path: str) -> None:
+    """Append (run_id, stage, metric, value) rows, one folder per run."""
+    from ..schemas import RUN_METRICS
+    rows = [(run_id, stage, metric, float(value)) for stage, metric, value in metrics]
+    (spark.createDataFrame(rows, RUN_METRICS).coalesce(1)
+          .write.mode("append").partitionBy("run_id").parquet(path))

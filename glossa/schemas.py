@@ -68,3 +68,10 @@ def key_match(left: DataFrame, right: DataFrame, cols=ENTRY_KEY) -> Column:
     conds = [left[c].eqNullSafe(right[c]) if c == "string_id" else left[c] == right[c]
              for c in cols]
     return reduce(lambda a, b: a & b, conds)
+
+RUN_METRICS = T.StructType([
+    T.StructField("run_id", T.StringType(), False),
+    T.StructField("stage", T.StringType(), False),
+    T.StructField("metric", T.StringType(), False),
+    T.StructField("value", T.DoubleType(), False),
+])
