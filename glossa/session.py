@@ -23,6 +23,8 @@ _DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Inference is a side effect: never run a batch twice on purpose.
     "spark.speculation": "false",
+    # Python's json keeps the last of duplicate object keys; so does VARIANT with this
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 

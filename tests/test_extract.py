@@ -101,3 +101,9 @@ def test_blank_files_are_invalid(spark, tmp_path, bad):
     root = write_docs(str(tmp_path), {"e.json.json": bad})
     q = quarantine(parse_documents(read_documents(spark, root)))
     assert rows(q, "reason") == [("invalid_json",)]
+
+
+def test_duplicate_keys_last_wins(spark, tmp_path):
+    raw = '{"entries": [{"secondaryKey": "a", "femaleVariant": "x", "femaleVariant": "y"}]}'
+    e = _extract(spark, tmp_path, {"d.json.json": raw})
+    assert rows(e, "string_key", "source_text") == [("a", "y")]
