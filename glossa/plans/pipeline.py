@@ -12,6 +12,7 @@ from __future__ import annotations
 import datetime as _dt
 import json
 import os
+import time
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -22,6 +23,7 @@ from ..functions.models import check_provider, validate_settings
 from ..operators import apply as apply_op
 from ..operators import batching, dedup, gates, infer, records, requests, resume
 from ..schemas import DEFAULT_BATCH_SIZE, TRANSLATION_LOG
+from ..session import materialize, scratch_scope
 
 
 def new_run_id(now: _dt.datetime | None = None) -> str:
@@ -130,12 +132,20 @@ def run_translation_job(entries: DataFrame, log_path: str,
     the number of waves run.  With ``metrics_path``, counters of the run (D11: units,
     deduped pairs, ok/failed batches, records, elapsed seconds) are appended there as
     ``run_metrics`` rows; each counter is one aggregate over a materialized table.
+    Intermediate tables of the job are removed once its results are in the log.
     """
-    import time
-
-    from ..session import materialize
     started = time.time()
     metrics: list[tuple[str, str, float]] = []
+    with scratch_scope(entries.sparkSession):
+        return _run_waves(entries, log_path, fn_factory, source_lang, target_lang, provider,
+                          model, batch_size, wave_batches, n_waves, run_id, max_attempts,
+                          backoff_base, envelope, title, parallelism, metrics_path, started,
+                          metrics)
+
+
+def _run_waves(entries, log_path, fn_factory, source_lang, target_lang, provider, model,
+               batch_size, wave_batches, n_waves, run_id, max_attempts, backoff_base,
+               envelope, title, parallelism, metrics_path, started, metrics) -> int:
     from ..sources.logs import read_log_table
     spark = entries.sparkSession
     run_id = run_id or new_run_id()

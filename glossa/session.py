@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,10 +60,42 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir() or configured
 
 
+_SCOPES: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the shared checkpoint location."""
+    """A fresh, unique folder under the shared checkpoint location (recorded in the
+    innermost :func:`scratch_scope`, if any)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/glossa/{name}-{uuid.uuid4().hex}"
+    path = f"{base}/glossa/{name}-{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Delete, on exit, the scratch folders created inside the block.
+
+    Intermediate tables (ordered units, requests, replies, wave partitions) are about
+    as large as the translated text; a job that has committed its results (appended
+    to the log) removes them so the shared folder does not grow with every run.  Only
+    the folders this block created are touched, through the Hadoop FileSystem of the
+    shared folder.  Yields the list of created paths.
+    """
+    created: list[str] = []
+    _SCOPES.append(created)
+    try:
+        yield created
+    finally:
+        _SCOPES.pop()
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for p in created:
+            path = jvm.org.apache.hadoop.fs.Path(p)
+            fs = path.getFileSystem(conf)
+            if fs.exists(path):
+                fs.delete(path, True)
 
 
 def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
