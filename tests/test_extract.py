@@ -107,3 +107,15 @@ def test_duplicate_keys_last_wins(spark, tmp_path):
     raw = '{"entries": [{"secondaryKey": "a", "femaleVariant": "x", "femaleVariant": "y"}]}'
     e = _extract(spark, tmp_path, {"d.json.json": raw})
     assert rows(e, "string_key", "source_text") == [("a", "y")]
+
+
+def test_extraction_metrics_one_pass(spark, tmp_path):
+    from glossa.operators.extract import extraction_metrics
+    root = write_docs(str(tmp_path), {
+        "a.json.json": nested([{"femaleVariant": "x", "maleVariant": "y"}, 5,
+                               {"femaleVariant": " ", "maleVariant": "z"}]),
+        "b.json.json": {"entries": []},
+        "c.json.json": "broken {",
+    })
+    got = dict(rows(extraction_metrics(read_documents(spark, root)), "metric", "value"))
+    assert got == {"entries": 3, "files": 3, "files_skipped": 1}
