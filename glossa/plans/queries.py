@@ -919,3 +919,30 @@ def q_translate_waves(spark, sf_dir):
                                  backoff_base=0)
     return (spark.read.parquet(log_path).filter(F.col("run_id") == "r1")
                  .select(*RECORD_COLS))
+
+
+@register("q_translate_envelope", O.with_(*O.BASE, O.UNITS, O.NUMBERED) + f"""
+SELECT DISTINCT CAST(idx // {BATCH_SIZE} AS BIGINT) AS batch_id,
+       CASE WHEN (idx // {BATCH_SIZE}) % 5 = 2 THEN 2 ELSE 1 END AS attempts,
+       'ok' AS status
+FROM numbered
+""")
+def q_translate_envelope(spark, sf_dir):
+    """R1 + I3: the provider returns message envelopes; batches with id % 5 = 2 are
+    cut at the output cap on their first attempt (stop_reason max_tokens), which
+    counts as a failed attempt and is retried."""
+    import json as _json
+    from . import pipeline
+
+    def factory():
+        def fn(req):
+            truncated = req["batch_id"] % 5 == 2 and req["attempt"] == 1
+            text = _json.dumps(["[xx] " + t for t in req["texts"]], ensure_ascii=False)
+            return _json.dumps({"content": [{"type": "text", "text": text}],
+                                "stop_reason": "max_tokens" if truncated else "end_turn"})
+        return fn
+    entries = fixture_entries(spark, sf_dir)
+    t = pipeline.translate(entries, fixture_log(entries), factory, "English", "Kazakh",
+                           batch_size=BATCH_SIZE, run_id="r1", backoff_base=0,
+                           envelope="anthropic")
+    return t.results.select("batch_id", F.col("attempts").cast("int").alias("attempts"), "status")
