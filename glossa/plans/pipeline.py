@@ -58,7 +58,11 @@ def translate(entries: DataFrame, log: DataFrame | None,
               stop_on_failure: bool = False, title: str = requests.DEFAULT_TITLE,
               parallelism: int | None = None) -> Translation | None:
     """I5.  Returns None when nothing is pending (the reference exits early before it
-    even checks the provider, B3)."""
+    even checks the provider, B3).
+
+    The returned DataFrames read intermediate tables in the shared folder; run the
+    call and the consumption of its results inside ``session.scratch_scope(spark)``
+    to remove those tables afterwards (``run_translation_job`` does this itself)."""
     run_id = run_id or new_run_id()
     units = plan_batches(entries, log, batch_size)
     if units.isEmpty():
