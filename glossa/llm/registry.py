@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, sharding, url_filter
+from . import bpe, exact_dedup, sharding, url_filter
 
 QUERIES = {f.__name__: f for f in (
     sharding.op1_sharding,
+    bpe.op2_bpe,
     exact_dedup.op4_exact_dedup,
     url_filter.op9_url_filter,
 )}

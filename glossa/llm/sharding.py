@@ -94,12 +94,12 @@ def op1_sharding(spark, sf_dir: str) -> DataFrame:
 ORACLE_SQL = f"""
 with recursive shard as (
   select i, 'shard-' || lpad(cast(i as varchar), 3, '0') as name from range({len(SHARDS)}) r(i)
-), perm as (
+), perm as materialized (
   select i, name,
          cast(('0x' || substr(md5(name || '#offset'), 1, 15)) as bigint) % {TABLE_SIZE} as off,
          cast(('0x' || substr(md5(name || '#skip'), 1, 15)) as bigint) % {TABLE_SIZE - 1} + 1 as skip
   from shard
-), pref as (
+), pref as materialized (
   select i, list((off + j * skip) % {TABLE_SIZE} order by j) as slots
   from perm, range({TABLE_SIZE}) r(j) group by i
 ), fill as (
