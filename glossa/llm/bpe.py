@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Distinct words a worker remembers before it starts anew.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 200_000
 #: Words per merge batch.
 BATCH_WORDS = 100_000
 _NONE = np.iinfo(np.int64).max
@@ -219,71 +219,86 @@ def _load(path: str) -> Bpe:
 
 
 #: Characters encoded at a time inside a task.
-CHUNK_CHARS = 4_000_000
-
-
-def _chunks(rows: list[str | None]):
-    start, chars = 0, 0
-    for i, r in enumerate(rows):
-        chars += len(r or "")
-        if chars >= CHUNK_CHARS:
-            yield start, i + 1
-            start, chars = i + 1, 0
-    if start < len(rows):
-        yield start, len(rows)
+CHUNK_CHARS = 1_000_000
+
+
+def _slices(column: pa.Array):
+    """Row ranges of about CHUNK_CHARS characters, so only a part of an Arrow batch ever
+    exists as Python strings."""
+    import pyarrow.compute as pc
+
+    size = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False))
+    lo = 0
+    while lo < len(column):
+        hi = int(np.searchsorted(size, (size[lo - 1] if lo else 0) + CHUNK_CHARS)) + 1
+        yield lo, min(hi, len(column))
+        lo = hi
+
+
+def _encoded(batches, path: str, held: int):
+    """Batches whose last column is the text -> the ``held`` first columns and the ids."""
+    bpe = _load(path)
+    for batch in batches:
+        for lo, hi in _slices(batch.column(held)):
+            part = batch.slice(lo, hi - lo)
+            ids, sizes = bpe.encode([t or "" for t in part.column(held).to_pylist()])
+            offsets = np.append(0, np.cumsum(sizes)).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids.astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([*part.columns[:held], lists],
+                                             names=[*part.schema.names[:held], "ids"])
+
+
+def _decoded(batches, path: str, held: int):
+    """Batches whose column ``held`` is the ids -> the same batches and the text."""
+    bpe = _load(path)
+    for batch in batches:
+        lists = batch.column(held)
+        texts = pa.array([bpe.decode(x.values.to_pylist()) if x.is_valid else "" for x in lists], pa.string())
+        yield pa.RecordBatch.from_arrays([*batch.columns[:held + 1], texts],
+                                         names=[*batch.schema.names[:held + 1], "decoded"])
+
+
+def _schema(df: DataFrame, keep: list[str], *extra: str) -> str:
+    kinds = dict(df.dtypes)
+    return ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), *extra])
 
 
-def _schema(df: DataFrame, keep: list[str], extra: str) -> str:
-    kinds = dict(df.dtypes)
-    return ", ".join([f"`{c}` {kinds[c]}" for c in keep] + [extra])
+def _texts(docs: DataFrame, keep: list[str], text_col: str) -> DataFrame:
+    return docs.select(*keep, F.col(text_col).cast("string").alias("__text"))
 
 
 def encode(docs: DataFrame, keep: list[str], text_col: str = "text",
            vocabulary: str | None = None) -> DataFrame:
     """``keep`` columns plus ``ids`` (array<int>): the token ids of the whole text."""
-    path = vocabulary or default_vocabulary()
-
-    def run(batches):
-        bpe = _load(path)
-        for batch in batches:
-            texts = batch.column(len(keep)).to_pylist()
-            for lo, hi in _chunks(texts):
-                ids, sizes = bpe.encode([t or "" for t in texts[lo:hi]])
-                offsets = np.append(0, np.cumsum(sizes)).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids.astype(np.int32)))
-                yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(i).slice(lo, hi - lo) for i in range(len(keep))), lists],
-                    names=[*keep, "ids"])
-
-    rows = docs.select(*keep, F.col(text_col).cast("string").alias("__text"))
-    return rows.mapInArrow(run, _schema(docs, keep, "ids array<int>"))
+    path, held = vocabulary or default_vocabulary(), len(keep)
+    return _texts(docs, keep, text_col).mapInArrow(
+        lambda batches: _encoded(batches, path, held), _schema(docs, keep, "ids array<int>"))
 
 
 def decode(encoded: DataFrame, keep: list[str], vocabulary: str | None = None) -> DataFrame:
-    """``keep`` columns plus ``decoded``: the text of the ``ids``."""
-    path = vocabulary or default_vocabulary()
+    """``keep`` columns, ``ids`` and ``decoded``: the text of the ids."""
+    path, held = vocabulary or default_vocabulary(), len(keep)
+    return encoded.select(*keep, "ids").mapInArrow(
+        lambda batches: _decoded(batches, path, held),
+        _schema(encoded, keep, "ids array<int>", "decoded string"))
 
-    def run(batches):
-        bpe = _load(path)
-        for batch in batches:
-            lists = batch.column(len(keep))
-            texts = pa.array([bpe.decode(x.values.to_pylist()) if x.is_valid else "" for x in lists], pa.string())
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keep))), texts],
-                                             names=[*keep, "decoded"])
 
-    return encoded.select(*keep, "ids").mapInArrow(run, _schema(encoded, keep, "decoded string"))
+def encode_decode(docs: DataFrame, keep: list[str], text_col: str = "text",
+                  vocabulary: str | None = None) -> DataFrame:
+    """:func:`encode` and :func:`decode` in one pass: one Python worker per task."""
+    path, held = vocabulary or default_vocabulary(), len(keep)
+    return _texts(docs, keep, text_col).mapInArrow(
+        lambda batches: _decoded(_encoded(batches, path, held), path, held),
+        _schema(docs, keep, "ids array<int>", "decoded string"))
 
 
 def token_digests(docs: DataFrame, keep: list[str], text_col: str = "text",
                   vocabulary: str | None = None) -> DataFrame:
-    """Encode, then decode what was encoded: ``keep``, n_tokens, ids_sha256, decoded_sha256.
-    The ids travel on with their digest, so the two passes need no join."""
-    enc = encode(docs, keep, text_col, vocabulary)
-    enc = enc.select(*keep, "ids", F.size("ids").cast("long").alias("n_tokens"),
-                     F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"))
-    held = [*keep, "n_tokens", "ids_sha256"]
-    dec = decode(enc, held, vocabulary)
-    return dec.select(*held, F.sha2("decoded", 256).alias("decoded_sha256"))
+    """``keep``, n_tokens, ids_sha256 and decoded_sha256 of the whole texts."""
+    both = encode_decode(docs, keep, text_col, vocabulary)
+    return both.select(*keep, F.size("ids").cast("long").alias("n_tokens"),
+                       F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op2_bpe(spark, sf_dir: str) -> DataFrame:
