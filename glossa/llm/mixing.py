@@ -31,7 +31,7 @@ from ..session import materialize
 BUCKETS = 1 << 14
 EVIDENCE = 50
 SMOOTHING = 0.7
-RIDGE = 1e-3
+RIDGE = 1e-4
 STEPS, TOLERANCE = 40, 1e-4
 #: Domains at most; more would make the table of word counts unbounded.
 MAX_DOMAINS = 256

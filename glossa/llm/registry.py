@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, language_id, mixing, ngram_join, sharding, url_filter
+from . import bpe, exact_dedup, fingerprints, language_id, mixing, ngram_join, sharding, url_filter
 
 QUERIES = {f.__name__: f for f in (
     sharding.op1_sharding,
     bpe.op2_bpe,
     exact_dedup.op4_exact_dedup,
+    fingerprints.op5_fingerprints,
     mixing.op7_mixing,
     ngram_join.op8_ngram_join,
     url_filter.op9_url_filter,
