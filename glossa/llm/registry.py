@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, fingerprints, language_id, mixing, ngram_join, sharding, url_filter
+from . import bpe, exact_dedup, fingerprints, language_id, mixing, ngram_join, sharding, url_filter, warc
 
 QUERIES = {f.__name__: f for f in (
     sharding.op1_sharding,
     bpe.op2_bpe,
     exact_dedup.op4_exact_dedup,
     fingerprints.op5_fingerprints,
+    warc.op6_warc,
     mixing.op7_mixing,
     ngram_join.op8_ngram_join,
     url_filter.op9_url_filter,
@@ -18,5 +19,6 @@ QUERIES = {f.__name__: f for f in (
 ORACLES = {
     "op1_sharding": sharding.ORACLE_SQL,
     "op4_exact_dedup": exact_dedup.ORACLE_SQL,
+    "op6_warc": warc.ORACLE_SQL,
     "op9_url_filter": url_filter.ORACLE_SQL,
 }
