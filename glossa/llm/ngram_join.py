@@ -42,7 +42,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -328,6 +328,12 @@ def _with_ids(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return pairs.join(a, "ka").join(b, "kb").filter(near)
 
 
+def _enough(percent: int) -> Column:
+    """Whether two sets that share ``c`` emitted parts may link, by their sizes."""
+    differ = F.floor((F.col("na") + F.col("nb")) * (100 - percent) / (100 + percent))
+    return (F.least("la", "lb") < 0) | (F.col("c") >= F.least("la", "lb") - differ)
+
+
 def _residual(groups: DataFrame, classes: DataFrame, labels: DataFrame | None) -> DataFrame:
     """Signature groups that still hold several components: (sig, key, comp, members)."""
     comp = classes.filter("n >= 3").select("key", "rep")
@@ -342,8 +348,8 @@ def _residual(groups: DataFrame, classes: DataFrame, labels: DataFrame | None) -
     return rows.join(by.select("sig", "members"), "sig")
 
 
-def similar_edges(docs: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFrame | None:
-    """Edges (a, b) between class representatives, one component per linked group."""
+def similar_classes(docs: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(id, comp) of the class representatives that link with another class."""
     found = postings(docs, frequent_bitmap(docs))
     by_sig = W.partitionBy("sig")
     groups = (found.withColumns({"lead": F.min("key").over(by_sig), "top": F.max("key").over(by_sig)})
@@ -351,8 +357,9 @@ def similar_edges(docs: DataFrame, classes: DataFrame, percent: int = PERCENT) -
     groups = materialize(groups, "signature-groups")
     # first against the leader that a set shares most signatures with
     shared = (groups.filter("key != lead").groupBy("lead", "key").agg(F.count("*").alias("c")))
-    best = shared.groupBy("key").agg(F.max_by("lead", F.struct("c", "lead")).alias("lead"))
-    first = _with_ids(best.select(F.col("lead").alias("ka"), F.col("key").alias("kb")), classes, percent)
+    best = shared.groupBy("key").agg(F.max(F.struct("c", "lead")).alias("m"))
+    first = _with_ids(best.select(F.col("m.lead").alias("ka"), F.col("key").alias("kb"), F.col("m.c").alias("c")),
+                      classes, percent).filter(_enough(percent))  # the others are left to the rounds below
     first = materialize(_oriented(first).distinct(), "pairs")
     edges = materialize(_oriented(verify(first, docs, percent)), "links")
     done = first.select("a", "b")  # pairs already verified, linked or not
@@ -362,7 +369,7 @@ def similar_edges(docs: DataFrame, classes: DataFrame, percent: int = PERCENT) -
         labels = components(edges)
         rest = materialize(_residual(groups, classes, labels), "open-groups")
         if rest.isEmpty():
-            return edges
+            return labels
         small = rest.filter(F.col("members") <= GROUP)
         large = rest.filter(F.col("members") > GROUP)
         rank = F.row_number().over(W.partitionBy("sig").orderBy("key"))
@@ -376,9 +383,7 @@ def similar_edges(docs: DataFrame, classes: DataFrame, percent: int = PERCENT) -
         if counts_whole:
             # a linked pair shares so many of its emitted parts.  Pairs of a large group
             # pass as they are, for not all their groups are counted yet
-            differ = F.floor((F.col("na") + F.col("nb")) * (100 - percent) / (100 + percent))
-            need = F.least("la", "lb") - differ
-            pairs = pairs.filter((F.least("la", "lb") < 0) | (F.col("members") > GROUP) | (F.col("c") >= need))
+            pairs = pairs.filter(_enough(percent) | (F.col("members") > GROUP))
         pairs = materialize(_oriented(pairs).distinct().join(done, ["a", "b"], "left_anti"), "pairs")
         more = materialize(_oriented(verify(pairs, docs, percent)), "links")
         edges = edges.unionByName(more)
@@ -386,7 +391,7 @@ def similar_edges(docs: DataFrame, classes: DataFrame, percent: int = PERCENT) -
         counts_whole = False
         # a group searched in full is finished; a large one loses this round's leaders
         if heads.isEmpty():
-            return edges
+            return components(edges) if not more.isEmpty() else labels
         groups = materialize(large.select("sig", "key").join(heads.select("sig", "key"), ["sig", "key"], "left_anti"),
                              "signature-members")
 
@@ -399,8 +404,7 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text"))
     keys = materialize(set_keys(rows), "set-keys")
     classes = _classes(keys)
-    edges = similar_edges(rows, classes, percent)
-    labels = components(edges)
+    labels = similar_classes(rows, classes, percent)
     # the component of a class, over representatives; other documents take their class's
     named = classes.join(labels.withColumnRenamed("id", "rep"), "rep", "left") \
                    .select("n", "key", "key2", F.coalesce("comp", "rep").alias("comp"))

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, fingerprints, language_id, mixing, ngram_join, sharding, url_filter, warc
+from . import bpe, exact_dedup, fingerprints, html_text, language_id, mixing, ngram_join, sharding, url_filter, warc
 
 QUERIES = {f.__name__: f for f in (
     sharding.op1_sharding,
     bpe.op2_bpe,
+    html_text.op3_html_text,
     exact_dedup.op4_exact_dedup,
     fingerprints.op5_fingerprints,
     warc.op6_warc,
