@@ -14,10 +14,15 @@ d <= k(n) whichever of the two n is.
 * Small bands enumerate all subsets of parts that leave out the most that may differ.
 * Larger bands enumerate the single parts.  Of the m non-empty parts of linked sets at
   least m - d agree, so two sets already share one of their k + 1 first parts in any
-  common order.  The order puts parts made of corpus-wide frequent shingles last, so a
-  line or passage that many documents share makes no candidates by itself.  Some parts
-  beyond k + 1 are emitted as well, which raises the number a linked pair must share and
-  rejects pairs without reading their texts.
+  common order.  The order goes by the corpus-wide frequency of a part's rarest shingle,
+  so a line or passage that many documents share makes no candidates by itself.  Some
+  parts beyond k + 1 are emitted as well, which raises the number a linked pair must share
+  and rejects pairs without reading their texts.
+* A set that runs out of rare parts emits frequent ones, too, and then each of its rare
+  shingles alone.  Two such sets either meet in a rare shingle, or share none, and then
+  they differ in all r rare shingles of both: their frequent signatures count only if
+  r_a + r_b <= d.  So documents around a common passage are not compared with each other
+  unless nearly all they hold is common.
 * A set with at most k non-empty parts also emits its band's "few parts" signature.
 
 **Pairs.**  Sets that share a signature are checked against the least set of the group,
@@ -28,7 +33,8 @@ ones, until no group is left.  Every candidate is verified on whole texts, so th
 the leaders and the frequency table decide cost only, never the result.
 
 Frequent shingles are counted over all documents: each task counts its own and passes on
-those above a floor.  They and the documents to verify travel as bitmaps of fixed size.
+those above a floor.  Frequency classes and documents to verify travel as tables of fixed
+size.
 
 Defined results: null, empty and blank texts have the empty set, link with nothing and
 are their own component; equal sets link; repeated rows repeat in the result; an empty
@@ -54,9 +60,9 @@ PERCENT = 75
 #: STRETCH times their start, with as many parts as the largest size.
 SMALL, SMALL_PARTS, STRETCH = 11, 5, 4
 #: Groups up to this size are searched in full; larger ones by LEADERS a round.
-GROUP, LEADERS = 64, 16
+GROUP, LEADERS = 128, 16
 #: A task passes on shingles that it met this often among COUNTED elements; a shingle is
-#: frequent from FREQUENT on.  At most MOST_FREQUENT enter the bitmap (else FREQUENT doubles).
+#: frequent from FREQUENT on.  At most MOST_FREQUENT enter the table (else FREQUENT doubles).
 LOCAL_FLOOR, COUNTED, FREQUENT, MOST_FREQUENT = 8, 4_000_000, 32, 1 << 18
 BITMAP_BITS = 22
 
@@ -77,6 +83,8 @@ def bands(largest: int, percent: int = PERCENT) -> list[tuple[int, int, int]]:
     return out
 
 
+#: "slack" of a signature that any two sets may meet in.
+FREE = -(1 << 40)
 _BANDS = bands(1 << 40)
 _SUBSETS = list(combinations(range(SMALL_PARTS), SMALL_PARTS - allowance(SMALL)))
 
@@ -94,9 +102,15 @@ def emitted(n: int, m: int) -> int:
     return min(m, allowance(n) + 1 + n // 16)
 
 
-def signatures(s: np.ndarray, frequent: np.ndarray) -> np.ndarray:
-    """All signatures of one set.  ``frequent``: True for elements in the bitmap."""
-    n, out = s.size, []
+def signatures(s: np.ndarray, level: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
+    """All signatures of one set, and their slack: two sets need to meet in a signature only
+    if their slacks add up to 0 at most.  ``level``: frequency class per element, 0 rare."""
+    n, out, slack = s.size, [], []
+
+    def emit(sig, w=FREE):
+        out.append(sig)
+        slack.append(np.broadcast_to(np.int64(w), sig.shape) if np.isscalar(w) else w)
+
     for b, (first, last, parts) in enumerate(_BANDS):
         if first > n:
             break
@@ -105,23 +119,28 @@ def signatures(s: np.ndarray, frequent: np.ndarray) -> np.ndarray:
         numbers, at = _parts(s, parts)
         content = np.add.reduceat(mix(s), at)
         salt = mix(np.array([b + 1], np.uint64))
-        few = len(at) <= allowance(n)
         if parts == SMALL_PARTS:
             whole = np.zeros(parts, np.uint64)
             whole[numbers] = content
             full = np.zeros(parts, bool)
             full[numbers] = True
-            sig = [mix(mix(whole[list(c)].sum(keepdims=True, dtype=np.uint64)) + salt + np.uint64(i))
-                   for i, c in enumerate(_SUBSETS) if full[list(c)].any()]
-            out += sig
+            for i, c in enumerate(_SUBSETS):
+                if full[list(c)].any():
+                    emit(mix(mix(whole[list(c)].sum(keepdims=True, dtype=np.uint64)) + salt + np.uint64(i)))
         else:
             sig = mix(content + salt)
-            common = np.minimum.reduceat(frequent, at)
-            order = np.lexsort((sig, common))
-            out.append(sig[order[:emitted(n, len(at))]])
-        if few:
-            out.append(mix(salt))
-    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+            common = np.minimum.reduceat(level, at)
+            order = np.lexsort((sig, common))[:emitted(n, len(at))]
+            hot = common[order] > 0
+            rare = s[level == 0]
+            emit(sig[order], np.where(hot, (100 + percent) * rare.size - (100 - percent) * n, FREE).astype(np.int64))
+            if hot.any() and rare.size:
+                emit(mix(mix(rare) + salt))
+        if len(at) <= allowance(n):
+            emit(mix(salt))
+    if not out:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    return np.concatenate(out), np.concatenate(slack)
 
 
 def _least_emitted(s: np.ndarray) -> int:
@@ -198,8 +217,10 @@ def _distinct_sets(batches, column: int):
                 yield key[0], s
 
 
-def frequent_bitmap(docs: DataFrame) -> np.ndarray:
-    """Bitmap of the shingles that many documents hold."""
+def frequency_levels(docs: DataFrame) -> np.ndarray:
+    """Frequency class of a shingle by its low BITMAP_BITS bits: 0 rare, then one more for
+    each doubling of its count.  A rare shingle that shares the bits of a frequent one
+    counts as frequent everywhere, which costs little and changes no result."""
     def counted(parts):
         h, n = np.unique(np.concatenate(parts), return_counts=True)
         often = n >= LOCAL_FLOOR
@@ -222,35 +243,42 @@ def frequent_bitmap(docs: DataFrame) -> np.ndarray:
     floor = FREQUENT
     while totals.filter(F.col("n") >= floor).count() > MOST_FREQUENT:
         floor *= 2
-    return _bitmap(totals.filter(F.col("n") >= floor), "h")
+    rows = (totals.filter(F.col("n") >= floor)
+                  .groupBy(F.col("h").bitwiseAND((1 << BITMAP_BITS) - 1).alias("low"))
+                  .agg((F.floor(F.log2(F.max("n") / floor)) + 1).cast("int").alias("level")).toArrow())
+    out = np.zeros(1 << BITMAP_BITS, np.uint8)
+    out[np.asarray(rows.column("low"))] = np.asarray(rows.column("level"))
+    return out
 
 
-def postings(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """(sig, key) rows: the signatures of every set."""
-    shared = docs.sparkSession.sparkContext.broadcast(frequent)  # 2**BITMAP_BITS bits
+def postings(docs: DataFrame, levels: np.ndarray, percent: int = PERCENT) -> DataFrame:
+    """(sig, slack, key) rows: the signatures of every set."""
+    shared = docs.sparkSession.sparkContext.broadcast(levels)  # 2**BITMAP_BITS bytes
+
+    def listed(keys, sigs, slack):
+        offsets = pa.array(np.append(0, np.cumsum([x.size for x in sigs])).astype(np.int32))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(keys, pa.int64()), *(pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(x)))
+                                           for x in (sigs, slack))], names=["key", "sigs", "slack"])
 
     def run(batches):
-        keys, sigs, size = [], [], 0
+        keys, sigs, slack, size = [], [], [], 0
         for key, s in _distinct_sets(batches, 0):
-            sig = signatures(s, _in_bitmap(shared.value, s))
+            level = shared.value[(s & np.uint64((1 << BITMAP_BITS) - 1)).astype(np.int64)]
+            sig, w = signatures(s, level, percent)
             keys.append(key)
             sigs.append(sig.view(np.int64))
+            slack.append(w)
             size += sig.size
             if size >= 500_000:
-                yield _listed(keys, sigs)
-                keys, sigs, size = [], [], 0
+                yield listed(keys, sigs, slack)
+                keys, sigs, slack, size = [], [], [], 0
         if keys:
-            yield _listed(keys, sigs)
-
-    rows = docs.select("text").mapInArrow(run, "key bigint, sigs array<bigint>")
-    return rows.select(F.explode("sigs").alias("sig"), "key")
-
+            yield listed(keys, sigs, slack)
 
-def _listed(keys, sigs):
-    offsets = np.append(0, np.cumsum([x.size for x in sigs])).astype(np.int32)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(keys, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(sigs)))],
-        names=["key", "sigs"])
+    rows = docs.select("text").mapInArrow(run, "key bigint, sigs array<bigint>, slack array<bigint>")
+    return rows.select("key", F.explode(F.arrays_zip("sigs", "slack")).alias("s")) \
+               .select(F.col("s.sigs").alias("sig"), F.col("s.slack").alias("slack"), "key")
 
 
 def verify(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -334,26 +362,29 @@ def _enough(percent: int) -> Column:
     return (F.least("la", "lb") < 0) | (F.col("c") >= F.least("la", "lb") - differ)
 
 
-def _residual(groups: DataFrame, classes: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Signature groups that still hold several components: (sig, key, comp, members)."""
-    comp = classes.filter("n >= 3").select("key", "rep")
-    if labels is not None:
-        comp = comp.join(labels.withColumnRenamed("id", "rep"), "rep", "left")
-    else:
-        comp = comp.withColumn("comp", F.col("rep"))
+def _residual(groups: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
+    """Signature groups that still hold several components: (sig, slack, key, comp, members).
+    Sets that may meet nobody in their group by their slack are left out."""
+    comp = classes.filter("n >= 3").select("key", "rep") \
+                  .join(labels.withColumnRenamed("id", "rep"), "rep", "left")
     # keys that two classes share (a hash collision) stay apart: they have two rows here
-    rows = groups.select("sig", "key").join(comp.select("key", F.coalesce("comp", "rep").alias("comp")), "key")
+    rows = groups.join(comp.select("key", F.coalesce("comp", "rep").alias("comp")), "key")
+    least = rows.groupBy("sig").agg(F.min("slack").alias("least"), F.min("comp").alias("lo"),
+                                    F.max("comp").alias("hi")).filter("lo != hi and least <= 0")
+    rows = rows.join(least.select("sig", "least"), "sig").filter("slack + least <= 0")
     by = rows.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
                                  F.count("*").alias("members")).filter("lo != hi")
-    return rows.join(by.select("sig", "members"), "sig")
+    return rows.join(by.select("sig", "members"), "sig").select("sig", "slack", "key", "comp", "members")
 
 
 def similar_classes(docs: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(id, comp) of the class representatives that link with another class."""
-    found = postings(docs, frequent_bitmap(docs))
+    found = postings(docs, frequency_levels(docs), percent)
     by_sig = W.partitionBy("sig")
-    groups = (found.withColumns({"lead": F.min("key").over(by_sig), "top": F.max("key").over(by_sig)})
-                   .filter("lead != top").select("sig", "key", "lead"))
+    groups = (found.withColumns({"lead": F.min(F.struct("slack", "key")).over(by_sig),
+                                 "low": F.min("key").over(by_sig), "top": F.max("key").over(by_sig)})
+                   .filter("low != top and slack + lead.slack <= 0")
+                   .select("sig", "slack", "key", F.col("lead.key").alias("lead")))
     groups = materialize(groups, "signature-groups")
     # first against the leader that a set shares most signatures with
     shared = (groups.filter("key != lead").groupBy("lead", "key").agg(F.count("*").alias("c")))
@@ -364,7 +395,7 @@ def similar_classes(docs: DataFrame, classes: DataFrame, percent: int = PERCENT)
     edges = materialize(_oriented(verify(first, docs, percent)), "links")
     done = first.select("a", "b")  # pairs already verified, linked or not
     counts_whole = True
-    groups = materialize(groups.select("sig", "key").distinct(), "signature-members")
+    groups = groups.groupBy("sig", "key").agg(F.min("slack").alias("slack"))
     while True:
         labels = components(edges)
         rest = materialize(_residual(groups, classes, labels), "open-groups")
@@ -372,11 +403,13 @@ def similar_classes(docs: DataFrame, classes: DataFrame, percent: int = PERCENT)
             return labels
         small = rest.filter(F.col("members") <= GROUP)
         large = rest.filter(F.col("members") > GROUP)
-        rank = F.row_number().over(W.partitionBy("sig").orderBy("key"))
+        rank = F.row_number().over(W.partitionBy("sig").orderBy("slack", "key"))
         heads = materialize(large.withColumn("r", rank).filter(F.col("r") <= LEADERS).drop("r"), "heads")
-        x = small.unionByName(heads).select("sig", F.col("key").alias("ka"), F.col("comp").alias("ca"), "members")
-        y = rest.select("sig", F.col("key").alias("kb"), F.col("comp").alias("cb"))
-        meet = (x.join(y, "sig").filter("ca != cb and ka != kb and (members > %d or ka < kb)" % GROUP)
+        x = small.unionByName(heads).select("sig", F.col("key").alias("ka"), F.col("comp").alias("ca"),
+                                            F.col("slack").alias("wa"), "members")
+        y = rest.select("sig", F.col("key").alias("kb"), F.col("comp").alias("cb"), F.col("slack").alias("wb"))
+        meet = (x.join(y, "sig")
+                 .filter(f"wa + wb <= 0 and ca != cb and ka != kb and (members > {GROUP} or ka < kb)")
                  .select(F.least("ka", "kb").alias("ka"), F.greatest("ka", "kb").alias("kb"), "members")
                  .groupBy("ka", "kb").agg(F.count("*").alias("c"), F.max("members").alias("members")))
         pairs = _with_ids(meet, classes, percent)
@@ -392,8 +425,7 @@ def similar_classes(docs: DataFrame, classes: DataFrame, percent: int = PERCENT)
         # a group searched in full is finished; a large one loses this round's leaders
         if heads.isEmpty():
             return components(edges) if not more.isEmpty() else labels
-        groups = materialize(large.select("sig", "key").join(heads.select("sig", "key"), ["sig", "key"], "left_anti"),
-                             "signature-members")
+        groups = large.select("sig", "slack", "key").join(heads.select("sig", "key"), ["sig", "key"], "left_anti")
 
 
 def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
