@@ -28,8 +28,8 @@ d <= k(n) whichever of the two n is.
 **Pairs.**  Sets that share a signature are checked against the least set of the group,
 each set only against the leader it shares most with, not all against all.  Links give
 components.  Then only groups that still hold several components are searched on: all
-pairs between components in groups up to ``GROUP``, a few leaders per round in larger
-ones, until no group is left.  Every candidate is verified on whole texts, so the order,
+pairs between components in groups up to ``GROUP``, a few leaders (of the smallest
+components) per round in larger ones, until no group is left.  Every candidate is verified on whole texts, so the order,
 the leaders and the frequency table decide cost only, never the result.
 
 Frequent shingles are counted over all documents: each task counts its own and passes on
@@ -60,7 +60,7 @@ PERCENT = 75
 #: STRETCH times their start, with as many parts as the largest size.
 SMALL, SMALL_PARTS, STRETCH = 11, 5, 4
 #: Groups up to this size are searched in full; larger ones by LEADERS a round.
-GROUP, LEADERS = 128, 16
+GROUP, LEADERS = 128, 32
 #: A task passes on shingles that it met this often among COUNTED elements; a shingle is
 #: frequent from FREQUENT on.  At most MOST_FREQUENT enter the table (else FREQUENT doubles).
 LOCAL_FLOOR, COUNTED, FREQUENT, MOST_FREQUENT = 8, 4_000_000, 32, 1 << 18
@@ -403,8 +403,12 @@ def similar_classes(docs: DataFrame, classes: DataFrame, percent: int = PERCENT)
             return labels
         small = rest.filter(F.col("members") <= GROUP)
         large = rest.filter(F.col("members") > GROUP)
-        rank = F.row_number().over(W.partitionBy("sig").orderBy("slack", "key"))
-        heads = materialize(large.withColumn("r", rank).filter(F.col("r") <= LEADERS).drop("r"), "heads")
+        # members of small components lead: once they are compared with all others, a group
+        # around one large component is finished
+        size = F.count("*").over(W.partitionBy("sig", "comp"))
+        rank = F.row_number().over(W.partitionBy("sig").orderBy("size", "comp", "key"))
+        heads = large.withColumn("size", size).withColumn("r", rank).filter(F.col("r") <= LEADERS).drop("r", "size")
+        heads = materialize(heads, "heads")
         x = small.unionByName(heads).select("sig", F.col("key").alias("ka"), F.col("comp").alias("ca"),
                                             F.col("slack").alias("wa"), "members")
         y = rest.select("sig", F.col("key").alias("kb"), F.col("comp").alias("cb"), F.col("slack").alias("wb"))
