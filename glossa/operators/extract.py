@@ -9,8 +9,12 @@ leaving this module is a STRING or INT.
 
 from __future__ import annotations
 
+import json
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import has_text, py_str_variant
 from ..session import balance
@@ -20,6 +24,7 @@ from ..schemas import VARIANT_FIELDS
 # Where the entry array sits in a converted locale document, then the two fallbacks.
 NESTED_ENTRIES_PATH = "$.Data.RootChunk.root.Data.entries"
 FLAT_ENTRIES_PATH = "$.entries"
+ENTRY_LOCATIONS = (NESTED_ENTRIES_PATH, FLAT_ENTRIES_PATH, "$")
 KEY_FIELD = "secondaryKey"
 KEY_FALLBACK_FIELD = "$type"
 KEY_DEFAULT = "unknown"
@@ -58,9 +63,58 @@ def locate_entries(doc: Column) -> Column:
     )
 
 
+def entry_list(data) -> list:
+    """The entry list of a document parsed by Python's ``json``: the first of
+    ENTRY_LOCATIONS that holds a list, else an empty list."""
+    for path in ENTRY_LOCATIONS:
+        found = data
+        for step in path.split(".")[1:]:
+            found = found.get(step) if isinstance(found, dict) else None
+        if isinstance(found, list):
+            return found
+    return []
+
+
+def _entry_json(entry) -> str:
+    """The fields of one entry that extraction reads, as JSON text; NaN and infinities,
+    which only Python's ``json`` accepts, become their text."""
+    if not isinstance(entry, dict):
+        return "null"
+    kept = {}
+    for name in (KEY_FIELD, KEY_FALLBACK_FIELD, ID_FIELD, *VARIANT_FIELDS):
+        if name in entry:
+            value = entry[name]
+            if name in VARIANT_FIELDS and not isinstance(value, str):
+                value = None  # only texts are translated
+            try:
+                json.dumps(value, allow_nan=False)
+            except ValueError:
+                value = str(value)
+            kept[name] = value
+    return json.dumps(kept, ensure_ascii=False)
+
+
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _entries_beyond_variant(text: pd.Series) -> pd.Series:
+    """Entries of documents that ``try_parse_json`` refuses though Python accepts them:
+    larger than one VARIANT may be, or holding NaN.  NULL for text that is no JSON."""
+    def entries(t):
+        if t is None:
+            return None
+        try:
+            return [_entry_json(e) for e in entry_list(json.loads(t))]
+        except (ValueError, RecursionError):
+            return None
+    return text.map(entries, na_action="ignore").astype(object).where(text.notna(), None)
+
+
 def parse_documents(docs: DataFrame, content_col: str = "content") -> DataFrame:
-    """(filepath, content) -> (filepath, doc VARIANT, reason).  ``reason`` is NULL
-    for good files, ``invalid_utf8`` or ``invalid_json`` otherwise (quarantine)."""
+    """(filepath, content) -> (filepath, doc VARIANT, entries array<variant>, reason).
+    ``reason`` is NULL for good files, ``invalid_utf8`` or ``invalid_json`` otherwise
+    (quarantine).  The size limit of a VARIANT holds per entry, not per document: a
+    document that is not parsed natively gets a second chance entry by entry."""
+    # JSON objects with duplicate keys parse like Python's json (the last one wins)
+    docs.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     content = F.col(content_col)
     if dict(docs.dtypes)[content_col] == "binary":
         text = decode_text(content)
@@ -68,10 +122,19 @@ def parse_documents(docs: DataFrame, content_col: str = "content") -> DataFrame:
         text = F.regexp_replace(content, r"^\x{FEFF}", "")
     parsed = docs.select("filepath", text.alias("_text"))
     parsed = parsed.select("filepath", "_text", strict_json(F.col("_text")).alias("doc"))
+    # only refused texts travel to Python; the others are NULL there
+    parsed = parsed.withColumn("_more", _entries_beyond_variant(
+        F.when(F.col("doc").isNull(), F.col("_text"))))
+    more = F.transform("_more", lambda e: F.try_parse_json(e))
     return parsed.select(
-        "filepath", "doc",
+        "filepath", "doc", F.when(F.col("_more").isNotNull(), more).alias("more"),
         F.when(F.col("_text").isNull(), F.lit("invalid_utf8"))
-         .when(F.col("doc").isNull(), F.lit("invalid_json")).alias("reason"))
+         .when(F.col("doc").isNull() & F.col("_more").isNull(), F.lit("invalid_json")).alias("reason"))
+
+
+def entries_of(doc: str = "doc", more: str = "more") -> Column:
+    """Entry list of a parsed document, however it was parsed."""
+    return F.coalesce(F.col(more), locate_entries(F.col(doc)))
 
 
 def quarantine(parsed: DataFrame, stage: str = "extract") -> DataFrame:
@@ -96,7 +159,7 @@ def extract_entries(docs: DataFrame, content_col: str = "content") -> DataFrame:
     # the parse twice in one oversized generated method.  A bad file has a NULL doc,
     # whose entry list is empty; the outer explode yields one NULL row per such file,
     # removed by a filter on the generated position, which stays above the generator.
-    exploded = (parsed.select("filepath", F.posexplode_outer(locate_entries(F.col("doc")))
+    exploded = (parsed.select("filepath", F.posexplode_outer(entries_of())
                               .alias("entry_idx", "en"))
                       .filter(F.col("entry_idx").isNotNull()))
     en = F.col("en")
@@ -112,7 +175,9 @@ def extract_entries(docs: DataFrame, content_col: str = "content") -> DataFrame:
         "filepath", F.col("entry_idx").cast("int").alias("entry_idx"),
         py_str_variant(key).alias("string_key"),
         # Missing or JSON null -> NULL, else str(value)
-        F.when(F.schema_of_variant(sid) == "VOID", F.lit(None).cast("string"))
+        # and '' is no id (T19), from here on in every key
+        F.when((F.schema_of_variant(sid) == "VOID") | (sid.try_cast("string") == ""),
+               F.lit(None).cast("string"))
          .otherwise(py_str_variant(sid)).alias("string_id"),
         F.explode(F.array(*[
             F.struct(F.lit(i).alias("variant_idx"), F.lit(f).alias("field"),
@@ -148,7 +213,7 @@ def extraction_metrics(docs: DataFrame, content_col: str = "content") -> DataFra
     per entry otherwise; each row carries the number of variants it contributes, so
     a single global aggregate (partial per task) yields all three counters."""
     parsed = parse_documents(balance(docs), content_col)
-    ex = parsed.select("reason", F.posexplode_outer(locate_entries(F.col("doc")))
+    ex = parsed.select("reason", F.posexplode_outer(entries_of())
                        .alias("entry_idx", "en"))
     en = F.col("en")
     is_obj = F.coalesce(F.schema_of_variant(en).startswith("OBJECT"), F.lit(False))
@@ -158,8 +223,8 @@ def extraction_metrics(docs: DataFrame, content_col: str = "content") -> DataFra
         ok = is_obj & (F.schema_of_variant(val) == "STRING") & has_text(val.cast("string"))
         kept = kept + F.coalesce(ok, F.lit(False)).cast("int")
     agg = ex.agg(F.sum(kept).cast("long").alias("entries"),
-                 F.count_if(F.col("entry_idx").isNull() | (F.col("entry_idx") == 0))
-                  .cast("long").alias("files"),
+                 F.count_if((F.col("entry_idx").isNull() | (F.col("entry_idx") == 0))
+                            & F.col("reason").isNull()).cast("long").alias("files"),
                  F.count_if(F.col("reason").isNotNull()).cast("long").alias("files_skipped"))
     return agg.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("metric"), F.col(c).alias("value"))

@@ -62,11 +62,9 @@ def all_failed_gate(outcomes: DataFrame, ok_col: str = "ok", what: str = "unbund
 
 def header_gate(columns, required=LOG_CSV_COLUMNS) -> None:
     """Required columns minus present columns must be empty (schema metadata only)."""
-    if not columns:
-        raise ValueError("Translation log is empty")
-    missing = set(required) - set(columns)
-    if missing:
-        raise ValueError(f"Translation log missing columns: {sorted(missing)}")
+    absent = [c for c in required if c not in columns]
+    if absent:
+        raise ValueError(f"a translation log needs the columns {', '.join(required)}; absent: {', '.join(absent)}")
 
 
 def zero_update_gate(apply_counts: DataFrame) -> dict:

@@ -30,7 +30,6 @@ from .replies import STATUS_OK, envelope_text, parse_replies
 # --- fixed values -------------------------------------------------------------------
 MAX_ATTEMPTS = 3
 BACKOFF_BASE_SECONDS = 2.0   # wait base ** attempt between attempts: 2 s, then 4 s
-ERROR_CHARS = 500
 # ------------------------------------------------------------------------------------
 
 REQUEST_FIELDS = ("batch_id", "n", "prompt", "provider", "model", "body", "texts")
@@ -53,7 +52,7 @@ def _call_round(requests: DataFrame, fn_factory: Callable[[], Callable[[dict], s
                     out_err.append(None)
                 except Exception as e:  # noqa: BLE001 - any failure is a failed attempt
                     out_raw.append(None)
-                    out_err.append(f"{type(e).__name__}: {e}".strip()[:ERROR_CHARS])
+                    out_err.append(f"{type(e).__name__}: {e}".strip())
             yield pd.DataFrame({"batch_id": pdf["batch_id"].astype("int64"),
                                 "n": pdf["n"].astype("int32"),
                                 "attempt": pd.Series([attempt] * len(pdf), dtype="int32"),

@@ -56,13 +56,14 @@ def markup_report(df: DataFrame, src: str = "source_text", tgt: str = "translate
 def length_ratio(df: DataFrame, src: str = "source_text", tgt: str = "translated_text",
                  max_ratio: float = 1.5) -> DataFrame:
     """length(translation) / length(source) and an overflow flag."""
-    ratio = F.length(tgt).cast("double") / F.length(src)
+    # an empty source has no ratio
+    ratio = F.try_divide(F.length(tgt).cast("double"), F.length(src))
     return df.withColumn("ratio", ratio).withColumn("too_long", F.col("ratio") > max_ratio)
 
 
 def stale_translations(entries: DataFrame, log: DataFrame) -> DataFrame:
     """Entries whose latest log record was made from a different source text."""
-    lt = normalize_ids(latest_per_key(log))
+    lt = latest_per_key(log)
     e = normalize_ids(entries)
     j = e.join(lt, key_match(e, lt), "inner")
     return j.select(*[e[c] for c in e.columns], lt["log_source_text"],

@@ -14,7 +14,10 @@ from pyspark.sql import functions as F
 from ..schemas import ENTRY_KEY
 from .dedup import expand_dedup
 from .replies import explode_items
+from .resume import normalize_ids
 
+#: Run ids of records read from a CSV log start like this; the file's name follows.
+IMPORTED = "imported"
 LOG_ORDER = ("run_id", "batch_id", "pos", "variant_idx")
 LOG_COLUMNS = ("run_id", "batch_id", "pos", "variant_idx", "filepath", "string_key",
                "string_id", "field", "source_text", "translated_text", "status")
@@ -47,12 +50,20 @@ def append_log(records: DataFrame, log_path: str) -> None:
     records.select(*LOG_COLUMNS).write.mode("append").partitionBy("run_id").parquet(log_path)
 
 
+def run_rank(run_id: str = "run_id"):
+    """Sort key of a run: imported records come before those of any run, runs by their id
+    (dated ids sort by time; a stream's ids start with the date of its start, too)."""
+    r = F.col(run_id)
+    return F.struct((~r.startswith(IMPORTED)).alias("own"), r.alias("id"))
+
+
 def latest_per_key(log: DataFrame, order=LOG_ORDER) -> DataFrame:
     """The last record per entry key (``max_by`` over the log order).  NULL ids
     group together.  Map-side combined: a hot key costs one row per partition."""
-    o = F.struct(*[F.col(c) for c in order])
+    o = F.struct(*[run_rank() if c == "run_id" else F.col(c) for c in order])
     payload = F.struct(F.col("translated_text"), F.col("source_text"))
-    return (log.groupBy(*ENTRY_KEY)
+    # '' and NULL ids are one key, so they must be one before the grouping
+    return (normalize_ids(log).groupBy(*ENTRY_KEY)
                .agg(F.max_by(payload, o).alias("_last"))
                .select(*ENTRY_KEY, F.col("_last.translated_text").alias("translated_text"),
                        F.col("_last.source_text").alias("log_source_text")))

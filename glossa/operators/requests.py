@@ -85,13 +85,12 @@ def body_for(provider_col, model_col, prompt_col) -> F.Column:
 def build_requests(units: DataFrame, source_lang: str, target_lang: str, provider: str,
                    model: str, title: str = DEFAULT_TITLE) -> DataFrame:
     """requests(batch_id, n, prompt, provider, model, body, texts)."""
-    from ..functions.models import check_provider, resolve_model_value
+    from ..functions.models import check_provider
     check_provider(provider)
-    model = resolve_model_value(provider, model)
     b = batch_items(units)
     prompt = prompt_column(source_lang, target_lang, title)
     return b.select(
         "batch_id", "n", prompt.alias("prompt"), F.lit(provider).alias("provider"),
-        F.lit(model).alias("model"),
+        resolve_model(F.lit(provider), F.lit(model)).alias("model"),
         F.transform("items", lambda x: x.source_text).alias("texts"),
     ).withColumn("body", body_column(provider, F.col("model"), F.col("prompt")))

@@ -6,8 +6,7 @@ aggregation before the shuffle), so a key repeated in the log never multiplies r
 a hot key on the entries side is split by AQE's skew-join handling, which supports
 left-anti joins.  Whether the key side is broadcast is decided by AQE at run time from
 the measured size of the distinct keys (``spark.sql.adaptive.autoBroadcastJoinThreshold``),
-with the shuffle join beyond it.  ``broadcast_max_keys`` forces an explicit broadcast
-after a bounded row count (for logs known to be small; costs one extra job).
+with the shuffle join beyond it.
 """
 
 from __future__ import annotations
@@ -16,9 +15,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import ENTRY_KEY, key_match
-from ..session import fits
-
-
 
 def normalize_ids(df: DataFrame) -> DataFrame:
     """An empty ``string_id`` means "no id" on both sides."""
@@ -34,16 +30,13 @@ def done_keys(log: DataFrame, translated_only: bool = True) -> DataFrame:
     return normalize_ids(log.select(*ENTRY_KEY)).distinct()
 
 
-def pending(entries: DataFrame, log: DataFrame | None, broadcast_max_keys: int | None = None,
-            translated_only: bool = True) -> DataFrame:
+def pending(entries: DataFrame, log: DataFrame | None, translated_only: bool = True) -> DataFrame:
     """Entries whose (filepath, string_key, string_id, field) is not in the log,
-    comparing NULL ids as equal."""
+    comparing NULL ids as equal.  Ids come out normalised with or without a log."""
+    e = normalize_ids(entries)
     if log is None:
-        return entries
+        return e
     keys = done_keys(log, translated_only)
-    if broadcast_max_keys and fits(keys, broadcast_max_keys):
-        keys = F.broadcast(keys)
-    e = normalize_ids(entries)
     return e.join(keys, key_match(e, keys), "left_anti")
 
 

@@ -43,15 +43,21 @@ def first_files(paths: DataFrame, limit: int | None, path_col: str = "filepath")
     return paths.orderBy(path_parts(path_col)).limit(max(1, limit))
 
 
+def limit_documents(docs: DataFrame, limit: int | None) -> DataFrame:
+    """O2 + W3 (T14): the documents of the first files of the *listing*, whether or not
+    they hold entries.  The cap needs paths only, so bodies of other files are not parsed."""
+    if limit is None or limit <= 0:
+        return docs
+    return docs.join(first_files(docs.select("filepath").distinct(), limit), "filepath", "left_semi")
+
+
 def limit_entries(entries: DataFrame, limit: int | None) -> DataFrame:
-    """O2 + O3 (T14): cap the files first (semi join), then the entries in
-    (file, entry, variant) order.  ``TakeOrderedAndProject`` keeps only ``limit`` rows
-    per task."""
+    """O3: the first entries in (file, entry, variant) order, of documents that
+    :func:`limit_documents` has capped before.  ``TakeOrderedAndProject`` keeps only
+    ``limit`` rows per task."""
     if limit is None or limit <= 0:
         return entries
-    files = first_files(entries.select("filepath").distinct(), limit)
-    kept = entries.join(files, "filepath", "left_semi")
-    return kept.orderBy(path_parts("filepath"), "entry_idx", "variant_idx").limit(limit)
+    return entries.orderBy(path_parts("filepath"), "entry_idx", "variant_idx").limit(limit)
 
 
 def manifest(archives: DataFrame, mod_name: str, name_col: str = "name") -> DataFrame:

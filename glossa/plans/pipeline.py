@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import datetime as _dt
 import json
-import os
 import time
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -23,7 +22,7 @@ from ..functions.models import check_provider, validate_settings
 from ..operators import apply as apply_op
 from ..operators import batching, dedup, gates, infer, records, requests, resume
 from ..schemas import DEFAULT_BATCH_SIZE, TRANSLATION_LOG
-from ..session import materialize, scratch_scope
+from ..session import has_data, materialize, scratch_scope
 
 
 def new_run_id(now: _dt.datetime | None = None) -> str:
@@ -153,9 +152,7 @@ def _run_waves(entries, log_path, fn_factory, source_lang, target_lang, provider
     from ..sources.logs import read_log_table
     spark = entries.sparkSession
     run_id = run_id or new_run_id()
-    local = log_path.replace("file:", "", 1)
-    has_log = not log_path.startswith(("file:", "/")) or os.path.isdir(local)
-    log = read_log_table(spark, log_path) if has_log else None
+    log = read_log_table(spark, log_path) if has_data(spark, log_path) else None
     units = plan_batches(entries, log, batch_size)
     top = units.agg(F.max("batch_id").alias("m")).first()["m"]
     if top is None:
@@ -177,6 +174,12 @@ def _run_waves(entries, log_path, fn_factory, source_lang, target_lang, provider
                                     parallelism)
         new = records.records_from_results(wave, results, run_id)
         records.append_log(new, log_path)
+        failed = failed_batches(results, wave, run_id)
+        if not failed.isEmpty():
+            failed.write.mode("append").parquet(failures_path(log_path))
+            if results.filter(F.col("status") == "ok").isEmpty():
+                # the provider is down: stop before the next wave is paid for
+                raise RuntimeError(f"every batch of wave {w} failed; see {failures_path(log_path)}")
         if metrics_path:
             r = results.agg(F.count_if(F.col("status") == "ok").alias("ok"),
                             F.count_if(F.col("status") != "ok").alias("failed")).first()
@@ -191,6 +194,19 @@ def _run_waves(entries, log_path, fn_factory, source_lang, target_lang, provider
     return waves
 
 
+def failures_path(log_path: str) -> str:
+    """Table of failed batches beside the log."""
+    return log_path.rstrip("/") + "_failures"
+
+
+def failed_batches(results: DataFrame, units: DataFrame, run_id: str) -> DataFrame:
+    """One row per batch that failed all attempts: its files, attempts, status and
+    whole error text.  Its strings stay pending for the next run."""
+    bad = results.filter(F.col("status") != "ok").select("batch_id", "n", "attempts", "status", "error")
+    files = units.groupBy("batch_id").agg(F.sort_array(F.collect_set("filepath")).alias("files"))
+    return bad.join(files, "batch_id").select(F.lit(run_id).alias("run_id"), "*")
+
+
 def write_metrics(spark, run_id: str, metrics: list[tuple[str, str, float]], path: str) -> None:
     """Append (run_id, stage, metric, value) rows, one folder per run."""
     from ..schemas import RUN_METRICS

@@ -55,6 +55,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not spark.sparkContext.master.startswith("local") or \
+                spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="glossa-ckpt-", dir="/tmp")
     spark.sparkContext.setCheckpointDir(configured)
     return spark.sparkContext.getCheckpointDir() or configured
@@ -115,9 +118,45 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
     return spark.read.parquet(path)
 
 
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """Bounded size check: reads at most ``max_rows + 1`` rows, never the whole input."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def file_system(spark: SparkSession, path: str):
+    """(Hadoop FileSystem of ``path``, its Path): local, relative or in any store."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists in its own file system, not on the driver's disk."""
+    fs, target = file_system(spark, path)
+    return bool(fs.exists(target))
+
+
+def has_data(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` is a folder that holds at least one Parquet file (a table whose
+    first append has not been committed is no table yet)."""
+    fs, target = file_system(spark, path)
+    if not fs.exists(target):
+        return False
+    files = fs.listFiles(target, True)
+    while files.hasNext():
+        if files.next().getPath().getName().endswith(".parquet"):
+            return True
+    return False
+
+
+def write_small_file(spark: SparkSession, path: str, text: str) -> None:
+    """A small file under its final name in one step: written aside, then renamed."""
+    fs, target = file_system(spark, path)
+    aside = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
+        target.getParent(), f".{target.getName()}.{uuid.uuid4().hex}")
+    out = fs.create(aside, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    if fs.exists(target):
+        fs.delete(target, False)
+    if not fs.rename(aside, target):
+        raise OSError(f"could not publish {path}")
 
 
 def balance(df: DataFrame, min_partitions: int | None = None) -> DataFrame:

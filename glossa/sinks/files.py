@@ -10,10 +10,12 @@ import json
 import os
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.records import run_rank
 from ..schemas import LOG_CSV_COLUMNS
+from ..session import exists, write_small_file
 
 CSV_WRITE_OPTIONS = {
     "header": "true", "quote": '"', "escape": '"', "emptyValue": "",
@@ -25,13 +27,18 @@ CSV_WRITE_OPTIONS = {
 def write_log_csv(log: DataFrame, path: str, single_file: bool = False) -> None:
     """K1: the 6-column CSV with header; NULL ``string_id`` is written as ''.
 
-    Rows are written in log order within each output file.  ``single_file`` funnels
-    the export through one task (only for small exports meant for a spreadsheet)."""
+    Rows are ranged by log order, so the numbered part files follow each other in it.
+    ``single_file`` funnels the export through one task (only for small exports meant for
+    a spreadsheet)."""
     order = [c for c in ("run_id", "batch_id", "pos", "variant_idx") if c in log.columns]
+    if "run_id" in order:
+        log = log.withColumn("run_id", run_rank())
     out = log.select(*order, *[F.coalesce(F.col(c), F.lit("")).alias(c) if c == "string_id"
                                else F.col(c) for c in LOG_CSV_COLUMNS])
     if single_file:
         out = out.coalesce(1)
+    elif order:
+        out = out.repartitionByRange(*order)
     if order:
         out = out.sortWithinPartitions(*order)
     out.select(*LOG_CSV_COLUMNS).write.mode("errorifexists").options(**CSV_WRITE_OPTIONS).csv(path)
@@ -44,7 +51,7 @@ def write_documents(rebuilt: DataFrame, root: str, version: str | None = None) -
     version = version or uuid.uuid4().hex
     out = f"{root.rstrip('/')}/version={version}"
     rebuilt.select("filepath", "content").write.mode("errorifexists").parquet(out)
-    publish(out, {"kind": "documents", "version": version})
+    publish(rebuilt.sparkSession, out, {"kind": "documents", "version": version})
     return out
 
 
@@ -57,7 +64,10 @@ def export_files(rebuilt: DataFrame, root: str) -> DataFrame:
         for pdf in batches:
             ok = []
             for fp, content in zip(pdf["filepath"], pdf["content"]):
-                target = os.path.join(root, fp)
+                target = os.path.normpath(os.path.join(root, fp))
+                if os.path.isabs(fp) or not target.startswith(os.path.normpath(root) + os.sep):
+                    ok.append(False)  # a path that leaves the root is not written
+                    continue
                 os.makedirs(os.path.dirname(target), exist_ok=True)
                 tmp = f"{target}.{uuid.uuid4().hex}.tmp"
                 try:
@@ -74,12 +84,9 @@ def export_files(rebuilt: DataFrame, root: str) -> DataFrame:
     return rebuilt.select("filepath", "content").mapInPandas(write, "filepath string, ok boolean")
 
 
-def publish(folder: str, meta: dict) -> None:
-    """K5: mark a completed output folder by writing its manifest last (atomic rename)."""
-    local = folder.replace("file:", "", 1)
-    if not os.path.isdir(local):
-        return
-    tmp = os.path.join(local, f"._manifest.{uuid.uuid4().hex}")
-    with open(tmp, "w", encoding="utf-8") as f:
-        json.dump(meta, f)
-    os.replace(tmp, os.path.join(local, "_MANIFEST.json"))
+def publish(spark: SparkSession, folder: str, meta: dict) -> None:
+    """K5: mark a completed output folder, in any file system, by writing its manifest
+    last (written aside, then renamed)."""
+    if not exists(spark, folder):
+        raise FileNotFoundError(f"nothing to publish at {folder}")
+    write_small_file(spark, f"{folder.rstrip('/')}/_MANIFEST.json", json.dumps(meta))

@@ -7,12 +7,11 @@ locale predicate run before any content is read.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.paths import is_locale_path, relative_to
+from ..session import exists
 
 # --- fixed values -------------------------------------------------------------------
 CONVERTED_GLOB = "*.json.json"
@@ -39,6 +38,7 @@ def list_documents(spark: SparkSession, root: str, locale: str | None = None) ->
 
 def read_documents(spark: SparkSession, root: str, locale: str | None = None) -> DataFrame:
     """S1 + read: (filepath, content BINARY) of the converted documents."""
+    require_dir(spark, root)
     df = _scan(spark, root, CONVERTED_GLOB).select(
         relative_to(F.col("path"), root).alias("filepath"), "content")
     if locale:
@@ -56,10 +56,10 @@ def list_raw_documents(spark: SparkSession, root: str, locale: str | None = None
     return df
 
 
-def require_dir(path: str) -> str:
+def require_dir(spark: SparkSession, path: str) -> str:
     """Re-reading extracted files needs the folder to exist."""
-    if path.startswith(("file:", "/")) and not os.path.isdir(path.replace("file:", "", 1)):
-        raise FileNotFoundError(f"Extracted directory not found: {path}")
+    if not exists(spark, path):
+        raise FileNotFoundError(f"no folder of extracted documents at {path}")
     return path
 
 
@@ -68,8 +68,7 @@ def read_documents_from(spark: SparkSession, roots: list[str], locale: str | Non
     each path relative to its own root; folders that do not exist are skipped."""
     frames = []
     for root in roots:
-        local = root.replace("file:", "", 1)
-        if root.startswith(("file:", "/")) and not os.path.isdir(local):
+        if not exists(spark, root):
             continue
         frames.append(read_documents(spark, root, locale)
                       .withColumn("root", F.lit(root)))

@@ -7,12 +7,12 @@ order are accepted, missing required columns are an error.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.gates import header_gate
+from ..operators.records import IMPORTED
+from ..session import file_system
 
 CSV_OPTIONS = {
     "header": "true", "multiLine": "true", "quote": '"', "escape": '"',
@@ -22,28 +22,31 @@ CSV_OPTIONS = {
 
 
 def read_log_csv(spark: SparkSession, path: str, blank_as: str = "pending",
-                 run_id: str = "imported") -> DataFrame:
+                 run_id: str = IMPORTED) -> DataFrame:
     """Read a log CSV into the working-log schema.
 
     ``string_id`` '' -> NULL; ``translated_text`` NULL -> ''.  Rows with an empty
     translation are previews (``blank_as='pending'``, default) or done
-    (``blank_as='done'``, the reference's behaviour, T1).  Row order within the file
-    is kept in ``batch_id`` (a multi-line CSV file is not split, so one task reads it in
-    order), which "last record wins" uses.
+    (``blank_as='done'``, the reference's behaviour, T1).  "Last record wins" needs the
+    order of the log: ``run_id`` carries the name of the part file (an export numbers its
+    parts in log order) and ``batch_id`` grows within a file (a multi-line CSV file is
+    not split, so one task reads it in order).
     """
-    local = path.replace("file:", "", 1)
-    if path.startswith(("file:", "/")):
-        if not os.path.exists(local):
-            raise FileNotFoundError(f"Translation log not found: {path}")
-        if os.path.isfile(local) and os.path.getsize(local) == 0:
-            raise ValueError(f"Translation log is empty: {path}")
+    fs, target = file_system(spark, path)
+    if not fs.exists(target):
+        raise FileNotFoundError(f"no translation log at {path}")
+    status = fs.getFileStatus(target)
+    if status.isFile() and status.getLen() == 0:
+        raise ValueError(f"the translation log {path} has no header")
     df = spark.read.options(**CSV_OPTIONS).csv(path)
-    header_gate([c.lstrip("\ufeff") for c in df.columns])
-    df = df.toDF(*[c.lstrip("\ufeff") for c in df.columns])
+    names = [c.lstrip("\ufeff") for c in df.columns]
+    header_gate(names)
+    df = df.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(df.columns, names)],
+                   F.col("_metadata.file_name").alias("__part"))
     blank_status = "preview" if blank_as == "pending" else "translated"
     t = F.coalesce(F.col("translated_text"), F.lit(""))
     return df.select(
-        F.lit(run_id).alias("run_id"),
+        F.concat(F.lit(run_id + ":"), "__part").alias("run_id"),
         F.monotonically_increasing_id().alias("batch_id"),
         F.lit(0).alias("pos"),
         F.lit(0).alias("variant_idx"),

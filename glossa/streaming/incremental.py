@@ -12,7 +12,6 @@ a processing-time trigger keeps the job running.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,8 +19,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.paths import is_locale_path, relative_to
-from ..operators import extract, records
+from ..operators import extract, records, resume
 from ..plans import pipeline
+from ..session import has_data, materialize, scratch_scope
 
 BINARY_FILE_SCHEMA = T.StructType([
     T.StructField("path", T.StringType(), False),
@@ -58,13 +58,27 @@ def document_stream(spark: SparkSession, source_dir: str, source: str = "binaryF
 
 
 def _current_log(spark: SparkSession, log_path: str) -> DataFrame | None:
-    local = log_path.replace("file:", "", 1)
-    if log_path.startswith(("file:", "/")) and not os.path.isdir(local):
-        return None
-    try:
-        return spark.read.parquet(log_path)
-    except Exception:  # noqa: BLE001 - an empty folder has no log yet
-        return None
+    return spark.read.parquet(log_path) if has_data(spark, log_path) else None
+
+
+def retry_path(log_path: str) -> str:
+    """Entries whose batch failed all attempts, beside the log."""
+    return log_path.rstrip("/") + "_retry"
+
+
+def _with_retries(entries: DataFrame, log_path: str) -> DataFrame:
+    """The new entries and those of earlier failed batches; what the log holds by now is
+    dropped by the resume step, so the table may keep rows that were retried."""
+    spark = entries.sparkSession
+    if not has_data(spark, retry_path(log_path)):
+        return entries
+    again = spark.read.parquet(retry_path(log_path)).select(*entries.columns)
+    return entries.unionByName(again).distinct()
+
+
+def _log_or_empty(spark: SparkSession, log_path: str) -> DataFrame:
+    log = _current_log(spark, log_path)
+    return pipeline.empty_log(spark) if log is None else log
 
 
 def run_incremental(spark: SparkSession, source_dir: str, log_path: str, checkpoint: str,
@@ -78,19 +92,40 @@ def run_incremental(spark: SparkSession, source_dir: str, log_path: str, checkpo
     Returns the finished (or running) ``StreamingQuery``."""
     stream = document_stream(spark, source_dir, source, locale, max_files_per_trigger)
 
-    def one_batch(batch: DataFrame, epoch_id: int) -> None:
-        entries = extract.extract_entries(batch)
-        log = _current_log(batch.sparkSession, log_path)
-        if log is not None:
-            # only the log rows of files in this micro-batch can match: reduce the log
-            # before its keys are de-duplicated and shuffled for the anti join
-            log = log.join(batch.select("filepath").distinct(), "filepath", "left_semi")
-        t = pipeline.translate(entries, log, fn_factory, source_lang, target_lang, provider,
-                               model, batch_size, run_id=f"e{epoch_id:08d}",
-                               backoff_base=backoff_base)
-        if t is not None:
+    started = pipeline.new_run_id()
+
+    def translate_entries(new: DataFrame, run_id: str) -> None:
+        spark = new.sparkSession
+        with scratch_scope(spark):
+            # read and parsed once per micro-batch
+            entries = materialize(_with_retries(new, log_path), "stream-entries")
+            log = _current_log(spark, log_path)
+            if log is not None:
+                # only the log rows of files in this micro-batch can match: reduce the log
+                # before its keys are de-duplicated and shuffled for the anti join
+                log = log.join(entries.select("filepath").distinct(), "filepath", "left_semi")
+            t = pipeline.translate(entries, log, fn_factory, source_lang, target_lang, provider,
+                                   model, batch_size, run_id=run_id, backoff_base=backoff_base)
+            if t is None:
+                return
             records.append_log(t.records, log_path)
+            failed = pipeline.failed_batches(t.results, t.units, run_id)
+            if not failed.isEmpty():
+                # the checkpoint moves on, so the strings are kept for the next micro-batch
+                failed.write.mode("append").parquet(pipeline.failures_path(log_path))
+                left = resume.pending(entries, records.keep_translated(_log_or_empty(spark, log_path)))
+                known = has_data(spark, retry_path(log_path))
+                if known:
+                    left = left.join(spark.read.parquet(retry_path(log_path)), left.columns, "left_anti")
+                left.write.mode("append").parquet(retry_path(log_path))
+
+    def one_batch(batch: DataFrame, epoch_id: int) -> None:
+        # ids of one start sort by epoch, those of a later start come after them
+        translate_entries(extract.extract_entries(batch), f"{started}_e{epoch_id:08d}")
 
+    if has_data(spark, retry_path(log_path)):  # even if no new file arrives
+        again = spark.read.parquet(retry_path(log_path))
+        translate_entries(again, f"{started}_retry")
     writer = (stream.writeStream.foreachBatch(one_batch)
                     .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(

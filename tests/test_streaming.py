@@ -24,3 +24,25 @@ def test_incremental_runs_pick_up_only_new_files(spark, tmp_path):
     out = spark.read.parquet(log)
     assert out.count() == 8
     assert {r.translated_text for r in out.collect()} >= {"[xx] t9", "[xx] m0"}
+
+
+def test_failed_strings_are_retried(spark, tmp_path):
+    """The provider fails for one file's text at first; a later start translates it though
+    the checkpoint has moved on."""
+    src, log, ckpt = (str(tmp_path / x) for x in ("src", "log", "ckpt"))
+    flag = tmp_path / "down"
+    flag.write_text("x")
+    for name in "abc":
+        write_docs(src, {f"{name}.json.json": nested([{"secondaryKey": name, "femaleVariant": f"t-{name}"}])})
+
+    fails = lambda req: flag.exists() and "t-b" in req["texts"]
+    run = lambda: run_incremental(spark, src, log, ckpt, pipeline.failing_translator(fails), "E", "K",
+                                  batch_size=1, backoff_base=0)
+    run()
+    assert sorted(r.source_text for r in spark.read.parquet(log).collect()) == ["t-a", "t-c"]
+    assert [r.files for r in spark.read.parquet(pipeline.failures_path(log)).collect()] == [["b.json.json"]]
+    run()  # still down, nothing new
+    flag.unlink()
+    run()
+    run()
+    assert sorted(r.source_text for r in spark.read.parquet(log).collect()) == ["t-a", "t-b", "t-c"]
