@@ -2,9 +2,9 @@
 
 *Writing.*  Only headers (id, url, payload digest and length) are shuffled by digest: of
 equal payloads of at least ``min_bytes`` bytes the record with the smallest id is the
-response, the others refer to it.  The pages are then dealt once, by id, into archives of
-about ``ARCHIVE_BYTES`` and joined there with the few header columns of their originals;
-each record gets fresh headers.  Records are written as gzip files by Spark's text writer
+response, the others refer to it.  The few header columns of the revisits are written and
+joined back to the pages; each record gets fresh headers, in archives of about
+``ARCHIVE_BYTES``.  Records are written as gzip files by Spark's text writer
 (a record's block is HTTP headers and the payload, all UTF-8).
 
 *Reading.*  Each archive is parsed by Content-Length, never by searching for a separator,
@@ -60,20 +60,19 @@ def _clean(url: Column) -> Column:
 
 
 def resolve(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """Per page: id, url, digest, n_bytes and, for a revisit, first_id and first_url."""
-    heads = materialize(pages.select("id", "url", base32_sha1(F.col("payload")).alias("digest"),
-                                     F.octet_length("payload").cast("long").alias("n_bytes"),
-                                     F.monotonically_increasing_id().alias("row")), "warc-headers")
-    # the smallest id; among rows that repeat it, the first row
-    first = (heads.filter(F.col("n_bytes") >= min_bytes).groupBy("digest", "n_bytes")
-                  .agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "url", "row")).alias("f"))
-                  .select("digest", "n_bytes", F.col("f.id").alias("first_id"), F.col("f.row").alias("first_row"),
-                          F.col("f.url").alias("first_url")))
-    joined = heads.join(first, ["digest", "n_bytes"], "left")
-    revisit = F.col("first_row").isNotNull() & (F.col("first_row") != F.col("row"))
-    return joined.select("id", "url", "digest", "n_bytes", "row", revisit.alias("revisit"),
-                         F.when(revisit, F.col("first_id")).alias("first_id"),
-                         F.when(revisit, F.col("first_url")).alias("first_url"))
+    """Every (id, digest) that has a record beside a plain response: id, digest, first
+    (whether the response of its payload is among its rows), times (rows), first_id,
+    first_url.  Only header columns are shuffled, combined before the shuffle."""
+    keys = materialize(pages.groupBy("id", base32_sha1(F.col("payload")).alias("digest"),
+                                     F.octet_length("payload").cast("long").alias("n_bytes"))
+                            .agg(F.count("*").alias("times"), F.min("url").alias("url")), "warc-headers")
+    firsts = (keys.filter(F.col("n_bytes") >= min_bytes).groupBy("digest", "n_bytes")
+                  .agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "url")).alias("f"))
+                  .select("digest", "n_bytes", F.col("f.id").alias("first_id"), F.col("f.url").alias("first_url")))
+    joined = keys.join(firsts, ["digest", "n_bytes"])
+    first = F.col("id").eqNullSafe(F.col("first_id"))
+    return joined.filter(~first | (F.col("times") > 1)).select("id", "digest", first.alias("first"), "times",
+                                                               "first_id", "first_url")
 
 
 def _header(name: str, value: Column) -> Column:
@@ -83,22 +82,26 @@ def _header(name: str, value: Column) -> Column:
 def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url",
                    payload_col: str = "html", min_bytes: int = 0, date: str = DATE) -> None:
     """Write the pages as deduplicated WARC archives under ``path``."""
-    rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"),
+    rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"),
                         F.coalesce(F.col(payload_col).cast("string"), F.lit("")).alias("payload"))
     heads = materialize(resolve(rows, min_bytes), "warc-resolved")
-    total = heads.agg(F.sum("n_bytes")).first()[0] or 0
-    n = max(1, -(-int(total) // ARCHIVE_BYTES))
-    # rows that share an id share a payload digest or not; both join by (id, digest) and
-    # rank among themselves, so each row meets its own header once
-    rank = W.partitionBy("id", "digest")
-    body = (rows.withColumn("digest", base32_sha1(F.col("payload"))).repartition(n, "id", "digest")
-                .withColumn("nth", F.row_number().over(rank.orderBy("url"))))
-    head = (heads.repartition(n, "id", "digest")
-                 .withColumn("nth", F.row_number().over(rank.orderBy("url", "row")))
-                 .select(F.col("id").alias("hid"), F.col("digest").alias("hdigest"), F.col("nth").alias("hnth"),
-                         "revisit", "first_id", "first_url", "n_bytes"))
-    both = body.join(head, body["id"].eqNullSafe(head["hid"]) & (body["digest"] == head["hdigest"])
-                     & (body["nth"] == head["hnth"]))
+    count, total = rows.agg(F.count("*"), F.sum(F.octet_length("payload"))).first()
+    per_file = max(1, int(count * ARCHIVE_BYTES / max(total or 0, 1)))
+    keyed = rows.withColumn("digest", base32_sha1(F.col("payload")))
+
+    def own(df, how):
+        """``df`` with its header columns; a written table that Spark broadcasts if small."""
+        h = heads.withColumnsRenamed({"id": "hid", "digest": "hdigest"})
+        return df.join(h, df["id"].eqNullSafe(h["hid"]) & (df["digest"] == h["hdigest"]), how)
+
+    both = own(keyed, "left").filter(F.coalesce("times", F.lit(1)) == 1).withColumn("nth", F.lit(1)) \
+        .withColumn("revisit", F.col("times").isNotNull())
+    if not heads.filter("times > 1").isEmpty():
+        # rows that share id and payload: the first of them by url may be the response
+        rank = F.row_number().over(W.partitionBy("id", "digest").orderBy("url"))
+        again = own(keyed, "inner").filter("times > 1").withColumn("nth", rank)
+        both = both.unionByName(again.withColumn("revisit", ~F.col("first") | (F.col("nth") > 1)))
+    both = both.withColumn("n_bytes", F.octet_length("payload"))
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "),
                     F.col("n_bytes").cast("string"), F.lit("\r\n\r\n"))
     block = F.when(F.col("revisit"), http).otherwise(F.concat(http, F.col("payload")))
@@ -120,7 +123,8 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
         _header("Content-Length", F.octet_length(F.col("block"))),
         F.lit(_END), F.col("block"))
     (both.withColumn("block", block).select(record.alias("value"))
-         .write.option("lineSep", _END + _END).option("compression", "gzip").mode("errorifexists").text(path))
+         .write.option("lineSep", _END + _END).option("compression", "gzip")
+         .option("maxRecordsPerFile", per_file).mode("errorifexists").text(path))
 
 
 def parse_archive(data: bytes):
