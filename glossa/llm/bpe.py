@@ -193,7 +193,7 @@ class Bpe:
         length = size[number]
         total = np.cumsum(length)
         where = np.repeat(start[number] - (total - length), length) + np.arange(total[-1] if total.size else 0)
-        bounds = np.append(0, total)[np.append(0, np.cumsum(per_text))]
+        bounds = np.append(0, total)[np.append(0, np.cumsum(np.array(per_text, np.int64)))]
         if len(known) > CACHE_WORDS:
             self.forget()
         return ids[where], np.diff(bounds)

@@ -64,7 +64,8 @@ _NOISE_WORDS = frozenset("ad ads advert adverts advertisement advertising banner
 _ROLES = frozenset("navigation banner complementary contentinfo search form dialog alert menu".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)"
-                    r"([^>\"']*+(?:\"[^\"]*+\"[^>\"']*+|'[^']*+'[^>\"']*+)*+)>", re.S)
+                    r"([^>\"']*+(?:\"[^\"]*+\"[^>\"']*+|'[^']*+'[^>\"']*+)*+)>"
+                    r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)  # the last: a quote is never closed
 _ATTR = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _WORD = re.compile(r"[a-z]+")
 
@@ -120,10 +121,11 @@ def parse(page: str):
         if m.start() > at and not inline:
             buffer.append(page[at:m.start()])
         at = m.end()
-        tag = (m[2] or "").lower()
+        closing, tag, attrs = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
+        tag = (tag or "").lower()
         if not tag:
             continue
-        if m[1]:  # an end tag closes the nearest open element of its name
+        if closing:  # an end tag closes the nearest open element of its name
             if tag in _INLINE:
                 if inline and inline[-1][0] == tag:
                     inline.pop()
@@ -142,7 +144,7 @@ def parse(page: str):
                 buffer.append(" ")
                 if tag == "hr":
                     flush()
-            elif tag not in _VOID and m[3].strip() and _label(tag, m[3])[1]:
+            elif tag not in _VOID and attrs.strip() and _label(tag, attrs)[1]:
                 inline.append((tag, len(stack)))
             continue
         inline.clear()
@@ -153,7 +155,7 @@ def parse(page: str):
         if tag in _SIBLINGS and stack[-1][0] in _SIBLINGS[tag]:
             close(len(stack) - 1)
         flush()
-        label, never = _label(tag, m[3])
+        label, never = _label(tag, attrs)
         path, prior = stack[-1][1] + "/" + label, stack[-1][2]
         inside = any(s[0] in ("article", "main") for s in stack)
         if never or (tag == "header" and not inside):
@@ -161,7 +163,7 @@ def parse(page: str):
         elif prior and tag in ("article", "main"):
             prior = 2
         stack[-1][3].append(label)
-        if not m[3].endswith("/"):
+        if not attrs.endswith("/"):
             stack.append((tag, path, prior, []))
     close(1)
     return blocks, styles
