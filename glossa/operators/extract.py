@@ -139,8 +139,10 @@ def entries_of(doc: str = "doc", more: str = "more") -> Column:
 
 def quarantine(parsed: DataFrame, stage: str = "extract") -> DataFrame:
     """Files that could not be read (T8: one table shared by extraction and apply)."""
-    return (parsed.filter(F.col("reason").isNotNull())
-                  .select("filepath", F.lit(stage).alias("stage"), "reason"))
+    # the filter stands on a generated column, so it is not pushed into the parse
+    bad = parsed.select("filepath", F.explode(F.array("reason")).alias("reason"))
+    return (bad.filter(F.col("reason").isNotNull())
+               .select("filepath", F.lit(stage).alias("stage"), "reason"))
 
 
 def _field(en: Column, name: str) -> Column:

@@ -42,6 +42,14 @@ def fixture_log(entries: DataFrame) -> DataFrame:
     return tables.log_from_entries(entries)
 
 
+def fixture_log_table(entries: DataFrame) -> DataFrame:
+    """The fixture's log as rows of the working log (run r0)."""
+    return fixture_log(entries).select(
+        F.lit("r0").alias("run_id"), F.col("entry_idx").cast("long").alias("batch_id"),
+        F.lit(0).alias("pos"), "variant_idx", "filepath", "string_key", "string_id", "field",
+        "source_text", "translated_text", F.lit("translated").alias("status"))
+
+
 def fixture_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = fixture_entries(spark, sf_dir)
     return resume.pending(entries, fixture_log(entries))
@@ -910,11 +918,7 @@ def q_translate_waves(spark, sf_dir):
     entries = fixture_entries(spark, sf_dir)
     log_path = scratch_path(spark, "wave-log")
     # the fixture's partial log is the starting point of the job
-    start = fixture_log(entries).select(
-        F.lit("r0").alias("run_id"), F.col("entry_idx").cast("long").alias("batch_id"),
-        F.lit(0).alias("pos"), "variant_idx", "filepath", "string_key", "string_id", "field",
-        "source_text", "translated_text", F.lit("translated").alias("status"))
-    records.append_log(start, log_path)
+    records.append_log(fixture_log_table(entries), log_path)
     pipeline.run_translation_job(entries, log_path, pipeline.echo_translator(), "English",
                                  "Kazakh", batch_size=BATCH_SIZE, n_waves=3, run_id="r1",
                                  backoff_base=0)
@@ -947,3 +951,78 @@ def q_translate_envelope(spark, sf_dir):
                            batch_size=BATCH_SIZE, run_id="r1", backoff_base=0,
                            envelope="anthropic")
     return t.results.select("batch_id", F.col("attempts").cast("int").alias("attempts"), "status")
+
+
+# --- order of imported logs, failures and their retry ---------------------------------------
+
+@register("q_csv_last_wins", _logs_query("""
+, runs AS (
+  SELECT CASE run_id WHEN 'r1' THEN 1 ELSE 2 END AS rk, entry_idx, filepath, string_key, string_id,
+         field, translated_text FROM logs
+  UNION ALL
+  SELECT 3, entry_idx, filepath, string_key, string_id, field, '[zz] ' || source_text
+  FROM entries WHERE entry_idx % 20 = 0 AND variant_idx = 0
+)
+SELECT filepath, string_key, string_id, field,
+       arg_max(translated_text, CAST(rk AS BIGINT) * 1000000000 + entry_idx) AS translated_text
+FROM runs GROUP BY filepath, string_key, string_id, field
+"""))
+def q_csv_last_wins(spark, sf_dir):
+    """Two runs exported to CSV part files and imported, then a third run; per
+    key the last record of the latest run wins."""
+    from ..session import scratch_path
+    from ..sinks.files import write_log_csv
+    from ..sources.logs import read_log_csv
+    entries = fixture_entries(spark, sf_dir)
+    path = scratch_path(spark, "log-csv")
+    write_log_csv(fixture_logs(entries), path)
+    third = entries.filter("entry_idx % 20 = 0 and variant_idx = 0").select(
+        F.lit("r3").alias("run_id"), F.col("entry_idx").cast("long").alias("batch_id"),
+        F.lit(0).alias("pos"), "variant_idx", "filepath", "string_key", "string_id", "field",
+        "source_text", F.concat(F.lit("[zz] "), "source_text").alias("translated_text"),
+        F.lit("translated").alias("status"))
+    log = records.union_logs(read_log_csv(spark, path), third)
+    return records.latest_per_key(log).select("filepath", "string_key", "string_id", "field",
+                                              "translated_text")
+
+
+@register("q_failures", O.with_(*O.BASE, O.UNITS, O.NUMBERED) + f"""
+SELECT CAST(idx // {BATCH_SIZE} AS BIGINT) AS batch_id, CAST(count(*) AS INTEGER) AS n,
+       3 AS attempts, 'error' AS status,
+       'RuntimeError: provider error for batch ' || (idx // {BATCH_SIZE}) AS error
+FROM numbered GROUP BY idx // {BATCH_SIZE} HAVING (idx // {BATCH_SIZE}) % 5 = 2
+""")
+def q_failures(spark, sf_dir):
+    """The job's table of failed batches, with whole error texts."""
+    from ..session import scratch_path
+    from . import pipeline
+    entries = fixture_entries(spark, sf_dir)
+    log_path = scratch_path(spark, "failing-log")
+    records.append_log(fixture_log_table(entries), log_path)
+    pipeline.run_translation_job(entries, log_path, pipeline.failing_translator(
+        lambda r: r["batch_id"] % 5 == 2), "English", "Kazakh", batch_size=BATCH_SIZE, run_id="r1",
+        backoff_base=0)
+    return spark.read.parquet(pipeline.failures_path(log_path)).select(
+        "batch_id", F.col("n").cast("int").alias("n"), F.col("attempts").cast("int").alias("attempts"),
+        "status", "error")
+
+
+@register("q_stream_retry", JSON_DOCS_SQL + """
+SELECT filepath, string_key, string_id, field, source_text,
+       '[xx] ' || source_text AS translated_text
+FROM x
+""")
+def q_stream_retry(spark, sf_dir):
+    """ST1: the provider fails for half of the first start's batches; the second start finds
+    no new file and translates what was left.  The log holds every entry exactly once."""
+    from ..session import scratch_path
+    from ..streaming.incremental import run_incremental
+    from . import pipeline
+    src, log_path, ckpt = (scratch_path(spark, f"retry-{x}") for x in ("src", "log", "ckpt"))
+    json_docs(spark, sf_dir).select("filepath", "content").write.parquet(src)
+    for translator in (pipeline.failing_translator(lambda r: r["batch_id"] % 2 == 0),
+                       pipeline.echo_translator()):
+        run_incremental(spark, src, log_path, ckpt, translator, "English", "Kazakh",
+                        source="parquet", backoff_base=0)
+    return spark.read.parquet(log_path).select(
+        "filepath", "string_key", "string_id", "field", "source_text", "translated_text")
