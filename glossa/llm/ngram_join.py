@@ -60,11 +60,14 @@ PERCENT = 75
 #: STRETCH times their start, with as many parts as the largest size.
 SMALL, SMALL_PARTS, STRETCH = 11, 5, 4
 #: Groups up to this size are searched in full; larger ones by LEADERS a round.
-GROUP, LEADERS = 128, 32
+GROUP, LEADERS = 128, 64
 #: A task passes on shingles that it met this often among COUNTED elements; a shingle is
 #: frequent from FREQUENT on.  At most MOST_FREQUENT enter the table (else FREQUENT doubles).
 LOCAL_FLOOR, COUNTED, FREQUENT, MOST_FREQUENT = 8, 4_000_000, 32, 1 << 18
 BITMAP_BITS = 22
+#: Documents to verify up to this number are picked by a broadcast of their ids, more by
+#: a bitmap.
+FEW_IDS = 100_000
 
 
 def allowance(n: int, percent: int = PERCENT) -> int:
@@ -284,18 +287,22 @@ def postings(docs: DataFrame, levels: np.ndarray, percent: int = PERCENT) -> Dat
 def verify(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Of the pairs (a, b) of representatives' ids, those whose whole texts link.
 
-    The texts of other documents are left out by a bitmap before the shuffle.  Each text
+    The texts of other documents are left out before the shuffle: by a broadcast of the
+    ids when these are counted to be few, else by a bitmap of fixed size.  Each text
     travels to its pairs; a leader's text is read once per task by the sort order."""
-    ids = pairs.select(F.explode(F.array(F.xxhash64("a"), F.xxhash64("b"))).alias("h"))
-    wanted = docs.sparkSession.sparkContext.broadcast(_bitmap(ids, "h"))
-
-    def run_filter(batches):
-        for batch in batches:
-            yield batch.filter(pa.array(_in_bitmap(wanted.value, np.asarray(batch.column(2)).view(np.uint64))))
-
     kind = dict(docs.dtypes)["id"]
-    texts = (docs.select("id", "text", F.xxhash64("id").alias("h"))
-                 .mapInArrow(run_filter, f"id {kind}, text string, h bigint").drop("h"))
+    ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "verify-ids")
+    if ids.count() <= FEW_IDS:
+        texts = docs.select("id", "text").join(F.broadcast(ids), "id", "left_semi")
+    else:
+        wanted = docs.sparkSession.sparkContext.broadcast(_bitmap(ids.select(F.xxhash64("id").alias("h")), "h"))
+
+        def run_filter(batches):
+            for batch in batches:
+                yield batch.filter(pa.array(_in_bitmap(wanted.value, np.asarray(batch.column(2)).view(np.uint64))))
+
+        texts = (docs.select("id", "text", F.xxhash64("id").alias("h"))
+                     .mapInArrow(run_filter, f"id {kind}, text string, h bigint").drop("h"))
     left = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
     both = left.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
 
@@ -396,8 +403,8 @@ def similar_classes(docs: DataFrame, classes: DataFrame, percent: int = PERCENT)
     done = first.select("a", "b")  # pairs already verified, linked or not
     counts_whole = True
     groups = groups.groupBy("sig", "key").agg(F.min("slack").alias("slack"))
+    labels = components(edges)
     while True:
-        labels = components(edges)
         rest = materialize(_residual(groups, classes, labels), "open-groups")
         if rest.isEmpty():
             return labels
@@ -422,13 +429,16 @@ def similar_classes(docs: DataFrame, classes: DataFrame, percent: int = PERCENT)
             # pass as they are, for not all their groups are counted yet
             pairs = pairs.filter(_enough(percent) | (F.col("members") > GROUP))
         pairs = materialize(_oriented(pairs).distinct().join(done, ["a", "b"], "left_anti"), "pairs")
-        more = materialize(_oriented(verify(pairs, docs, percent)), "links")
-        edges = edges.unionByName(more)
-        done = done.unionByName(pairs)
+        if not pairs.isEmpty():
+            more = materialize(_oriented(verify(pairs, docs, percent)), "links")
+            done = done.unionByName(pairs)
+            if not more.isEmpty():
+                edges = edges.unionByName(more)
+                labels = components(edges)
         counts_whole = False
         # a group searched in full is finished; a large one loses this round's leaders
         if heads.isEmpty():
-            return components(edges) if not more.isEmpty() else labels
+            return labels
         groups = large.select("sig", "slack", "key").join(heads.select("sig", "key"), ["sig", "key"], "left_anti")
 
 
