@@ -81,15 +81,13 @@ def non_empty_gate(df: DataFrame, what: str) -> None:
         raise GateError(f"No {what} found")
 
 
-def extraction_counts(entries: DataFrame, quarantine: DataFrame, files: DataFrame) -> DataFrame:
-    """A4: entries, files read, files skipped, as metric rows."""
-    e = entries.agg(F.count(F.lit(1)).cast("long").alias("value")).select(
-        F.lit("entries").alias("metric"), "value")
-    f = files.agg(F.count(F.lit(1)).cast("long").alias("value")).select(
-        F.lit("files").alias("metric"), "value")
-    q = quarantine.agg(F.count(F.lit(1)).cast("long").alias("value")).select(
-        F.lit("files_skipped").alias("metric"), "value")
-    return e.unionByName(f).unionByName(q)
+def conversion_outcomes(raw: DataFrame, converted: DataFrame) -> DataFrame:
+    """A8's input: (filepath, ok) per raw file; a raw file without its converted file
+    (its path with one more ``.json``) failed.  Both are listings: paths, no bodies."""
+    done = converted.select(F.regexp_replace("filepath", r"\.json$", "").alias("filepath")).distinct() \
+                    .withColumn("ok", F.lit(True))
+    return raw.select("filepath").join(done, "filepath", "left") \
+              .select("filepath", F.coalesce("ok", F.lit(False)).alias("ok"))
 
 
 def output_count(df: DataFrame, what: str = "outputs") -> DataFrame:

@@ -31,9 +31,7 @@ PROMPT_HEAD = (
     "Input strings:",
     "",
 )
-ITEM_LINE = "[{pos}] (key: {key}, field: {field})"
 TEXT_INDENT = "    "
-PROMPT_TAIL = "Return a JSON array of exactly {n} translated strings."
 DEFAULT_TITLE = "the game"
 # ------------------------------------------------------------------------------------
 

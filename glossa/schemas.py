@@ -56,12 +56,6 @@ RESPONSES = T.StructType([
     T.StructField("error", T.StringType(), True),
 ])
 
-QUARANTINE = T.StructType([
-    T.StructField("filepath", T.StringType(), False),
-    T.StructField("stage", T.StringType(), False),
-    T.StructField("reason", T.StringType(), False),
-])
-
 
 def key_match(left: DataFrame, right: DataFrame, cols=ENTRY_KEY) -> Column:
     """Null-safe equality on a composite key (``<=>`` on the nullable ``string_id``)."""
