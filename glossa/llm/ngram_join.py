@@ -159,6 +159,17 @@ def _least_emitted(s: np.ndarray) -> int:
     return least
 
 
+def _hot_slack(s: np.ndarray, level: np.ndarray, percent: int = PERCENT) -> int:
+    """The slack of the frequent signatures that the set emits; FREE if it emits none."""
+    n = s.size
+    for first, last, parts in _BANDS:
+        if first <= n <= last and parts != SMALL_PARTS:
+            at = _parts(s, parts)[1]
+            if (np.minimum.reduceat(level, at) == 0).sum() < emitted(n, len(at)):
+                return (100 + percent) * int((level == 0).sum()) - (100 - percent) * n
+    return FREE
+
+
 def _set_key(s: np.ndarray) -> tuple[int, int]:
     """128 bits that stand for a set."""
     a = mix(mix(s).sum(keepdims=True, dtype=np.uint64) + np.uint64(s.size))
@@ -185,24 +196,28 @@ def _in_bitmap(bitmap: np.ndarray, v: np.ndarray) -> np.ndarray:
 
 
 # -- passes over the texts --------------------------------------------------------------------
-def set_keys(docs: DataFrame) -> DataFrame:
-    """id -> n (set size), key, key2 and least (see _least_emitted)."""
+def set_keys(docs: DataFrame, levels: np.ndarray, percent: int = PERCENT) -> DataFrame:
+    """id -> n (set size), key, key2, least (see _least_emitted) and hot (see _hot_slack)."""
     kind = dict(docs.dtypes)["id"]
+    shared = docs.sparkSession.sparkContext.broadcast(levels)  # 2**BITMAP_BITS bytes
 
     def run(batches):
         for batch in batches:
-            n, k1, k2, least = [], [], [], []
+            n, k1, k2, least, hot = [], [], [], [], []
             for s in shingle_sets(batch.column(1).to_pylist()):
                 a, b = _set_key(s)
                 n.append(s.size)
                 k1.append(a)
                 k2.append(b)
                 least.append(_least_emitted(s))
+                level = shared.value[(s & np.uint64((1 << BITMAP_BITS) - 1)).astype(np.int64)]
+                hot.append(_hot_slack(s, level, percent))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(x, pa.int64()) for x in (n, k1, k2, least))],
-                names=["id", "n", "key", "key2", "least"])
+                [batch.column(0), *(pa.array(x, pa.int64()) for x in (n, k1, k2, least, hot))],
+                names=["id", "n", "key", "key2", "least", "hot"])
 
-    return docs.select("id", "text").mapInArrow(run, f"id {kind}, n bigint, key bigint, key2 bigint, least bigint")
+    return docs.select("id", "text").mapInArrow(
+        run, f"id {kind}, n bigint, key bigint, key2 bigint, least bigint, hot bigint")
 
 
 def _distinct_sets(batches, column: int):
@@ -351,22 +366,30 @@ def _oriented(pairs: DataFrame) -> DataFrame:
 # -- the join ---------------------------------------------------------------------------------
 def _classes(keys: DataFrame) -> DataFrame:
     return materialize(keys.filter("n > 0").groupBy("n", "key", "key2")
-                       .agg(F.min("id").alias("rep"), F.max("least").alias("least")), "set-classes")
+                       .agg(F.min("id").alias("rep"), F.max("least").alias("least"), F.max("hot").alias("hot")), "set-classes")
 
 
 def _with_ids(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Key pairs (ka, kb) as representatives (a, b) whose sizes allow a link."""
     c = classes.filter("n >= 3")
-    a = c.select(F.col("key").alias("ka"), F.col("rep").alias("a"), F.col("n").alias("na"), F.col("least").alias("la"))
-    b = c.select(F.col("key").alias("kb"), F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("least").alias("lb"))
+    a = c.select(F.col("key").alias("ka"), F.col("rep").alias("a"), F.col("n").alias("na"), F.col("least").alias("la"),
+                 F.col("hot").alias("ha"))
+    b = c.select(F.col("key").alias("kb"), F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("least").alias("lb"),
+                 F.col("hot").alias("hb"))
     near = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
     return pairs.join(a, "ka").join(b, "kb").filter(near)
 
 
 def _enough(percent: int) -> Column:
-    """Whether two sets that share ``c`` emitted parts may link, by their sizes."""
+    """Whether two sets that meet in ``c`` signatures may link, by their sizes.
+
+    Where both fall back to frequent parts and their slacks add up to more than 0, the
+    frequent parts that they share are no meetings.  Linked sets with r_a and r_b rare
+    shingles then meet in each rare one they share, (r_a + r_b - d) / 2 at least."""
     differ = F.floor((F.col("na") + F.col("nb")) * (100 - percent) / (100 + percent))
-    return (F.least("la", "lb") < 0) | (F.col("c") >= F.least("la", "lb") - differ)
+    slack = F.col("ha") + F.col("hb")
+    rare = (slack > 0) & (2 * (100 + percent) * F.col("c") >= slack)
+    return (F.least("la", "lb") < 0) | (F.col("c") >= F.least("la", "lb") - differ) | rare
 
 
 def _residual(groups: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
@@ -384,9 +407,9 @@ def _residual(groups: DataFrame, classes: DataFrame, labels: DataFrame) -> DataF
     return rows.join(by.select("sig", "members"), "sig").select("sig", "slack", "key", "comp", "members")
 
 
-def similar_classes(docs: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFrame:
+def similar_classes(docs: DataFrame, classes: DataFrame, levels: np.ndarray, percent: int = PERCENT) -> DataFrame:
     """(id, comp) of the class representatives that link with another class."""
-    found = postings(docs, frequency_levels(docs), percent)
+    found = postings(docs, levels, percent)
     by_sig = W.partitionBy("sig")
     groups = (found.withColumns({"lead": F.min(F.struct("slack", "key")).over(by_sig),
                                  "low": F.min("key").over(by_sig), "top": F.max("key").over(by_sig)})
@@ -448,9 +471,10 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     if percent < 75:
         raise ValueError("the bands and subsets are laid out for 75 per cent or more")
     rows = docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text"))
-    keys = materialize(set_keys(rows), "set-keys")
+    levels = frequency_levels(rows)
+    keys = materialize(set_keys(rows, levels, percent), "set-keys")
     classes = _classes(keys)
-    labels = similar_classes(rows, classes, percent)
+    labels = similar_classes(rows, classes, levels, percent)
     # the component of a class, over representatives; other documents take their class's
     named = classes.join(labels.withColumnRenamed("id", "rep"), "rep", "left") \
                    .select("n", "key", "key2", F.coalesce("comp", "rep").alias("comp"))

@@ -251,6 +251,47 @@ def test_linked_sets_share_a_signature(n, drop, add, seed, frequent):
     assert ngram_join._least_emitted(a) < 0 or ngram_join._least_emitted(b) < 0 or both >= need
 
 
+def _passage_pairs(pairs=8, others=40):
+    """Pairs of 200 shingles each: 165 of a passage that all hold, 10 rare ones in common, 25 own
+    (J = 0.778).  The others link with nobody."""
+    def own(tag, n):
+        return [f"{tag}x{j}" for j in range(n)]
+    passage = own("p", 169)
+    texts = [(100 + 2 * i + side, passage + own(f"c{i}", 10) + own(f"d{i}s{side}", 25))
+             for i in range(pairs) for side in (0, 1)]
+    texts += [(1000 + i, passage + own(f"o{i}", 60)) for i in range(others)]
+    return [(i, " ".join(w)) for i, w in texts]
+
+
+def test_join_around_a_frequent_passage(spark):
+    """The frequent parts of such a pair are no meetings; its rare ones must do."""
+    assert ngram_join.FREQUENT == 32
+    texts = _passage_pairs()
+    expected = brute_components(texts)
+    assert expected[101] == (200, 100)
+    rows = ngram_join.link_documents(_docs(spark, texts)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == expected
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.integers(12, 400), st.integers(0, 60), st.integers(0, 60), st.floats(0, 1), st.integers(0, 2**32))
+def test_linked_sets_meet_often_enough(n, drop, add, hot, seed):
+    """The number of meetings that is asked for, counting only those the slack allows."""
+    rng = np.random.default_rng(seed)
+    a = np.unique(rng.integers(0, 2**64, n, np.uint64))
+    b = np.unique(np.append(a[min(drop, a.size):], rng.integers(0, 2**64, add, np.uint64)))
+    common = np.intersect1d(a, b).size
+    if b.size < 3 or 100 * common < 75 * (a.size + b.size - common):
+        return
+    levels = [((s >> np.uint64(3)) % np.uint64(1000) < np.uint64(int(1000 * hot))).astype(np.uint8) for s in (a, b)]
+    (sa, wa), (sb, wb) = (ngram_join.signatures(s, x) for s, x in zip((a, b), levels))
+    least = {int(x): int(w) for x, w in zip(sb, wb)}
+    c = sum(int(x) in least and int(w) + least[int(x)] <= 0 for x, w in zip(sa, wa))
+    emitted = min(ngram_join._least_emitted(a), ngram_join._least_emitted(b))
+    slack = sum(ngram_join._hot_slack(s, x) for s, x in zip((a, b), levels))
+    assert emitted < 0 or c >= emitted - (a.size + b.size) // 7 or (slack > 0 and 350 * c >= slack)
+
+
 def test_shingle_sets_are_exact():
     rnd = random.Random(1)
     texts = [" ".join(rnd.choice("aB cC dd É e\t").strip() or "\n" for _ in range(rnd.randint(0, 30))) for _ in range(300)]
