@@ -15,7 +15,7 @@ A node seen on m pages has
 
 A branch is noise when ``GAMMA * content + (1 - GAMMA) * presentation`` is below
 ``THRESHOLD`` on at least ``MIN_PAGES`` pages.  Elements that never hold an article
-(navigation, forms, scripts, classes such as ``ad``) have prior importance 0 on any host, and
+(navigation, forms, scripts; whole classes such as ``ad`` around no article) have prior importance 0, and
 ``article`` / ``main`` branches have prior importance 1, so that an article copied over a
 whole site isn't taken for a menu.
 
@@ -67,14 +67,15 @@ _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]
                     r"([^>\"']*+(?:\"[^\"]*+\"[^>\"']*+|'[^']*+'[^>\"']*+)*+)>"
                     r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)  # the last: a quote is never closed
 _ATTR = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_WORD = re.compile(r"[a-z]+")
+_NUMBER = re.compile(r"[-_]*\d+$")
 
 
-def _label(tag: str, attrs: str) -> tuple[str, bool]:
-    """(tag with its classes, whether its prior importance is 0)."""
-    never = tag in _NEVER
+def _label(tag: str, attrs: str) -> tuple[str, bool, bool]:
+    """(tag with its classes, whether its prior importance is 0, whether a class or id is a
+    noise word, which an article inside outweighs)."""
+    never, word = tag in _NEVER, False
     if not attrs.strip():
-        return tag, never
+        return tag, never, word
     words: list[str] = []
     for name, *values in _ATTR.findall(attrs):
         value = next((v for v in values if v), "").lower()
@@ -83,18 +84,20 @@ def _label(tag: str, attrs: str) -> tuple[str, bool]:
         else:
             words += value.split()
     if tag not in ("body", "html", "article", "main"):
-        never = never or any(_NOISE_WORDS & set(_WORD.findall(w)) for w in words)
+        # has-sidebar or content-with-ads may be a wrapper of all: the tree decides
+        word = any(_NUMBER.sub("", w) in _NOISE_WORDS for w in words)
     # digits differ from page to page (post-17); the style is the same
     named = sorted({re.sub(r"\d+", "0", w) for w in words})
-    return tag + "".join("." + w for w in named), never
+    return tag + "".join("." + w for w in named), never, word
 
 
 def parse(page: str):
     """(blocks, styles): the text blocks in page order as (path, prior, text), and each
     block element as (path, child labels).  prior: 0 noise, 1 open, 2 article."""
-    blocks: list[tuple[str, int, str]] = []
+    blocks: list[tuple[str, int, str, tuple]] = []
     styles: list[tuple[str, list[str]]] = []
-    stack: list[tuple[str, str, int, list[str]]] = [("", "", 1, [])]  # tag, path, prior, children
+    # tag, path, prior, children, for each branch around that a noise word names whether it holds an article
+    stack: list[tuple[str, str, int, list[str], tuple]] = [("", "", 1, [], ())]
     inline: list[tuple[str, int]] = []  # open inline elements with prior 0, by depth
     buffer: list[str] = []
 
@@ -103,12 +106,12 @@ def parse(page: str):
             text = " ".join(html.unescape("".join(buffer)).split())
             buffer.clear()
             if text:
-                blocks.append((stack[-1][1], stack[-1][2], text))
+                blocks.append((stack[-1][1], stack[-1][2], text, stack[-1][4]))
 
     def close(depth: int):
         flush()
         while len(stack) > depth:
-            tag, path, _, children = stack.pop()
+            _, path, _, children, _ = stack.pop()
             styles.append((path, children))
 
     at, end = 0, len(page)
@@ -144,7 +147,7 @@ def parse(page: str):
                 buffer.append(" ")
                 if tag == "hr":
                     flush()
-            elif tag not in _VOID and attrs.strip() and _label(tag, attrs)[1]:
+            elif tag not in _VOID and attrs.strip() and any(_label(tag, attrs)[1:]):
                 inline.append((tag, len(stack)))
             continue
         inline.clear()
@@ -155,18 +158,22 @@ def parse(page: str):
         if tag in _SIBLINGS and stack[-1][0] in _SIBLINGS[tag]:
             close(len(stack) - 1)
         flush()
-        label, never = _label(tag, attrs)
-        path, prior = stack[-1][1] + "/" + label, stack[-1][2]
+        label, never, word = _label(tag, attrs)
+        path, prior, named = stack[-1][1] + "/" + label, stack[-1][2], stack[-1][4]
         inside = any(s[0] in ("article", "main") for s in stack)
         if never or (tag == "header" and not inside):
             prior = 0
         elif prior and tag in ("article", "main"):
             prior = 2
+            for holds in named:
+                holds[0] = True
+        if word:
+            named += ([False],)
         stack[-1][3].append(label)
         if not attrs.endswith("/"):
-            stack.append((tag, path, prior, []))
+            stack.append((tag, path, prior, [], named))
     close(1)
-    return blocks, styles
+    return [(p, prior if all(h[0] for h in named) else 0, t) for p, prior, t, named in blocks], styles
 
 
 def host_of(url: str | None) -> str:

@@ -120,6 +120,15 @@ def test_copied_article_stays(spark):
     assert {r.text for r in out.collect()} == {"same text"}
 
 
+@pytest.mark.parametrize("page,text", [
+    ("<div class='has-sidebar'><article>x</article></div>", "x"),
+    ("<body id='no-sidebar'><div id='content-with-ads'><p>x</div><div class='ad'>y</div>", "x"),
+    ("<div class='banner'><div class='widget-3'><p>menu</div><main><p>x</main></div>", "x"),
+    ("<article><p>x<div class='comments'>y</div></article>", "x")])
+def test_wrapper_named_by_a_noise_word(page, text):
+    assert html_text.main_text(page, ()) == text
+
+
 # -- WARC ------------------------------------------------------------------------------------
 PAGES = [(1, "http://a/1", "same"), (2, "http://a/2", "same"), (2, "http://a/2", "same"), (3, None, None), (4, "u v\n", ""),
          (5, "http://a/5", "WARC/1.1\r\n\r\nContent-Length: 3\r\n\r\n"), (6, "é", "ü 😀 " * 50_000), (None, "http://a/n", "same"),
