@@ -16,14 +16,18 @@ A node seen on m pages has
 A branch is noise when ``GAMMA * content + (1 - GAMMA) * presentation`` is below
 ``THRESHOLD`` on at least ``MIN_PAGES`` pages.  Elements that never hold an article
 (navigation, forms, scripts; whole classes such as ``ad`` around no article) have prior importance 0, and
-``article`` / ``main`` branches have prior importance 1, so that an article copied over a
-whole site isn't taken for a menu.
+branches inside ``article`` / ``main`` have prior importance 1 with weight ``ARTICLE``; the
+element itself is never noise, so that an article copied over a whole site isn't taken for a
+menu.
 
-Pass 2 joins each host's noise branches to its pages and extracts the rest.
+Pass 2 joins each host's noise branches to its pages and extracts the rest.  Beside an
+article stays what the tree knows to be of high importance; branches seen on fewer than
+``MIN_PAGES`` pages are no part of the article.
 
 Defined results: a null or empty page has empty text; broken markup is read as browsers
 do in outline (unclosed and stray tags, missing end); a page without url belongs to the
-host ''; if nothing but noise remains, the blocks without prior importance 0 are the text;
+host ''; if nothing but noise remains, the article's blocks are the text, without an article all
+blocks without prior importance 0;
 repeated rows repeat; an empty table gives an empty result; extra columns are ignored.
 """
 
@@ -42,6 +46,8 @@ from ..session import materialize
 MIN_PAGES = 3
 THRESHOLD = 0.3
 GAMMA = 0.9
+#: Weight of the prior importance 1 inside an article.
+ARTICLE = 0.2
 #: Distinct counts a task holds before it passes them on.
 HELD = 100_000
 
@@ -67,6 +73,7 @@ _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]
                     r"([^>\"']*+(?:\"[^\"]*+\"[^>\"']*+|'[^']*+'[^>\"']*+)*+)>"
                     r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)  # the last: a quote is never closed
 _ATTR = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+_INSIDE = re.compile(r".*/(?:article|main)(?:\.[^/]*)?/", re.S)
 _NUMBER = re.compile(r"[-_]*\d+$")
 
 
@@ -203,7 +210,7 @@ def style_trees(pages: DataFrame) -> DataFrame:
             for url, page in zip(batch.column(0), batch.column(1)):
                 host = host_of(url.as_py())
                 blocks, styles = parse(page.as_py() or "")
-                seen = {(host, p, "block", _hash(t)) for p, prior, t in blocks if prior == 1}
+                seen = {(host, p, "block", _hash(t)) for p, prior, t in blocks if prior}
                 open_paths = {p for _, p, _, _ in seen}
                 every = {a for p in open_paths for a in _ancestors(p)}
                 seen |= {(host, p, "page", 0) for p in every}
@@ -229,7 +236,8 @@ def _ancestors(path: str) -> list[str]:
 
 
 def noise_branches(trees: DataFrame) -> DataFrame:
-    """host, branches (array of paths): the topmost branches of low importance."""
+    """host, branches (paths of low importance), known (paths with text outside articles, of
+    high importance)."""
     trees = materialize(trees, "style-trees")
     pages = trees.filter("kind = 'page'").select("host", "path", F.col("n").alias("m")).filter(F.col("m") >= MIN_PAGES)
     # entropy sums per node; blocks count for the node and all branches above it
@@ -241,22 +249,36 @@ def noise_branches(trees: DataFrame) -> DataFrame:
         (1 - F.sum("h") / F.sum("w")).alias("content"))
     styles = trees.filter("kind = 'style'").join(pages, ["host", "path"]).groupBy("host", "path").agg(
         F.sum(-(F.col("n") / F.col("m")) * F.log(F.col("n") / F.col("m")) / F.log("m")).alias("presentation"))
-    score = content.join(pages, ["host", "path"]).join(styles, ["host", "path"], "left").select(
-        "host", "path", (GAMMA * F.col("content") + (1 - GAMMA) * F.coalesce("presentation", F.lit(0.0))).alias("importance"))
-    low = score.filter(F.col("importance") < THRESHOLD)
-    return low.groupBy("host").agg(F.sort_array(F.collect_set("path")).alias("branches"))
+    importance = GAMMA * F.col("content") + (1 - GAMMA) * F.coalesce("presentation", F.lit(0.0))
+    inside = F.col("path").rlike(r"(?s)/(article|main)(\.[^/]*)?(/|$)")
+    score = content.join(pages, ["host", "path"]).join(styles, ["host", "path"], "left") \
+        .join(own.select("host", "path", F.lit(True).alias("text")), ["host", "path"], "left").select(
+            "host", "path", "text", inside.alias("inside"),
+            F.when(inside, ARTICLE + (1 - ARTICLE) * importance).otherwise(importance).alias("importance"))
+    low = F.col("importance") < THRESHOLD
+    return score.groupBy("host").agg(
+        F.sort_array(F.collect_set(F.when(low, F.col("path")))).alias("branches"),
+        F.sort_array(F.collect_set(F.when(~low & F.col("text") & ~F.col("inside"), F.col("path")))).alias("known")) \
+        .filter("size(branches) + size(known) > 0")
+
+
+def main_text(page: str, branches, known=()) -> str:
+    """The blocks outside noise branches.  On a page with an article, those beside it stay
+    only if their path is ``known``."""
+    blocks, _ = parse(page)
+    noise, known = set(branches), set(known)
+    article = any(prior == 2 for _, prior, _ in blocks)
 
+    def stays(path: str, prior: int) -> bool:
+        if not prior or (article and prior == 1 and path not in known):
+            return False
+        # of an article's branches those inside it count
+        start = m.end() if prior == 2 and (m := _INSIDE.match(path)) else 0
+        judged = [a for a in _ancestors(path) if len(a) > start] if noise and (prior == 1 or start) else ()
+        return not noise.intersection(judged)
 
-def main_text(page: str, branches) -> str:
-    """The blocks outside noise branches; an article's own blocks always stay."""
-    blocks, _ = parse(page)
-    noise = set(branches)
-    kept = [t for p, prior, t in blocks
-            if prior == 2 or (prior == 1 and not (noise and noise.intersection(_ancestors(p))))]
-    if any(prior == 2 for _, prior, _ in blocks):
-        # a page with an article element: what stands beside it is no part of the article
-        kept = [t for _, prior, t in blocks if prior == 2]
-    return "\n\n".join(kept or [t for _, prior, t in blocks if prior])
+    kept = [t for p, prior, t in blocks if stays(p, prior)]
+    return "\n\n".join(kept or [t for _, prior, t in blocks if prior == (2 if article else 1)])
 
 
 def extract(pages: DataFrame, id_col: str = "page_id") -> DataFrame:
@@ -268,11 +290,12 @@ def extract(pages: DataFrame, id_col: str = "page_id") -> DataFrame:
     host = F.lower(F.regexp_extract(F.substr("url", at + 3), r"(?s)^([^/?#]*)", 1))
     keyed = rows.withColumn("host", F.coalesce(F.when(at > 0, host), F.lit("")))
     # a written table: Spark broadcasts it when its size is small, else joins by shuffle
-    joined = keyed.join(noise, "host", "left").select(id_col, "url", "html", "branches")
+    joined = keyed.join(noise, "host", "left").select(id_col, "url", "html", "branches", "known")
 
     def run(batches):
         for batch in batches:
-            texts = [main_text(p.as_py() or "", b.as_py() or ()) for p, b in zip(batch.column(2), batch.column(3))]
+            texts = [main_text(p.as_py() or "", b.as_py() or (), k.as_py() or ())
+                     for p, b, k in zip(batch.column(2), batch.column(3), batch.column(4))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()),
                  pa.array([len(t) for t in texts], pa.int64())], names=[id_col, "url", "text", "n_chars"])

@@ -129,6 +129,18 @@ def test_wrapper_named_by_a_noise_word(page, text):
     assert html_text.main_text(page, ()) == text
 
 
+def test_tree_decides_inside_and_beside_articles(spark):
+    """A promo inside every article goes; a site's own text beside a teaser article stays."""
+    rows = [(i, "http://a.org/", f"<article><h1>T {i}</h1><p>Text {i}.<div class=xp><p>Try it free</div></article>"
+                                 "<div class=xm>Home</div>") for i in range(8)]
+    rows += [(100 + i, "http://b.org/", f"<div class=xt><p>Story {i}.</div><article><p>Teaser {i}</article>"
+                                        "<div class=xm>Home</div>") for i in range(8)]
+    out = html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3))
+    got = {r.page_id: r.text for r in out.collect()}
+    assert got == {**{i: f"T {i}\n\nText {i}." for i in range(8)},
+                   **{100 + i: f"Story {i}.\n\nTeaser {i}" for i in range(8)}}
+
+
 # -- WARC ------------------------------------------------------------------------------------
 PAGES = [(1, "http://a/1", "same"), (2, "http://a/2", "same"), (2, "http://a/2", "same"), (3, None, None), (4, "u v\n", ""),
          (5, "http://a/5", "WARC/1.1\r\n\r\nContent-Length: 3\r\n\r\n"), (6, "é", "ü 😀 " * 50_000), (None, "http://a/n", "same"),
