@@ -2,7 +2,8 @@
 
 Pass 1 parses every page and merges the DOMs of a host into one tree: a node is a path of
 block elements with their classes.  Per node it counts pages, the presentation styles
-(sequences of child elements) and the content blocks.  These counts are combined in each
+(sequences of child elements) and the content blocks.  Pages of a host with the same open
+blocks count once: each of c copies adds ``ONE // c`` to the counts.  These counts are combined in each
 task and again by Spark, so a hot host costs one row per task and distinct count.
 
 A node seen on m pages has
@@ -50,6 +51,8 @@ GAMMA = 0.9
 ARTICLE = 0.2
 #: Distinct counts a task holds before it passes them on.
 HELD = 100_000
+#: A page's count, a whole number, so that the order of adding up changes nothing.
+ONE = 1 << 36
 
 # fixed values: HTML element kinds
 _RAW = frozenset("script style noscript template textarea title iframe xmp".split())
@@ -196,6 +199,27 @@ def _hash(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
+def copied_pages(pages: DataFrame) -> DataFrame:
+    """h (hash of url and html), copies: the pages whose open blocks several pages of their
+    host have."""
+    def run(batches):
+        for batch in batches:
+            keys = []
+            for url, page in zip(batch.column(1), batch.column(2)):
+                blocks, _ = parse(page.as_py() or "")
+                keys.append(_hash("\0".join([host_of(url.as_py()), *(x for p, prior, t in blocks if prior for x in (p, t))])))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.int64())], names=["h", "k"])
+
+    found = materialize(pages.select(_page_hash().alias("h"), "url", "html").mapInArrow(run, "h bigint, k bigint"), "page-keys")
+    copies = materialize(found.groupBy("k").agg(F.count("*").alias("copies")).filter("copies > 1"), "page-copies")
+    # a written table: Spark broadcasts it when its size is small
+    return materialize(found.join(copies, "k").groupBy("h").agg(F.max("copies").alias("copies")), "copied-pages")
+
+
+def _page_hash():
+    return F.xxhash64("url", "html")
+
+
 def style_trees(pages: DataFrame) -> DataFrame:
     """host, path, kind (page, style or block), feature, n: the merged trees of all hosts."""
     def counted(counts: Counter):
@@ -207,7 +231,7 @@ def style_trees(pages: DataFrame) -> DataFrame:
     def run(batches):
         counts: Counter = Counter()
         for batch in batches:
-            for url, page in zip(batch.column(0), batch.column(1)):
+            for url, page, copies in zip(batch.column(0), batch.column(1), batch.column(2)):
                 host = host_of(url.as_py())
                 blocks, styles = parse(page.as_py() or "")
                 seen = {(host, p, "block", _hash(t)) for p, prior, t in blocks if prior}
@@ -219,15 +243,20 @@ def style_trees(pages: DataFrame) -> DataFrame:
                     if p in every:
                         style.setdefault(p, []).append(",".join(children))
                 seen |= {(host, p, "style", _hash(";".join(s))) for p, s in style.items()}
-                counts.update(seen)
+                share = ONE // (copies.as_py() or 1)
+                for key in seen:
+                    counts[key] += share
                 if len(counts) >= HELD:
                     yield counted(counts)
                     counts = Counter()
         if counts:
             yield counted(counts)
 
-    parts = pages.select("url", "html").mapInArrow(run, _STATS)
-    return parts.groupBy("host", "path", "kind", "feature").agg(F.sum("n").alias("n"))
+    rows = pages.withColumn("h", _page_hash()).join(copied_pages(pages), "h", "left")
+    parts = rows.select("url", "html", "copies").mapInArrow(run, _STATS)
+    # n distinct pages add up to n * ONE less a few units
+    return parts.groupBy("host", "path", "kind", "feature").agg(
+        F.greatest(F.round(F.sum("n") / ONE).cast("long"), F.lit(1)).alias("n"))
 
 
 def _ancestors(path: str) -> list[str]:

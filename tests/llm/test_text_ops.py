@@ -141,6 +141,18 @@ def test_tree_decides_inside_and_beside_articles(spark):
                    **{100 + i: f"Story {i}.\n\nTeaser {i}" for i in range(8)}}
 
 
+def test_copies_of_a_page_count_once(spark):
+    """A group of copies, told apart by their navigation only, makes nine tenths of a host."""
+    def page(i, nav):
+        return (f"<nav>{nav}</nav><div class='xa'><ul><li>Home<li>Jobs</ul></div>"
+                f"<div class='xb'><p>Text {i} of its own.<p>More on {i}.</div>")
+    rows = [(j, "http://s.org/", page(0, j % 9)) for j in range(40)] + [(100 + i, "http://s.org/", page(i, 0)) for i in range(1, 5)]
+    out = html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3))
+    for r in out.collect():
+        i = max(r.page_id - 100, 0)
+        assert r.text == f"Text {i} of its own.\n\nMore on {i}."
+
+
 # -- WARC ------------------------------------------------------------------------------------
 PAGES = [(1, "http://a/1", "same"), (2, "http://a/2", "same"), (2, "http://a/2", "same"), (3, None, None), (4, "u v\n", ""),
          (5, "http://a/5", "WARC/1.1\r\n\r\nContent-Length: 3\r\n\r\n"), (6, "é", "ü 😀 " * 50_000), (None, "http://a/n", "same"),
