@@ -5,8 +5,8 @@
   the text) times inverse document frequency.
 * Document frequencies are counted over *all* training documents, each task adding up
   its own documents before the shuffle.
-* The classifier is fitted on a bounded sample of labelled rows (``max_rows``, those
-  with the smallest hashed ids, from all training documents) with the
+* The classifier is fitted on a bounded sample of labelled rows (``max_rows``; of each
+  label the ``PER_LABEL`` with the smallest hashed ids, then those of all labels) with the
   follow-the-regularised-leader (proximal) update, whose elastic-net penalty keeps the
   weights sparse.  One in five sample rows is set aside to fit the temperature that
   calibrates the scores.
@@ -25,11 +25,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 FEATURE_BITS = 16
 ORDERS = (1, 2, 3)
 #: Rows the classifier is fitted on, at most.
 MAX_ROWS = 4000
+#: Rows of every label that come before the others.
+PER_LABEL = 50
 EPOCHS = 3
 #: Term frequencies are shares of a text; this brings a text's vector near unit length.
 SCALE = 20.0
@@ -131,8 +134,8 @@ def document_frequencies(docs: DataFrame, text_col: str = "text") -> DataFrame:
 # -- training --------------------------------------------------------------------------------
 def training_sample(docs: DataFrame, id_col: str, text_col: str, label_col: str,
                     max_rows: int = MAX_ROWS) -> list[tuple[str, np.ndarray, np.ndarray]]:
-    """(label, features, counts) of at most ``max_rows`` labelled rows, those with the
-    smallest hashed ids.  Only ids and labels are ranked; texts are read for the chosen
+    """(label, features, counts) of at most ``max_rows`` labelled rows: the ``PER_LABEL`` with
+    the smallest hashed ids of each label (in turns, if there are many labels), then the others.  Only ids and labels are ranked; texts are read for the chosen
     rows and leave the executors as counted features."""
     # the hash of (id, label) picks rows by chance; the text is not needed for that
     key = F.xxhash64(F.col(id_col).cast("string"), F.col(label_col))
@@ -140,9 +143,17 @@ def training_sample(docs: DataFrame, id_col: str, text_col: str, label_col: str,
                 .orderBy("h").limit(max_rows).agg(F.max("h")).first()[0])
     if edge is None:
         return []
-    rows = docs.filter(F.col(label_col).isNotNull() & (key <= edge)) \
+    # at most PER_LABEL rows a label leave a task
+    rank = F.row_number().over(W.partitionBy("label").orderBy("h"))
+    first = (docs.filter(F.col(label_col).isNotNull())
+                 .select(F.col(label_col).cast("string").alias("label"), key.alias("h"))
+                 .withColumn("r", rank).filter(F.col("r") <= PER_LABEL)
+                 .orderBy("r", "h").limit(max_rows).groupBy("h").agg(F.min("r").alias("r")))  # max_rows rows
+    rows = docs.filter(F.col(label_col).isNotNull()) \
                .select(F.col(label_col).cast("string").alias("label"), F.col(text_col).cast("string").alias("text"),
-                       key.alias("h"))
+                       key.alias("h")) \
+               .join(F.broadcast(first), "h", "left").filter(F.col("r").isNotNull() | (F.col("h") <= edge)) \
+               .select("label", "text", "h", F.coalesce("r", F.lit(PER_LABEL + 1)).alias("r"))
 
     def run(batches):
         for batch in batches:
@@ -157,12 +168,13 @@ def training_sample(docs: DataFrame, id_col: str, text_col: str, label_col: str,
                 at = pa.array(keep)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(at), pa.array(feats, pa.list_(pa.int32())),
-                     pa.array(counts, pa.list_(pa.int32())), batch.column(2).take(at)],
-                    names=["label", "f", "n", "h"])
+                     pa.array(counts, pa.list_(pa.int32())), batch.column(2).take(at), batch.column(3).take(at)],
+                    names=["label", "f", "n", "h", "r"])
 
-    out = rows.mapInArrow(run, "label string, f array<int>, n array<int>, h bigint")
+    out = rows.mapInArrow(run, "label string, f array<int>, n array<int>, h bigint, r int")
     # repeated rows share a hash; the bound holds all the same
-    table = out.orderBy("h", "label", F.xxhash64("f", "n")).limit(max_rows).toArrow()
+    table = out.orderBy("r", "h", "label", F.xxhash64("f", "n")).limit(max_rows).toArrow().combine_chunks()
+    table = table.take(pa.array(np.argsort(np.asarray(table.column("h")), kind="stable")))
     return [(label, np.asarray(f.values), np.asarray(n.values))
             for label, f, n in zip(table.column("label").to_pylist(), table.column("f").combine_chunks(),
                                    table.column("n").combine_chunks())]
@@ -227,8 +239,10 @@ def fit(train: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_
     labels = sorted({r[0] for r in rows})
     if not labels:
         return [], np.zeros((_D, 0), np.float32)
-    aside = rows[::5] if len(rows) >= 50 else []
-    learn = [r for i, r in enumerate(rows) if i % 5] if aside else rows
+    known = {r[0] for i, r in enumerate(rows) if i % 5}  # the only row of a label isn't set aside
+    parted = len(rows) >= 50
+    aside = [r for i, r in enumerate(rows) if parted and i % 5 == 0 and r[0] in known]
+    learn = [r for i, r in enumerate(rows) if not parted or i % 5 or r[0] not in known]
     weights = fit_ftrl(learn, idf, labels)
     number = {x: i for i, x in enumerate(labels)}
     scores = np.array([_tfidf(f, c, idf) @ weights[f] for _, f, c in aside]).reshape(-1, len(labels))

@@ -371,6 +371,13 @@ def test_document_frequencies_and_sample_bound(spark):
     assert len(language_id.training_sample(docs, "doc_id", "text", "lang", max_rows=7)) == 7
 
 
+def test_rare_language_is_in_the_sample(spark):
+    rows = [(i, t, lang) for i, t, lang in _languages(400)] + [(9000 + i, "zhu wy xo " * 5, "zz") for i in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    got = language_id.training_sample(docs, "doc_id", "text", "lang", max_rows=20)
+    assert len(got) == 20 and sum(r[0] == "zz" for r in got) == 2
+
+
 def test_language_id_without_training_rows(spark):
     docs = spark.createDataFrame([(1, "abc", None)], "doc_id long, text string, lang string")
     row = language_id.predict(docs, language_id.fit(docs), ["doc_id"]).first()
