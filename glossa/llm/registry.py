@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, fingerprints, html_text, language_id, mixing, ngram_join, sharding, url_filter, warc
+from . import (bpe, conversation_repair, exact_dedup, fingerprints, html_text, language_id, mixing, ngram_join,
+               sharding, substring_dedup, token_alignment, url_filter, warc)
 
 QUERIES = {f.__name__: f for f in (
     sharding.op1_sharding,
@@ -15,6 +16,9 @@ QUERIES = {f.__name__: f for f in (
     ngram_join.op8_ngram_join,
     url_filter.op9_url_filter,
     language_id.op10_language_id,
+    substring_dedup.op11_substring_dedup,
+    conversation_repair.op12_conversation_repair,
+    token_alignment.op13_token_alignment,
 )}
 
 ORACLES = {
