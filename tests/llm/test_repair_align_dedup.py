@@ -71,10 +71,13 @@ def test_substring_dedup_equals_brute_force(spark, block, bucket):
     assert sorted((tuple(r) for r in got.collect()), key=repr) == _removed(rows, 13)
 
 
-def test_substring_dedup_splits_hot_buckets(spark):
+def test_substring_dedup_sends_single_windows_around_hot_minimisers(spark, monkeypatch):
     rows = _texts(random.Random(6), 300)
+    monkeypatch.setattr(dedup, "HOT", 0.05)
     blocks = dedup.pack_blocks(_docs(spark, rows), "doc_id", "text", 2000)
-    assert len(dedup.plan_buckets(blocks, 5, 600).hot)
+    states = dedup.key_states(blocks, 5, 7, 100).collect()
+    found = {int(x) for r in states for x in dedup.unpack(r.packed, r.size, r.counts, ["i1"])[0]}
+    assert found == {0, 1, 2}
     got = dedup.remove_repeats(_docs(spark, rows), width=5, block_bytes=2000, bucket_bytes=600)
     assert sorted((tuple(r) for r in got.collect()), key=repr) == _removed(rows, 5)
 
@@ -82,10 +85,12 @@ def test_substring_dedup_splits_hot_buckets(spark):
 def test_substring_dedup_compares_words_when_hashes_meet(spark, monkeypatch):
     rows = _texts(random.Random(7), 40)
     table = dedup.pack_blocks(_docs(spark, rows), "doc_id", "text", 500)
-    layout = dedup.Layout(13, 1, dedup.np.zeros(0, int), 1)
-    strings = [{"block": b.block, **s} for b in table.collect()
-               for s in layout.cut(b.packed, b.size, b.counts).strings()]
-    bucket = dedup.pa.Table.from_batches([dedup.record(strings, dedup._ANSWER)])
+    strings = []
+    for b in table.collect():
+        cut = dedup.Cut(b.packed, b.size, b.counts, 13)
+        units = dedup.Units(cut, dedup.np.ones(len(cut.g_key), int), 1)
+        strings += [{"block": b.block, "parts": 0, **s} for s in units.strings()]
+    bucket = dedup.pa.Table.from_batches([dedup.record(strings, dedup._ROW)])
     answer = lambda: [r["packed"] for r in dedup._answers(bucket, 13).to_pylist()]
     want, runs = answer(), dedup._runs
     monkeypatch.setattr(dedup, "_runs", lambda v, w: runs(v, w) % dedup.np.uint64(7))
