@@ -34,6 +34,7 @@ import hashlib
 import json
 import re
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -114,75 +115,96 @@ class Aligner:
                                   for t in (self.a.tokens, self.b.tokens))
         self.blank_a, self.blank_b = (np.array([t.startswith(b" ") for t in x.tokens.to_pylist()])
                                       for x in (self.a, self.b))
+        # how a token is written in a group: before another one, and as the last of its side
+        self.n_a, self.n_b = len(self.len_a), len(self.len_b)
+        self.written = pa.array([f"{i}{after}" for n, mark in ((self.n_a, "|"), (self.n_b, ";"))
+                                 for after in (",", mark) for i in range(n)], pa.string())
         self.forget()
 
     def forget(self) -> None:
         self.memo: dict[tuple[bytes, bytes], int] = {}
-        #: of each window: its groups as text, and its linked ids
-        self.groups: list[str] = []
-        self.links: list[list[tuple[int, int]]] = []
-
-    def window(self, key: tuple[bytes, bytes]) -> int:
-        """Align the tokens of a window from its ids alone and remember the result."""
-        ids_a, ids_b = (np.frombuffer(k, np.int32) for k in key)
+        #: of each window: its groups as text, how many links it has, and its linked ids (A's
+        #: above 32 bits of B's), in runs of windows that were aligned together
+        self.groups: list[bytes] = []
+        self.n_links: list[np.ndarray] = []
+        self.links: list[np.ndarray] = []
+
+    def align(self, keys: list[tuple[bytes, bytes]]) -> None:
+        """Align new windows from their ids alone and remember the results."""
+        ids_a, ids_b = (np.frombuffer(b"".join(part), np.int32) for part in zip(*keys))
+        n_a = np.array([len(k[0]) >> 2 for k in keys])
         end_a, end_b = np.cumsum(self.len_a[ids_a]), np.cumsum(self.len_b[ids_b])
-        groups, links = [], []
-        at_a = at_b = 0
-        _, ends, others = np.intersect1d(end_a, end_b, assume_unique=True, return_indices=True)
-        for i, j in zip(ends.tolist(), others.tolist()):
-            groups.append(",".join(map(str, ids_a[at_a:i + 1])) + "|" + ",".join(map(str, ids_b[at_b:j + 1])))
-            links.append((int(ids_a[i]), int(ids_b[j])))
-            at_a, at_b = i + 1, j + 1
-        self.memo[key] = len(self.groups)
-        self.groups.append(";".join(groups))
-        self.links.append(links)
-        return len(self.groups) - 1
+        at_b = np.searchsorted(end_b, end_a)
+        at_a = np.flatnonzero(end_b[at_b] == end_a)
+        at_b = at_b[at_a]
+        # the groups, written one after the other: the tokens of A, then those of B
+        size_a, size_b = np.diff(at_a, prepend=-1), np.diff(at_b, prepend=-1)
+        last_a, last_b = np.zeros(len(ids_a), bool), np.zeros(len(ids_b), bool)
+        last_a[at_a] = last_b[at_b] = True
+        start = np.cumsum(size_a + size_b) - size_a - size_b
+        order = np.empty(len(ids_a) + len(ids_b), np.int64)
+        order[spans(start, size_a)] = ids_a + np.where(last_a, self.n_a, 0)
+        order[spans(start + size_a, size_b)] = ids_b + np.where(last_b, self.n_b, 0) + 2 * self.n_a
+        text = self.written.take(pa.array(order))
+        stop = np.frombuffer(text.buffers()[1], np.int32, len(text) + 1)[np.append(start, len(order))]
+        n_links = np.diff(np.searchsorted(at_a, np.append(0, np.cumsum(n_a))))
+        edge = stop[np.append(0, np.cumsum(n_links))].tolist()
+        data = text.buffers()[2].to_pybytes()
+        self.groups += [data[lo:hi] for lo, hi in zip(edge[:-1], edge[1:])]
+        self.n_links.append(n_links)
+        self.links.append(ids_a[at_a].astype(np.int64) << 32 | ids_b[at_b])
 
     def documents(self, texts: list[str]):
         """Per text (tokens of A, tokens of B, its windows)."""
         wanted = [(" " + t).encode() for t in texts]
-        ids_a, n_a, bytes_a = self._encoded(self.a, texts)
-        ids_b, n_b, bytes_b = self._encoded(self.b, texts)
-        size_a, size_b = self._sizes(ids_a, n_a, self.len_a), self._sizes(ids_b, n_b, self.len_b)
-        good = np.array([bool(t) and bytes_a[ea - sa:ea] == w and bytes_b[eb - sb:eb] == w for t, w, sa, ea, sb, eb in zip(
-            texts, wanted, size_a.tolist(), np.cumsum(size_a).tolist(), size_b.tolist(), np.cumsum(size_b).tolist())], bool)
-        ids_a, ids_b = ids_a[np.repeat(good, n_a)], ids_b[np.repeat(good, n_b)]
-        n_a, n_b = np.where(good, n_a, 0), np.where(good, n_b, 0)
-        # verified shared ends, and those before tokens that start with a blank on both sides
-        end_a, end_b = np.cumsum(self.len_a[ids_a]), np.cumsum(self.len_b[ids_b])
+        size = np.array([len(w) for w in wanted])
+        ids_a, n_a, same_a = self._encoded(self.a, texts, wanted, self.len_a, size)
+        ids_b, n_b, same_b = self._encoded(self.b, texts, wanted, self.len_b, size)
+        good = same_a & same_b & (size > 1)
+        if not good.all():
+            ids_a, ids_b = ids_a[np.repeat(good, n_a)], ids_b[np.repeat(good, n_b)]
+            n_a, n_b = np.where(good, n_a, 0), np.where(good, n_b, 0)
+        # anchors: ends before tokens that start with a blank (or of the text), verified to be shared
+        cut_a, end_a = self._before_blanks(ids_a, n_a, self.len_a, self.blank_a)
+        cut_b, end_b = self._before_blanks(ids_b, n_b, self.len_b, self.blank_b)
         at_b = np.searchsorted(end_b, end_a)
-        at_a = np.flatnonzero(end_b[at_b] == end_a)
-        at_b = at_b[at_a]
-        anchor = (np.append(self.blank_a[ids_a], True)[at_a + 1] & np.append(self.blank_b[ids_b], True)[at_b + 1]) \
-            | np.isin(at_a, np.cumsum(n_a) - 1)
-        cut_a, cut_b = at_a[anchor] + 1, at_b[anchor] + 1
+        shared = end_b[np.minimum(at_b, max(len(end_b) - 1, 0))] == end_a if len(end_b) else np.zeros(0, bool)
+        cut_a, cut_b = cut_a[shared], cut_b[at_b[shared]]
         buffer_a, buffer_b = ids_a.tobytes(), ids_b.tobytes()
-        stops_a, stops_b = (4 * cut_a).tolist(), (4 * cut_b).tolist()
-        memo, windows, a0, b0 = self.memo, [], 0, 0
-        for a1, b1 in zip(stops_a, stops_b):
+        known, memo, windows, new, a0, b0 = len(self.groups), self.memo, [], [], 0, 0
+        for a1, b1 in zip((4 * cut_a).tolist(), (4 * cut_b).tolist()):
             key = (buffer_a[a0:a1], buffer_b[b0:b1])
-            found = memo.get(key)
-            windows.append(self.window(key) if found is None else found)
+            window = memo.get(key)
+            if window is None:
+                window = memo[key] = known + len(new)
+                new.append(key)
+            windows.append(window)
             a0, b0 = a1, b1
-        n_windows = np.diff(np.searchsorted(cut_a, np.append(0, np.cumsum(n_a)), side="right"))
-        lo = 0
-        for a, b, n in zip(n_a.tolist(), n_b.tolist(), n_windows.tolist()):
-            yield a, b, windows[lo:lo + n]
-            lo += n
+        if new:
+            self.align(new)
+        return n_a, n_b, np.diff(np.searchsorted(cut_a, np.append(0, np.cumsum(n_a)), side="right")), windows
 
     @staticmethod
-    def _encoded(coder, texts: list[str]):
-        lists = coder.encode(texts)
-        n = np.array([len(x) for x in lists], np.int64)
-        ids = np.fromiter((i for x in lists for i in x), np.int32, int(n.sum()))
-        joined = coder.tokens.take(pa.array(ids))
-        data = joined.buffers()[2]
-        return ids, n, b"" if data is None else data.to_pybytes()
+    def _before_blanks(ids: np.ndarray, n: np.ndarray, lens: np.ndarray, blank: np.ndarray):
+        """(number of the next token, byte offset) of every end before a blank or the text's end."""
+        stop = np.append(blank[ids], True)[1:] if len(ids) else np.zeros(0, bool)
+        stop[np.cumsum(n)[n > 0] - 1] = True
+        at = np.flatnonzero(stop)
+        return at + 1, np.cumsum(lens[ids])[at]
 
     @staticmethod
-    def _sizes(ids: np.ndarray, n: np.ndarray, lens: np.ndarray) -> np.ndarray:
+    def _encoded(coder, texts: list[str], wanted: list[bytes], lens: np.ndarray, size: np.ndarray):
+        """(ids, tokens of each text, whether its joined bytes are the wanted ones)."""
+        lists = coder.encode(texts)
+        n = np.array([len(x) for x in lists], np.int64)
+        ids = np.fromiter(chain.from_iterable(lists), np.int32, int(n.sum()))
+        joined = coder.tokens.take(pa.array(ids)).buffers()[2]
+        joined = b"" if joined is None else joined.to_pybytes()
         edge = np.append(0, np.cumsum(lens[ids]))[np.append(0, np.cumsum(n))]
-        return np.diff(edge)
+        if np.array_equal(np.diff(edge), size) and joined == b"".join(wanted):
+            return ids, n, np.ones(len(texts), bool)
+        edge = edge.tolist()
+        return ids, n, np.array([joined[lo:hi] == w for lo, hi, w in zip(edge[:-1], edge[1:], wanted)], bool)
 
 
 @lru_cache(maxsize=1)
@@ -204,29 +226,29 @@ class Block:
             aligner.forget()
         self.aligner, self.bytes = aligner, 0
         self.docs: list[tuple] = []
-        self.windows: list[np.ndarray] = []
 
     def add(self, ids: list, texts: list[str]) -> None:
-        groups = self.aligner.groups
-        for i, (a, b, windows) in zip(ids, self.aligner.documents(texts)):
-            text = ";".join([groups[w] for w in windows])
-            digest = hashlib.sha256(text.encode()).digest() if a else b""
-            self.docs.append((i or 0, i is not None, a, b, len(windows), digest.ljust(32, b"\0")))
-            self.windows.append(np.array(windows, np.int32))
+        n_a, n_b, n_windows, windows = self.aligner.documents(texts)
+        groups, lo, digests = self.aligner.groups, 0, []
+        for n in n_windows.tolist():
+            text = b"".join([groups[w] for w in windows[lo:lo + n]])
+            digests.append(hashlib.sha256(text[:-1]).digest())
+            lo += n
+        self.docs.append((np.array([i or 0 for i in ids], np.int64), np.array([i is not None for i in ids]),
+                          n_a, n_b, n_windows, np.frombuffer(b"".join(digests), np.uint8), np.array(windows, np.int32)))
 
     def row(self, block: int) -> dict:
         """Distinct windows and distinct pairs get numbers of this block's own."""
-        ids, known, n_a, n_b, n_windows, digests = zip(*self.docs)
-        used, own, times = np.unique(np.concatenate(self.windows), return_inverse=True, return_counts=True)
-        links = [self.aligner.links[w] for w in used]
-        n_links = np.array([len(x) for x in links], np.int64)
-        flat = np.array([(a << 32) | b for x in links for a, b in x], np.int64)
+        ids, known, n_a, n_b, n_windows, digests, windows = map(np.concatenate, zip(*self.docs))
+        used, own, times = np.unique(windows, return_inverse=True, return_counts=True)
+        every = np.concatenate([np.zeros(0, np.int64), *self.aligner.n_links])
+        n_links = every[used]
+        flat = np.concatenate([np.zeros(0, np.int64), *self.aligner.links])[spans((np.cumsum(every) - every)[used], n_links)]
         pairs, pair_of = np.unique(flat, return_inverse=True)
         count = np.bincount(pair_of, np.repeat(times, n_links), len(pairs)).astype(np.int64)
         return {"block": block, **pack(
-            [np.array(ids, np.int64), np.array(known, bool), np.array(n_a, np.int64), np.array(n_b, np.int64),
-             np.array(n_windows, np.int64), np.frombuffer(b"".join(digests), np.uint8), own.astype(np.int32),
-             n_links, pairs, pair_of.astype(np.int32)], pa.array([], pa.string())),
+            [ids, known, n_a, n_b, n_windows, digests, own.astype(np.int32), n_links, pairs, pair_of.astype(np.int32)],
+            pa.array([], pa.string())),
             "a": (pairs >> 32).tolist(), "b": (pairs & 0xFFFFFFFF).tolist(), "n": count.tolist()}
 
 
