@@ -22,7 +22,7 @@ from ..functions.models import check_provider, validate_settings
 from ..operators import apply as apply_op
 from ..operators import batching, dedup, gates, infer, records, requests, resume
 from ..schemas import DEFAULT_BATCH_SIZE, TRANSLATION_LOG
-from ..session import has_data, materialize, scratch_scope
+from ..session import materialize, scratch_scope
 
 
 def new_run_id(now: _dt.datetime | None = None) -> str:
@@ -68,8 +68,8 @@ def translate(entries: DataFrame, log: DataFrame | None,
         return None
     check_provider(provider)
     reqs = requests.build_requests(units, source_lang, target_lang, provider, model, title)
-    results = infer.run_batches(reqs, fn_factory, max_attempts, backoff_base, envelope,
-                                parallelism)
+    call = infer.run_frontier if stop_on_failure else infer.run_batches
+    results = call(reqs, fn_factory, max_attempts, backoff_base, envelope, parallelism)
     if stop_on_failure:
         results = infer.stop_at_first_failure(results)
     recs = records.records_from_results(units, results, run_id)
@@ -123,7 +123,8 @@ def run_translation_job(entries: DataFrame, log_path: str,
                         run_id: str | None = None, max_attempts: int = infer.MAX_ATTEMPTS,
                         backoff_base: float = infer.BACKOFF_BASE_SECONDS,
                         envelope: str | None = None, title: str = requests.DEFAULT_TITLE,
-                        parallelism: int | None = None, metrics_path: str | None = None) -> int:
+                        parallelism: int | None = None, metrics_path: str | None = None,
+                        stop_on_failure: bool = False, log_buckets: int | None = None) -> int:
     """K2 at scale: translate in waves of ``wave_batches`` batches and append each
     wave's records to the log before the next wave starts.
 
@@ -136,6 +137,12 @@ def run_translation_job(entries: DataFrame, log_path: str,
     deduped pairs, ok/failed batches, records, elapsed seconds) are appended there as
     ``run_metrics`` rows; each counter is one aggregate over a materialized table.
     Intermediate tables of the job are removed once its results are in the log.
+
+    ``stop_on_failure`` (I4) stops at the first batch that fails all attempts: each wave
+    runs slice by slice (``infer.run_frontier``), its records before that batch are
+    appended, and neither the later slices nor the later waves are called.  ``log_buckets``
+    starts the log as snapshot and deltas by path bucket (``sinks.bucketed_log``); a log
+    that has that layout keeps it.
     """
     started = time.time()
     metrics: list[tuple[str, str, float]] = []
@@ -143,17 +150,18 @@ def run_translation_job(entries: DataFrame, log_path: str,
         return _run_waves(entries, log_path, fn_factory, source_lang, target_lang, provider,
                           model, batch_size, wave_batches, n_waves, run_id, max_attempts,
                           backoff_base, envelope, title, parallelism, metrics_path, started,
-                          metrics)
+                          metrics, stop_on_failure, log_buckets)
 
 
 def _run_waves(entries, log_path, fn_factory, source_lang, target_lang, provider, model,
                batch_size, wave_batches, n_waves, run_id, max_attempts, backoff_base,
-               envelope, title, parallelism, metrics_path, started, metrics) -> int:
-    from ..sources.logs import read_log_table
+               envelope, title, parallelism, metrics_path, started, metrics, stop_on_failure,
+               log_buckets) -> int:
+    from ..sinks.bucketed_log import open_log
     spark = entries.sparkSession
     run_id = run_id or new_run_id()
-    log = read_log_table(spark, log_path) if has_data(spark, log_path) else None
-    units = plan_batches(entries, log, batch_size)
+    log = open_log(spark, log_path, log_buckets)
+    units = plan_batches(entries, log.for_resume(entries), batch_size)
     top = units.agg(F.max("batch_id").alias("m")).first()["m"]
     if top is None:
         return 0
@@ -170,13 +178,17 @@ def _run_waves(entries, log_path, fn_factory, source_lang, target_lang, provider
     for w in range(0, top // wave_batches + 1):
         wave = by_wave.filter(F.col("wave") == w).drop("wave")
         reqs = requests.build_requests(wave, source_lang, target_lang, provider, model, title)
-        results = infer.run_batches(reqs, fn_factory, max_attempts, backoff_base, envelope,
-                                    parallelism)
-        new = records.records_from_results(wave, results, run_id)
-        records.append_log(new, log_path)
+        call = infer.run_frontier if stop_on_failure else infer.run_batches
+        results = call(reqs, fn_factory, max_attempts, backoff_base, envelope, parallelism)
+        done = infer.stop_at_first_failure(results) if stop_on_failure else results
+        new = records.records_from_results(wave, done, run_id)
+        log.append(new)
         failed = failed_batches(results, wave, run_id)
         if not failed.isEmpty():
             failed.write.mode("append").parquet(failures_path(log_path))
+            if stop_on_failure:
+                waves += 1
+                break
             if results.filter(F.col("status") == "ok").isEmpty():
                 # the provider is down: stop before the next wave is paid for
                 raise RuntimeError(f"every batch of wave {w} failed; see {failures_path(log_path)}")
@@ -186,11 +198,10 @@ def _run_waves(entries, log_path, fn_factory, source_lang, target_lang, provider
             metrics += [(f"wave{w}", "batches_ok", r["ok"]), (f"wave{w}", "batches_failed", r["failed"])]
         waves += 1
     if metrics_path:
-        spark_ = entries.sparkSession
-        written = read_log_table(spark_, log_path).filter(F.col("run_id") == run_id).count()
+        written = log.read().filter(F.col("run_id") == run_id).count()
         metrics += [("run", "records", written), ("run", "waves", waves),
                     ("run", "elapsed_seconds", round(time.time() - started, 3))]
-        write_metrics(spark_, run_id, metrics, metrics_path)
+        write_metrics(spark, run_id, metrics, metrics_path)
     return waves
 
 

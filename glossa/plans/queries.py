@@ -1068,3 +1068,6 @@ def q_model_settings(spark, sf_dir):
     config = F.when(i % 4 == 1, 20)
     return d.select("doc_id", resolve_model(provider, model).alias("model"),
                     first_set(cli, config, F.lit(40)).cast("int").alias("batch_size"))
+
+
+from . import log_queries  # noqa: E402, F401 - registers its queries

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..operators.records import run_rank
 from ..schemas import LOG_CSV_COLUMNS
 from ..session import exists, write_small_file
+from . import manifests
 
 CSV_WRITE_OPTIONS = {
     "header": "true", "quote": '"', "escape": '"', "emptyValue": "",
@@ -90,3 +91,42 @@ def publish(spark: SparkSession, folder: str, meta: dict) -> None:
     if not exists(spark, folder):
         raise FileNotFoundError(f"nothing to publish at {folder}")
     write_small_file(spark, f"{folder.rstrip('/')}/_MANIFEST.json", json.dumps(meta))
+
+
+class VersionConflict(RuntimeError):
+    """Another writer has published since the version that this one started from."""
+
+
+def published_number(spark: SparkSession, root: str) -> int:
+    """Number of the version that readers see; -1 without one."""
+    return manifests.newest(spark, root)[0]
+
+
+def publish_version(spark: SparkSession, root: str, version: str, expected: int | None = None) -> int:
+    """K5: make the folder ``version=<version>`` what readers of ``root`` see.
+
+    ``expected`` is the number the writer started from (:func:`published_number`); if
+    another version has been published since, nothing changes and VersionConflict is
+    raised.  Without it the newest number is taken.  Returns the new number."""
+    if not exists(spark, f"{root.rstrip('/')}/version={version}"):
+        raise FileNotFoundError(f"no version {version} at {root}")
+    seen = published_number(spark, root) if expected is None else expected
+    if published_number(spark, root) != seen or not manifests.commit(spark, root, seen + 1, {"version": version}):
+        raise VersionConflict(f"{root}: version {seen} is no longer the newest")
+    return seen + 1
+
+
+def read_published(spark: SparkSession, root: str, number: int | None = None) -> DataFrame | None:
+    """The rows of the published version (or of an earlier ``number``); None without one.
+    Folders that were never published, torn ones included, are not seen."""
+    newest, body = manifests.newest(spark, root)
+    if number is not None and number != newest:
+        body = manifests.read(spark, root, number)
+    return None if body is None else spark.read.parquet(f"{root.rstrip('/')}/version={body['version']}")
+
+
+def write_published(df: DataFrame, root: str, expected: int | None = None) -> int:
+    """Write ``df`` as a new version of ``root`` and publish it; returns its number."""
+    version = uuid.uuid4().hex
+    df.write.mode("errorifexists").parquet(f"{root.rstrip('/')}/version={version}")
+    return publish_version(df.sparkSession, root, version, expected)

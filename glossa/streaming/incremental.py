@@ -19,9 +19,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.paths import is_locale_path, relative_to
-from ..operators import extract, records, resume
+from ..operators import extract, resume
 from ..plans import pipeline
-from ..session import has_data, materialize, scratch_scope
+from ..session import materialize, scratch_scope
+from ..sinks.bucketed_log import open_log
+from ..sinks.files import read_published, write_published
 
 BINARY_FILE_SCHEMA = T.StructType([
     T.StructField("path", T.StringType(), False),
@@ -57,28 +59,16 @@ def document_stream(spark: SparkSession, source_dir: str, source: str = "binaryF
     return df
 
 
-def _current_log(spark: SparkSession, log_path: str) -> DataFrame | None:
-    return spark.read.parquet(log_path) if has_data(spark, log_path) else None
-
-
 def retry_path(log_path: str) -> str:
-    """Entries whose batch failed all attempts, beside the log."""
+    """Entries whose batch failed all attempts, beside the log: one published version that
+    every micro-batch replaces, since each one tries all of them again."""
     return log_path.rstrip("/") + "_retry"
 
 
-def _with_retries(entries: DataFrame, log_path: str) -> DataFrame:
-    """The new entries and those of earlier failed batches; what the log holds by now is
-    dropped by the resume step, so the table may keep rows that were retried."""
-    spark = entries.sparkSession
-    if not has_data(spark, retry_path(log_path)):
-        return entries
-    again = spark.read.parquet(retry_path(log_path)).select(*entries.columns)
-    return entries.unionByName(again).distinct()
-
-
-def _log_or_empty(spark: SparkSession, log_path: str) -> DataFrame:
-    log = _current_log(spark, log_path)
-    return pipeline.empty_log(spark) if log is None else log
+def waiting(spark: SparkSession, log_path: str) -> DataFrame | None:
+    """The failed strings that no later micro-batch has translated yet; None if there are none."""
+    left = read_published(spark, retry_path(log_path))
+    return None if left is None or left.isEmpty() else left
 
 
 def run_incremental(spark: SparkSession, source_dir: str, log_path: str, checkpoint: str,
@@ -87,45 +77,46 @@ def run_incremental(spark: SparkSession, source_dir: str, log_path: str, checkpo
                     model: str = "claude-sonnet-4-20250514", batch_size: int = 40,
                     source: str = "binaryFile", locale: str | None = None,
                     max_files_per_trigger: int | None = None, backoff_base: float = 2.0,
-                    available_now: bool = True):
+                    available_now: bool = True, log_buckets: int | None = None):
     """Start the stream; with ``available_now`` it processes all new input and stops.
-    Returns the finished (or running) ``StreamingQuery``."""
+    ``log_buckets`` starts the log bucketed by path (``sinks.bucketed_log``), so that a
+    micro-batch reads only the buckets of its files.  Returns the finished (or running)
+    ``StreamingQuery``."""
     stream = document_stream(spark, source_dir, source, locale, max_files_per_trigger)
 
     started = pipeline.new_run_id()
 
-    def translate_entries(new: DataFrame, run_id: str) -> None:
-        spark = new.sparkSession
+    def translate_entries(spark: SparkSession, new: DataFrame | None, run_id: str) -> None:
         with scratch_scope(spark):
-            # read and parsed once per micro-batch
-            entries = materialize(_with_retries(new, log_path), "stream-entries")
-            log = _current_log(spark, log_path)
-            if log is not None:
-                # only the log rows of files in this micro-batch can match: reduce the log
-                # before its keys are de-duplicated and shuffled for the anti join
-                log = log.join(entries.select("filepath").distinct(), "filepath", "left_semi")
-            t = pipeline.translate(entries, log, fn_factory, source_lang, target_lang, provider,
-                                   model, batch_size, run_id=run_id, backoff_base=backoff_base)
-            if t is None:
+            again = waiting(spark, log_path)
+            if new is None and again is None:
                 return
-            records.append_log(t.records, log_path)
-            failed = pipeline.failed_batches(t.results, t.units, run_id)
-            if not failed.isEmpty():
-                # the checkpoint moves on, so the strings are kept for the next micro-batch
+            entries = again if new is None else new if again is None else \
+                new.unionByName(again.select(*new.columns))
+            # read and parsed once per micro-batch
+            entries = materialize(entries.distinct() if again is not None else entries, "stream-entries")
+            log = open_log(spark, log_path, log_buckets)
+            # only the log rows of files in this micro-batch can match: the log is reduced to
+            # its buckets (or paths) before keys are de-duplicated for the anti join
+            t = pipeline.translate(entries, log.for_entries(entries), fn_factory, source_lang, target_lang,
+                                   provider, model, batch_size, run_id=run_id, backoff_base=backoff_base)
+            failed = None
+            if t is not None:
+                log.append(t.records)
+                failed = pipeline.failed_batches(t.results, t.units, run_id)
+            lasting = failed is not None and not failed.isEmpty()
+            if lasting:
                 failed.write.mode("append").parquet(pipeline.failures_path(log_path))
-                left = resume.pending(entries, records.keep_translated(_log_or_empty(spark, log_path)))
-                known = has_data(spark, retry_path(log_path))
-                if known:
-                    left = left.join(spark.read.parquet(retry_path(log_path)), left.columns, "left_anti")
-                left.write.mode("append").parquet(retry_path(log_path))
+            if lasting or again is not None:
+                # the checkpoint moves on, so what is left is kept for the next micro-batch
+                left = resume.pending(entries, log.for_entries(entries))
+                write_published(left, retry_path(log_path))
 
     def one_batch(batch: DataFrame, epoch_id: int) -> None:
         # ids of one start sort by epoch, those of a later start come after them
-        translate_entries(extract.extract_entries(batch), f"{started}_e{epoch_id:08d}")
+        translate_entries(batch.sparkSession, extract.extract_entries(batch), f"{started}_e{epoch_id:08d}")
 
-    if has_data(spark, retry_path(log_path)):  # even if no new file arrives
-        again = spark.read.parquet(retry_path(log_path))
-        translate_entries(again, f"{started}_retry")
+    translate_entries(spark, None, f"{started}_retry")  # even if no new file arrives
     writer = (stream.writeStream.foreachBatch(one_batch)
                     .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
