@@ -111,8 +111,8 @@ def run_frontier(requests: DataFrame, fn_factory: Callable[[], Callable[[dict],
     The first slice has one batch for each task; every slice without a failure doubles the
     next, up to ``largest_slice`` (default 64 for each task), so a provider that is down
     costs one batch a task and a long run costs few slices.  The least failed id is
-    the barrier between two slices: one aggregate over the slice's results.  Requests are
-    written once in batch order, so a slice reads only its own row groups.
+    the barrier between two slices: one aggregate over the slice's results.  Only the
+    requests of slices that are called are built and written.
 
     Returns the results of every batch that was called, failed ones and those after them
     in their slice included, with its ``slice``; :func:`stop_at_first_failure` keeps what counts.
@@ -120,15 +120,14 @@ def run_frontier(requests: DataFrame, fn_factory: Callable[[], Callable[[dict],
     spark = requests.sparkSession
     tasks = parallelism or spark.sparkContext.defaultParallelism
     largest = largest_slice or 64 * tasks
-    ordered = materialize(requests.repartitionByRange("batch_id").sortWithinPartitions("batch_id"), "frontier")
-    edge = ordered.agg(F.min("batch_id").alias("lo"), F.max("batch_id").alias("hi")).first()
+    edge = requests.agg(F.min("batch_id").alias("lo"), F.max("batch_id").alias("hi")).first()
     if edge["lo"] is None:
-        return run_batches(ordered, fn_factory, max_attempts, backoff_base, envelope, tasks).withColumn(
+        return run_batches(requests, fn_factory, max_attempts, backoff_base, envelope, tasks).withColumn(
             "slice", F.lit(0))
     called: DataFrame | None = None
     at, size, number = edge["lo"], min(tasks, largest), 0
     while at <= edge["hi"]:
-        part = ordered.filter(F.col("batch_id").between(at, at + size - 1))
+        part = requests.filter(F.col("batch_id").between(at, at + size - 1))
         results = run_batches(part, fn_factory, max_attempts, backoff_base, envelope, tasks).withColumn(
             "slice", F.lit(number))
         called = results if called is None else called.unionByName(results)

@@ -61,6 +61,27 @@ def length_ratio(df: DataFrame, src: str = "source_text", tgt: str = "translated
     return df.withColumn("ratio", ratio).withColumn("too_long", F.col("ratio") > max_ratio)
 
 
+#: Size of a quantile sketch: about 0.35 % of rank error, and exact up to so many values.
+SKETCH_K = 800
+
+
+def ratio_sketches(df: DataFrame, keys=("run_id", "filepath"), k: int = SKETCH_K) -> DataFrame:
+    """X2 per run: ``keys``, n and a quantile sketch of the length ratios (a few KB however
+    many strings a file has, combined before the shuffle).  Kept per run, sketches of
+    later runs are merged without reading the log again."""
+    rated = length_ratio(df).filter(F.col("ratio").isNotNull())
+    return rated.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"),
+                                    F.kll_sketch_agg_double("ratio", F.lit(k)).alias("sketch"))
+
+
+def ratio_percentiles(sketches: DataFrame, per=("filepath",), percents=(50, 90, 99)) -> DataFrame:
+    """``per``, n and one column ``p<percent>`` for each, from merged sketches: the least
+    ratio that so many percent of the strings do not exceed."""
+    merged = sketches.groupBy(*per).agg(F.sum("n").alias("n"), F.kll_merge_agg_double("sketch").alias("_all"))
+    return merged.select(*per, "n", *[F.kll_sketch_get_quantile_double("_all", F.lit(p / 100)).alias(f"p{p}")
+                                      for p in percents])
+
+
 def stale_translations(entries: DataFrame, log: DataFrame) -> DataFrame:
     """Entries whose latest log record was made from a different source text."""
     lt = latest_per_key(log)

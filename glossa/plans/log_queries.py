@@ -10,8 +10,8 @@ from ..session import scratch_path
 from ..sinks.bucketed_log import BucketedLog
 from . import oracles as O
 from . import pipeline
-from .queries import (BATCH_SIZE, JSON_DOCS_SQL, RECORDS_SQL, fixture_batches, fixture_entries, fixture_log,
-                      fixture_log_table, json_docs, register)
+from .queries import (BATCH_SIZE, JSON_DOCS_SQL, RECORDS_SQL, _conv_prompt_sql, conversation_units, fixture_entries,
+                      fixture_log, fixture_log_table, json_docs, register)
 
 
 @register("q_bucketed_resume", O.with_(O.RAW_ENTRIES, O.ENTRIES, O.LOG, O.PENDING) + """
@@ -47,18 +47,17 @@ def q_bucketed_job(spark, sf_dir):
         "variant_idx", "filepath", "string_key", "string_id", "field", "source_text", "translated_text")
 
 
-@register("q_frontier_stop", O.with_(*O.BASE, O.UNITS, O.NUMBERED) + f"""
-, b AS (SELECT DISTINCT CAST(idx // {BATCH_SIZE} AS BIGINT) AS batch_id FROM numbered)
+@register("q_frontier_stop", _conv_prompt_sql() + """
 SELECT batch_id, CASE WHEN batch_id < 2 THEN 0 WHEN batch_id < 6 THEN 1 END AS slice,
        CASE WHEN batch_id = 4 THEN 3 WHEN batch_id < 6 THEN 1 ELSE 0 END AS calls,
        batch_id < 4 AS kept
-FROM b
+FROM p
 """)
 def q_frontier_stop(spark, sf_dir):
     """I4: calls made per batch when batches with id % 7 = 4 fail all attempts.  Two tasks
     start with a slice of two batches; the next has four and the first lasting failure,
     so nothing beyond batch 5 is called."""
-    units = fixture_batches(spark, sf_dir)
+    units = conversation_units(spark, sf_dir)
     reqs = requests.build_requests(units, "English", "Kazakh", "anthropic", "m")
     called = infer.run_frontier(reqs, pipeline.failing_translator(lambda r: r["batch_id"] % 7 == 4),
                                 backoff_base=0, parallelism=2)
@@ -98,27 +97,42 @@ SELECT filepath, entry_idx, variant_idx, field,
 FROM x
 """)
 def q_published_docs(spark, sf_dir):
-    """K3, K5: documents are rebuilt and published twice, a third version is written but not
-    published; readers of the folder see the second, which is extracted again."""
+    """K3, K5: the documents are published, then their translation, and a third version is
+    written but not published; readers of the folder see the second, extracted again."""
     from ..sinks import files
     docs = json_docs(spark, sf_dir).drop("doc_id")
-    entries = extract.extract_entries(docs)
     root = scratch_path(spark, "published")
-
-    def version(prefix):
-        log = entries.filter(F.col("field") == "femaleVariant").select(
-            "filepath", "string_key", "string_id", "field", "source_text",
-            F.concat(F.lit(prefix), "source_text").alias("translated_text"), F.lit("r1").alias("run_id"),
-            F.lit(0).cast("long").alias("batch_id"), F.lit(0).alias("pos"), "variant_idx")
-        return ap.rebuild_documents(ap.touched_documents(docs, log), ap.apply_log(entries, log))
-
-    first = files.write_published(version("[v1] "), root)
-    files.write_published(version("[v2] "), root, expected=first)
-    files.write_documents(version("[v3] "), root)
+    first = files.write_published(docs, root)
+    source = files.read_published(spark, root)
+    entries = extract.extract_entries(source)
+    log = entries.filter(F.col("field") == "femaleVariant").select(
+        "filepath", "string_key", "string_id", "field", "source_text",
+        F.concat(F.lit("[v2] "), "source_text").alias("translated_text"), F.lit("r1").alias("run_id"),
+        F.lit(0).cast("long").alias("batch_id"), F.lit(0).alias("pos"), "variant_idx")
+    files.write_published(ap.rebuild_documents(ap.touched_documents(source, log), ap.apply_log(entries, log)),
+                          root, expected=first)
+    files.write_documents(source, root)
     return extract.extract_entries(files.read_published(spark, root)).select(
         "filepath", "entry_idx", "variant_idx", "field", "source_text")
 
 
+@register("q_ratio_percentiles", O.with_(O.RAW_ENTRIES, O.ENTRIES) + """
+, r AS (SELECT filepath, (length(source_text) + 5)::DOUBLE / length(source_text) AS ratio FROM entries),
+o AS (SELECT *, row_number() OVER (PARTITION BY filepath ORDER BY ratio) AS k,
+             count(*) OVER (PARTITION BY filepath) AS n FROM r)
+SELECT filepath, CAST(max(n) AS BIGINT) AS n, max(ratio) FILTER (k = ceil(0.5 * n)) AS p50,
+       max(ratio) FILTER (k = ceil(0.9 * n)) AS p90, max(ratio) FILTER (k = ceil(0.99 * n)) AS p99
+FROM o GROUP BY filepath
+""")
+def q_ratio_percentiles(spark, sf_dir):
+    """Percentiles of the length ratio per file, from quantile sketches kept per run and
+    file and merged (exact while a file has at most as many strings as a sketch holds)."""
+    from ..operators import qa
+    entries = fixture_entries(spark, sf_dir).withColumn("translated_text", F.concat(F.lit("[xx] "), "source_text"))
+    entries = entries.withColumn("run_id", F.concat(F.lit("r"), F.col("variant_idx").cast("string")))
+    return qa.ratio_percentiles(qa.ratio_sketches(entries))
+
+
 @register("q_stream_failing_starts", JSON_DOCS_SQL + """
 SELECT filepath, string_key, string_id, field, source_text, '[xx] ' || source_text AS translated_text
 FROM x
