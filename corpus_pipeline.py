@@ -6,7 +6,7 @@ All but the last return the columns of ``documents``.  Nulls, empty and very lon
 repeated rows, empty tables and extra columns are handled by the operators (see there).
 
 ``ORACLE_SQL`` is None: FTRL training, signature joins and gradient steps have no SQL
-form.  ``tests/llm/test_pipeline.py`` holds every stage against a brute-force version.
+form.  ``tests/llm/test_pipeline_stages.py`` holds its stages against plain versions.
 """
 
 from __future__ import annotations
