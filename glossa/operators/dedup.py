@@ -13,7 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..schemas import GROUP_KEY, VARIANT_FIELDS
+from ..schemas import ENTRY_KEY, GROUP_KEY, VARIANT_FIELDS
+from .resume import normalize_ids
 
 
 def _last(field: str) -> F.Column:
@@ -92,3 +93,11 @@ def expand_dedup(records: DataFrame) -> DataFrame:
                                F.array(fem, male)).otherwise(F.array(fem))))
     return (out.withColumn("variant_idx", r("_x.variant_idx"))
                .withColumn("field", r("_x.field")).drop("_x"))
+
+
+def key_collisions(entries: DataFrame) -> DataFrame:
+    """(filepath, n_keys, n_entries) of entry keys that several entries of a file
+    share: only the last one's text is sent, and every one of them gets its translation."""
+    keys = normalize_ids(entries).groupBy(*ENTRY_KEY).agg(F.count(F.lit(1)).alias("n"))
+    return keys.filter(F.col("n") > 1).groupBy("filepath").agg(
+        F.count(F.lit(1)).alias("n_keys"), F.sum("n").alias("n_entries"))

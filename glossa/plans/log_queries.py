@@ -151,3 +151,46 @@ def q_stream_failing_starts(spark, sf_dir):
                         source="parquet", backoff_base=0, log_buckets=64)
     return BucketedLog(spark, path).read().select(
         "filepath", "string_key", "string_id", "field", "source_text", "translated_text")
+
+
+@register("q_collisions", O.with_(O.RAW_ENTRIES, O.ENTRIES) + """
+SELECT filepath, CAST(count(*) AS BIGINT) AS n_keys, CAST(sum(n) AS BIGINT) AS n_entries
+FROM (SELECT filepath, string_key, string_id, field, count(*) AS n FROM entries
+      GROUP BY filepath, string_key, string_id, field HAVING count(*) > 1)
+GROUP BY filepath
+""")
+def q_collisions(spark, sf_dir):
+    """Entry keys that several entries of a file share."""
+    from ..operators import dedup
+    return dedup.key_collisions(fixture_entries(spark, sf_dir))
+
+
+@register("q_preview_job", O.with_(O.RAW_ENTRIES, O.ENTRIES, O.LOG, O.PENDING) + """
+SELECT e.filepath, e.entry_idx, e.field, e.string_key, e.string_id, length(e.source_text) AS n_chars, e.status
+FROM (SELECT *, 'preview' AS status FROM entries UNION ALL SELECT *, 'pending' FROM pending) e
+""")
+def q_preview_job(spark, sf_dir):
+    """The preview of every entry written to a bucketed log that also holds
+    translations: its preview rows, and what a job would still translate (unchanged)."""
+    entries = fixture_entries(spark, sf_dir)
+    path = scratch_path(spark, "preview-log")
+    log = BucketedLog(spark, path, n_buckets=64)
+    log.append(fixture_log_table(entries))
+    pipeline.write_preview(entries, path, "p1")
+    previews = log.read().filter("status = 'preview'").withColumn("entry_idx", F.col("pos"))
+    both = [df.select("filepath", "entry_idx", "field", "string_key", "string_id",
+                      F.length("source_text").cast("long").alias("n_chars"), F.lit(status).alias("status"))
+            for df, status in ((previews, "preview"), (log.pending(entries), "pending"))]
+    return both[0].unionByName(both[1])
+
+
+@register("q_quarantine_apply", """
+SELECT 'loc/' || lang || '-' || lang || '/' || source || '/' || doc_id || '.json.json' AS filepath,
+       'apply' AS stage, 'invalid_json' AS reason
+FROM documents WHERE doc_id % 50 IN (7, 17) AND doc_id % 3 > 0
+""")
+def q_quarantine_apply(spark, sf_dir):
+    """Documents that the log names and that cannot be read at apply."""
+    docs = json_docs(spark, sf_dir)
+    log = docs.filter(F.col("doc_id") % 3 > 0).select("filepath")
+    return ap.quarantine_touched(docs.drop("doc_id"), log)

@@ -93,6 +93,17 @@ def apply_and_rebuild(docs: DataFrame, entries: DataFrame, log: DataFrame,
     return patched, rebuilt, counts
 
 
+def write_preview(entries: DataFrame, log_path: str, run_id: str | None = None,
+                  log_buckets: int | None = None) -> str:
+    """K4: extraction without translation: append every entry to the log as a preview
+    (empty text, status ``preview``), which neither resume nor apply counts.  Returns the
+    run's id."""
+    from ..sinks.bucketed_log import open_log
+    run_id = run_id or new_run_id()
+    open_log(entries.sparkSession, log_path, log_buckets).append(records.preview_records(entries, run_id))
+    return run_id
+
+
 def echo_translator(prefix: str = "[xx] ") -> Callable[[], Callable[[dict], str]]:
     """Deterministic stand-in for a provider: prefixes every text.  Used by tests and
     by the registered queries; real providers are user code with the same shape."""

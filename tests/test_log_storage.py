@@ -241,3 +241,22 @@ def test_failed_strings_wait_once_each(spark, tmp_path, buckets):
     run()
     out = BucketedLog(spark, log).read() if buckets else spark.read.parquet(log)
     assert sorted(rows(out, "source_text")) == sorted([(f"{p}{i}",) for i in range(3) for p in ("t", "ok")])
+
+def test_preview_and_collisions(spark, tmp_path):
+    from glossa.operators import apply, dedup
+    keys = [("f1", "a", None), ("f1", "a", ""), ("f1", "b", None), ("f2", "a", "1")]
+    entries = _entries(spark, keys)
+    assert rows(dedup.key_collisions(entries)) == [("f1", 1, 2)]  # '' and NULL are one id
+    for buckets in (None, 4):
+        path = str(tmp_path / f"log{buckets}")
+        pipeline.write_preview(entries, path, "p1", buckets)
+        log = BucketedLog(spark, path) if buckets else None
+        seen = log.read() if log else spark.read.parquet(path)
+        assert sorted(rows(seen, "string_key", "status")) == sorted((k, "preview") for _, k, _ in keys)
+        if log:
+            assert log.pending(entries).count() == 4
+            log.compact()
+            assert log.pending(entries).count() == 4
+    docs = spark.createDataFrame([("x", "{"), ("y", "[]"), ("z", "{")], "filepath string, content string")
+    log = spark.createDataFrame([("x",), ("y",)], "filepath string")
+    assert rows(apply.quarantine_touched(docs, log)) == [("x", "apply", "invalid_json")]
