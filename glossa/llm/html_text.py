@@ -16,12 +16,16 @@ A node seen on m pages has
 
 A branch is noise when ``GAMMA * content + (1 - GAMMA) * presentation`` is below
 ``THRESHOLD`` on at least ``MIN_PAGES`` pages.  Elements that never hold an article
-(navigation, forms, scripts; whole classes such as ``ad`` around no article) have prior importance 0, and
+(navigation, forms, scripts, hidden elements, classes such as ``ad`` or ``reader-comments``
+around no article) have prior importance 0, and
 branches inside ``article`` / ``main`` have prior importance 1 with weight ``ARTICLE``; the
 element itself is never noise, so that an article copied over a whole site isn't taken for a
 menu.
 
-Pass 2 joins each host's noise branches to its pages and extracts the rest.  Beside an
+Pass 2 joins each host's noise branches to its pages and extracts the rest.  Low importance
+alone takes nothing out of an article: headings and lead lines that a site repeats are its
+text.  There a second sign must come to it: most of the block is link text, or the branch is a
+``div`` or ``section`` of its own after all other text of the article.  A heading (h1 to h6) goes only with the branch that it heads.  Beside an
 article stays what the tree knows to be of high importance; branches seen on fewer than
 ``MIN_PAGES`` pages are no part of the article.
 
@@ -67,17 +71,41 @@ _SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr",
              "th": {"td", "th"}, "option": {"option"}, "body": {"head"}}
 # fixed values: class or id words of boilerplate
 _NOISE_WORDS = frozenset("ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments "
-                         "cookie cookies consent disclaimer footer header login menu modal nav navbar navigation "
+                         "cookie cookies consent disclaimer disqus footer header login menu modal nav navbar navigation "
                          "newsletter notice notices popup promo promotion related respond share sharing sidebar signup "
                          "social sponsor sponsored subscribe subscription toolbar widget".split())
+# fixed values: words beside them that name a wrapper or a part of the article
+_WRAPPER_WORDS = frozenset("has no with without layout content page body wrap wrapper container".split())
+_TITLE_WORDS = frozenset("article entry post story recipe".split())
 _ROLES = frozenset("navigation banner complementary contentinfo search form dialog alert menu".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)"
                     r"([^>\"']*+(?:\"[^\"]*+\"[^>\"']*+|'[^']*+'[^>\"']*+)*+)>"
                     r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)  # the last: a quote is never closed
-_ATTR = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+_ATTR = re.compile(r"(?<![\w-])(class|id|role|style)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _INSIDE = re.compile(r".*/(?:article|main)(?:\.[^/]*)?/", re.S)
 _NUMBER = re.compile(r"[-_]*\d+$")
+_PARTS = re.compile(r"[-_]+")
+_QUOTED = re.compile(r"\"[^\"]*\"|'[^']*'")
+_HIDDEN = re.compile(r"(?:^|\s)hidden(?=[\s=/]|$)", re.I)
+_NOT_SHOWN = re.compile(r"(?:^|[;\s])(?:display\s*:\s*none|visibility\s*:\s*hidden)\b", re.I)
+_HREF = re.compile(r"(?:^|\s)href\s*=", re.I)
+_HEADING = re.compile(r"h[1-6](?:\.|$)")
+_BOX = re.compile(r"(?:div|section)(?:\.|$)")
+
+
+def _names_noise(word: str) -> bool:
+    """Whether a class or id is a noise word, or starts or ends with one: ``ad``, ``main-nav``,
+    ``reader-comments``; not ``has-sidebar`` (a wrapper) or ``entry-header`` (the title)."""
+    word = _NUMBER.sub("", word)
+    if word in _NOISE_WORDS:
+        return True
+    parts = [x for x in _PARTS.split(word) if x]
+    if len(parts) < 2 or not _WRAPPER_WORDS.isdisjoint(parts):
+        return False
+    if parts[-1] in ("header", "banner") and not _TITLE_WORDS.isdisjoint(parts):
+        return False
+    return parts[0] in _NOISE_WORDS - {"header"} or parts[-1] in _NOISE_WORDS
 
 
 def _label(tag: str, attrs: str) -> tuple[str, bool, bool]:
@@ -91,32 +119,44 @@ def _label(tag: str, attrs: str) -> tuple[str, bool, bool]:
         value = next((v for v in values if v), "").lower()
         if name.lower() == "role":
             never = never or value.strip() in _ROLES
+        elif name.lower() == "style":
+            never = never or bool(_NOT_SHOWN.search(value))
         else:
             words += value.split()
+    never = never or bool(_HIDDEN.search(_QUOTED.sub("", attrs)))
     if tag not in ("body", "html", "article", "main"):
-        # has-sidebar or content-with-ads may be a wrapper of all: the tree decides
-        word = any(_NUMBER.sub("", w) in _NOISE_WORDS for w in words)
+        word = any(_names_noise(w) for w in words)
     # digits differ from page to page (post-17); the style is the same
     named = sorted({re.sub(r"\d+", "0", w) for w in words})
     return tag + "".join("." + w for w in named), never, word
 
 
 def parse(page: str):
-    """(blocks, styles): the text blocks in page order as (path, prior, text), and each
-    block element as (path, child labels).  prior: 0 noise, 1 open, 2 article."""
-    blocks: list[tuple[str, int, str, tuple]] = []
+    """(blocks, styles): the text blocks in page order as (path, prior, text, linked), and each
+    block element as (path, child labels).  prior: 0 noise, 1 open, 2 article; linked: more
+    than half of the text is in links."""
+    blocks: list[tuple[str, int, str, tuple, bool]] = []
     styles: list[tuple[str, list[str]]] = []
     # tag, path, prior, children, for each branch around that a noise word names whether it holds an article
     stack: list[tuple[str, str, int, list[str], tuple]] = [("", "", 1, [], ())]
-    inline: list[tuple[str, int]] = []  # open inline elements with prior 0, by depth
+    inline: list[str] = []  # the outermost open inline element with prior 0 and those inside it
     buffer: list[str] = []
+    link, linked = False, [0]  # whether a link is open, its characters since the last block
 
     def flush():
         if buffer:
-            text = " ".join(html.unescape("".join(buffer)).split())
+            raw = "".join(buffer)
+            text = " ".join(html.unescape(raw).split())
             buffer.clear()
             if text:
-                blocks.append((stack[-1][1], stack[-1][2], text, stack[-1][4]))
+                blocks.append((stack[-1][1], stack[-1][2], text, stack[-1][4],
+                               2 * linked[0] > len("".join(raw.split()))))
+        linked[0] = 0
+
+    def put(text: str):
+        buffer.append(text)
+        if link:
+            linked[0] += len("".join(text.split()))
 
     def close(depth: int):
         flush()
@@ -129,10 +169,10 @@ def parse(page: str):
         m = _TOKEN.search(page, at)
         if not m:
             if not inline:
-                buffer.append(page[at:])
+                put(page[at:])
             break
         if m.start() > at and not inline:
-            buffer.append(page[at:m.start()])
+            put(page[at:m.start()])
         at = m.end()
         closing, tag, attrs = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
         tag = (tag or "").lower()
@@ -140,8 +180,10 @@ def parse(page: str):
             continue
         if closing:  # an end tag closes the nearest open element of its name
             if tag in _INLINE:
-                if inline and inline[-1][0] == tag:
-                    inline.pop()
+                if tag == "a":
+                    link = False
+                if tag in inline:  # also closes what is open inside it
+                    del inline[len(inline) - 1 - inline[::-1].index(tag):]
                 continue
             depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == tag), 0)
             if depth:
@@ -157,8 +199,11 @@ def parse(page: str):
                 buffer.append(" ")
                 if tag == "hr":
                     flush()
-            elif tag not in _VOID and attrs.strip() and any(_label(tag, attrs)[1:]):
-                inline.append((tag, len(stack)))
+            elif tag not in _VOID:
+                if tag == "a":
+                    link = bool(_HREF.search(attrs))
+                if inline or (attrs.strip() and _is_noise(tag, attrs, stack)):
+                    inline.append(tag)
             continue
         inline.clear()
         if tag in _CLOSES_P:
@@ -183,7 +228,13 @@ def parse(page: str):
         if not attrs.endswith("/"):
             stack.append((tag, path, prior, [], named))
     close(1)
-    return [(p, prior if all(h[0] for h in named) else 0, t) for p, prior, t, named in blocks], styles
+    return [(p, prior if all(h[0] for h in named) else 0, t, a) for p, prior, t, named, a in blocks], styles
+
+
+def _is_noise(tag: str, attrs: str, stack) -> bool:
+    """Whether an inline element is noise; classes within ``pre`` name the parts of code."""
+    _, never, word = _label(tag, attrs)
+    return never or (word and not any(s[0] == "pre" for s in stack))
 
 
 def host_of(url: str | None) -> str:
@@ -207,7 +258,7 @@ def copied_pages(pages: DataFrame) -> DataFrame:
             keys = []
             for url, page in zip(batch.column(1), batch.column(2)):
                 blocks, _ = parse(page.as_py() or "")
-                keys.append(_hash("\0".join([host_of(url.as_py()), *(x for p, prior, t in blocks if prior for x in (p, t))])))
+                keys.append(_hash("\0".join([host_of(url.as_py()), *(x for p, prior, t, _ in blocks if prior for x in (p, t))])))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.int64())], names=["h", "k"])
 
     found = materialize(pages.select(_page_hash().alias("h"), "url", "html").mapInArrow(run, "h bigint, k bigint"), "page-keys")
@@ -234,7 +285,7 @@ def style_trees(pages: DataFrame) -> DataFrame:
             for url, page, copies in zip(batch.column(0), batch.column(1), batch.column(2)):
                 host = host_of(url.as_py())
                 blocks, styles = parse(page.as_py() or "")
-                seen = {(host, p, "block", _hash(t)) for p, prior, t in blocks if prior}
+                seen = {(host, p, "block", _hash(t)) for p, prior, t, _ in blocks if prior}
                 open_paths = {p for _, p, _, _ in seen}
                 every = {a for p in open_paths for a in _ancestors(p)}
                 seen |= {(host, p, "page", 0) for p in every}
@@ -270,14 +321,18 @@ def noise_branches(trees: DataFrame) -> DataFrame:
     trees = materialize(trees, "style-trees")
     pages = trees.filter("kind = 'page'").select("host", "path", F.col("n").alias("m")).filter(F.col("m") >= MIN_PAGES)
     # entropy sums per node; blocks count for the node and all branches above it
-    own = trees.filter("kind = 'block'").join(pages, ["host", "path"]) \
-        .groupBy("host", "path").agg(F.sum(F.col("n") * F.log("n") / F.log("m")).alias("h"), F.sum("n").alias("w"))
+    # (combined before the shuffle; the page counts join one row a node)
+    sums = trees.filter("kind <> 'page'").groupBy("host", "path", "kind").agg(
+        F.sum(F.col("n") * F.log("n")).alias("nlogn"), F.sum("n").alias("w"))
+    own = sums.filter("kind = 'block'").join(pages, ["host", "path"]).select(
+        "host", "path", (F.col("nlogn") / F.log("m")).alias("h"), "w")
     steps = F.split("path", "/")
     above = F.transform(F.sequence(F.lit(2), F.size(steps)), lambda i: F.array_join(F.slice(steps, 1, i), "/"))
     content = own.withColumn("path", F.explode(above)).groupBy("host", "path").agg(
         (1 - F.sum("h") / F.sum("w")).alias("content"))
-    styles = trees.filter("kind = 'style'").join(pages, ["host", "path"]).groupBy("host", "path").agg(
-        F.sum(-(F.col("n") / F.col("m")) * F.log(F.col("n") / F.col("m")) / F.log("m")).alias("presentation"))
+    # -sum(n/m * ln(n/m)) / ln(m)
+    styles = sums.filter("kind = 'style'").join(pages, ["host", "path"]).select(
+        "host", "path", ((F.col("w") * F.log("m") - F.col("nlogn")) / (F.col("m") * F.log("m"))).alias("presentation"))
     importance = GAMMA * F.col("content") + (1 - GAMMA) * F.coalesce("presentation", F.lit(0.0))
     inside = F.col("path").rlike(r"(?s)/(article|main)(\.[^/]*)?(/|$)")
     score = content.join(pages, ["host", "path"]).join(styles, ["host", "path"], "left") \
@@ -293,21 +348,32 @@ def noise_branches(trees: DataFrame) -> DataFrame:
 
 def main_text(page: str, branches, known=()) -> str:
     """The blocks outside noise branches.  On a page with an article, those beside it stay
-    only if their path is ``known``."""
+    only if their path is ``known``, and those inside it without a second sign of noise."""
     blocks, _ = parse(page)
     noise, known = set(branches), set(known)
-    article = any(prior == 2 for _, prior, _ in blocks)
+    article = any(prior == 2 for _, prior, _, _ in blocks)
 
-    def stays(path: str, prior: int) -> bool:
-        if not prior or (article and prior == 1 and path not in known):
-            return False
+    def noisy(path: str, prior: int) -> list[str]:
         # of an article's branches those inside it count
         start = m.end() if prior == 2 and (m := _INSIDE.match(path)) else 0
-        judged = [a for a in _ancestors(path) if len(a) > start] if noise and (prior == 1 or start) else ()
-        return not noise.intersection(judged)
+        judged = [a for a in _ancestors(path) if len(a) > start] if prior == 1 or start else []
+        if judged and _HEADING.match(path.rsplit("/", 1)[1]):
+            judged.pop()  # goes with the branch that it heads
+        return [a for a in judged if a in noise]
 
-    kept = [t for p, prior, t in blocks if stays(p, prior)]
-    return "\n\n".join(kept or [t for _, prior, t in blocks if prior == (2 if article else 1)])
+    kept, tail = [], True
+    for path, prior, text, linked in reversed(blocks):
+        if not prior or (article and prior == 1 and path not in known):
+            continue
+        found = noisy(path, prior) if noise else []
+        if prior == 2:
+            if found and not linked and not (tail and any(_BOX.match(a.rsplit("/", 1)[1]) for a in found)):
+                found = []
+            tail = tail and bool(found)
+        if not found:
+            kept.append(text)
+    kept.reverse()
+    return "\n\n".join(kept or [t for _, prior, t, _ in blocks if prior == (2 if article else 1)])
 
 
 def extract(pages: DataFrame, id_col: str = "page_id") -> DataFrame:

@@ -3,6 +3,7 @@
 import base64
 import gzip
 import hashlib
+import math
 import random
 import re
 from collections import Counter, defaultdict
@@ -141,6 +142,75 @@ def test_tree_decides_inside_and_beside_articles(spark):
                    **{100 + i: f"Story {i}.\n\nTeaser {i}" for i in range(8)}}
 
 
+@pytest.mark.parametrize("page,text", [
+    ("<article><p>x<span class='ad'>buy <span>now</span> cheap</span> y</article>", "x y"),
+    ("<article><p>x<span class='ad'>buy <b>now</span> y</article>", "x y"),
+    ("<article><p>x</p><ul class='comment-list'><li>first</ul></article>", "x"),
+    ("<article><p>x</p><div class='reader-comments'><p>first</div></article>", "x"),
+    ("<article><p>x</p><div id=disqus_thread>first</div></article>", "x"),
+    ("<div class='main-nav'>Home</div><p>x</p><div class='cookie-notice'>c</div><div id='site-footer'>f</div>", "x"),
+    ("<p hidden>h</p><div style='color:red; display: none'>d</div><p class='hidden x'>x", "x"),
+    ("<article><div class='entry-header'><h1>T</h1></div><pre>a <span class='comment'># b</span></pre></article>",
+     "T\n\na # b"),
+    ("<div class='no-sidebar'><p>x</p></div><div class='related-layout'><p>y</div>", "x\n\ny"),
+    ("<article>" + "<p>word & word</p>" * 50_000 + "</article>", "\n\n".join(["word & word"] * 50_000))])
+def test_noise_named_by_part_of_a_class(page, text):
+    assert html_text.main_text(page, ()) == text
+
+
+def test_article_keeps_what_its_site_repeats(spark):
+    """Headings and lead lines equal on all pages are text; repeated links inside are not."""
+    def page(i):
+        return (f"<article><p class=lead>Good food.</p><h1>Dish {i}</h1><h2>Ingredients</h2><ul><li>Salt {i}</ul>"
+                f"<div class=xr><a href=/a>More dishes</a></div><h2>Method</h2><p>Cook {i}.</article>")
+
+    def bare(i):
+        return f"<div class=xb><h2>Ingredients</h2><p>Salt {i}.<h2>Method</h2><p>Cook {i}.</div><div class=xm><h3>See</h3>Jobs</div>"
+    rows = [(i, "http://a.org/", page(i)) for i in range(12)] + [(100 + i, "http://b.org/", bare(i)) for i in range(12)]
+    out = html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3))
+    got = {r.page_id: r.text for r in out.collect()}
+    for i in range(12):
+        assert got[i] == f"Good food.\n\nDish {i}\n\nIngredients\n\nSalt {i}\n\nMethod\n\nCook {i}."
+        assert got[100 + i] == f"Ingredients\n\nSalt {i}.\n\nMethod\n\nCook {i}."
+
+
+def test_importance_against_one_tree_in_memory(spark):
+    """Noise and known branches of random sites against entropies summed page by page."""
+    rng = random.Random(5)
+    rows = []
+    for i in range(60):
+        parts = [f"<div class=c{c}><p>{rng.choice(['same', 'alike', f'own {i} {c}'][:rng.randint(1, 3)])}</p></div>"
+                 for c in "abcde" if rng.random() < 0.8]
+        rows.append((i, f"http://h{i % 3}.org/{i}", f"<div class=n>{i}</div>" + "".join(parts)))
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    seen: dict = {}
+    for _, url, page in rows:
+        host, (blocks, styles) = html_text.host_of(url), html_text.parse(page)
+        feats = {("block", p, t) for p, prior, t, _ in blocks if prior}
+        nodes = {a for _, p, _ in feats for a in html_text._ancestors(p)}
+        by_path: dict = {}
+        for p, children in styles:
+            by_path.setdefault(p, []).append(tuple(children))
+        feats |= {("style", p, tuple(s)) for p, s in by_path.items() if p in nodes} | {("page", p, "") for p in nodes}
+        for f in feats:
+            seen[(host, *f)] = seen.get((host, *f), 0) + 1
+    want: dict = {}
+    for (host, kind, node, _), m in seen.items():
+        if kind != "page" or m < html_text.MIN_PAGES:
+            continue
+        h = w = shown = 0.0
+        for (other, k, p, _), n in seen.items():
+            if other == host and k == "block" and (p + "/").startswith(node + "/") and seen[(host, "page", p, "")] >= html_text.MIN_PAGES:
+                h += n * math.log(n) / math.log(seen[(host, "page", p, "")])
+                w += n
+            elif other == host and k == "style" and p == node:
+                shown -= n / m * math.log(n / m) / math.log(m)
+        if w and html_text.GAMMA * (1 - h / w) + (1 - html_text.GAMMA) * shown < html_text.THRESHOLD:
+            want.setdefault(host, set()).add(node)
+    got = {r.host: set(r.branches) for r in html_text.noise_branches(html_text.style_trees(pages)).collect()}
+    assert {h: b for h, b in got.items() if b} == want and want
+
+
 def test_copies_of_a_page_count_once(spark):
     """A group of copies, told apart by their navigation only, makes nine tenths of a host."""
     def page(i, nav):
