@@ -5,13 +5,17 @@ per batch) and returns ``fn(request: dict) -> str``: the reply text, or a provid
 envelope when ``envelope`` names the provider shape.  The request dict carries
 ``batch_id, n, prompt, provider, model, body, texts`` and the ``attempt`` number.
 
-Attempts are rounds: round k calls only the batches that failed round k-1, either by
-raising or by a reply that does not parse (the reference retries both, because its
-batch function parses inside the retry loop).  Each round's replies are written to
-the shared folder before they are parsed, so lazy re-evaluation never repeats a paid
-call; the parse itself runs on the JVM (``replies``).  ``parallelism`` (default: the
-cluster's cores) is the number of tasks per round and so bounds the calls in flight;
-batches are hash-spread over those tasks by id.
+A call that raises is made again by its task (``calls.call_many``): up to ``in_flight``
+calls run at once in a task, and a batch that waits for its retry holds up no other.  A
+reply that does not parse (the reference retries it as well, because its batch function
+parses inside the retry loop) fails its attempt too; as the parse runs on the JVM
+(``replies``), such batches are called again in the next round.  Attempts add up over rounds,
+so a batch is called at most ``max_attempts`` times.  Each round's replies are
+written to the shared folder before they are parsed, so lazy re-evaluation never repeats a
+paid call.  ``parallelism`` (default: the cluster's cores) is the number of tasks per round,
+so ``parallelism * in_flight`` bounds the calls in flight and ``calls_per_second`` their
+rate over all tasks; batches are hash-spread over the tasks by id.  With ``in_flight``
+above 1, ``fn`` is called from several threads.
 """
 
 from __future__ import annotations
@@ -25,6 +29,7 @@ from pyspark.sql import functions as F
 
 from ..schemas import RESPONSES
 from ..session import materialize
+from .calls import call_many
 from .replies import STATUS_OK, envelope_text, parse_replies
 
 # --- fixed values -------------------------------------------------------------------
@@ -35,49 +40,63 @@ BACKOFF_BASE_SECONDS = 2.0   # wait base ** attempt between attempts: 2 s, then
 REQUEST_FIELDS = ("batch_id", "n", "prompt", "provider", "model", "body", "texts")
 
 
-def _call_round(requests: DataFrame, fn_factory: Callable[[], Callable[[dict], str]],
-                attempt: int) -> DataFrame:
-    cols = [c for c in REQUEST_FIELDS if c in requests.columns]
+#: Replies of a task that are passed on together.
+REPLIES_AT_ONCE = 256
 
-    def run(batches):
-        fn = fn_factory()
+
+def _call_round(requests: DataFrame, fn_factory: Callable[[], Callable[[dict], str]], max_attempts: int,
+                backoff_base: float, in_flight: int, calls_per_second: float | None) -> DataFrame:
+    """One reply per request, whose column ``used`` counts the attempts of earlier rounds."""
+    cols = [c for c in REQUEST_FIELDS if c in requests.columns] + ["used"]
+
+    def records(batches):
         for pdf in batches:
-            out_raw, out_err = [], []
             for rec in pdf.to_dict("records"):
                 if "texts" in rec and rec["texts"] is not None:
                     rec["texts"] = list(rec["texts"])
-                rec["attempt"] = attempt
-                try:
-                    out_raw.append(fn(rec))
-                    out_err.append(None)
-                except Exception as e:  # noqa: BLE001 - any failure is a failed attempt
-                    out_raw.append(None)
-                    out_err.append(f"{type(e).__name__}: {e}".strip())
-            yield pd.DataFrame({"batch_id": pdf["batch_id"].astype("int64"),
-                                "n": pdf["n"].astype("int32"),
-                                "attempt": pd.Series([attempt] * len(pdf), dtype="int32"),
-                                "raw": out_raw, "error": out_err})
+                rec["attempt"] = rec.pop("used") + 1
+                yield rec
+
+    def frame(done):
+        ids, n, attempts, raw, errors = zip(*done)
+        return pd.DataFrame({"batch_id": pd.Series(ids, dtype="int64"), "n": pd.Series(n, dtype="int32"),
+                             "attempt": pd.Series(attempts, dtype="int32"),
+                             "raw": pd.Series(raw, dtype=object), "error": pd.Series(errors, dtype=object)})
+
+    def run(batches):
+        done = []
+        for rec, raw, error in call_many(records(batches), fn_factory(), in_flight, max_attempts,
+                                         backoff_base, calls_per_second):
+            done.append((rec["batch_id"], rec["n"], rec["attempt"], raw, error))
+            if len(done) == REPLIES_AT_ONCE:
+                yield frame(done)
+                done = []
+        if done:
+            yield frame(done)
 
     return requests.select(*cols).mapInPandas(run, RESPONSES)
 
 
 def run_batches(requests: DataFrame, fn_factory: Callable[[], Callable[[dict], str]],
                 max_attempts: int = MAX_ATTEMPTS, backoff_base: float = BACKOFF_BASE_SECONDS,
-                envelope: str | None = None, parallelism: int | None = None) -> DataFrame:
+                envelope: str | None = None, parallelism: int | None = None, in_flight: int = 1,
+                calls_per_second: float | None = None) -> DataFrame:
     """Call every batch, retrying failed ones; return one row per batch:
     (batch_id, n, attempts, status, error, items).  ``status`` is ``ok`` or the last
     failure reason (``error`` for an exception, else the parse status)."""
+    if in_flight < 1:
+        raise ValueError("in_flight must be at least 1")
     # persisted once: every round reads the same prompts, and they are the audit record
     # of what was sent
     requests = materialize(requests, "requests")
-    # calls in flight = tasks of a round; batches are spread by id over that many tasks
+    # calls in flight = tasks of a round * in_flight; batches are spread by id over that many tasks
     tasks = parallelism or requests.sparkSession.sparkContext.defaultParallelism
-    todo = requests
+    rate = calls_per_second / tasks if calls_per_second else None
+    todo = requests.withColumn("used", F.lit(0))
     finished: list[DataFrame] = []
-    last_failed: DataFrame | None = None
-    for attempt in range(1, max_attempts + 1):
-        replies = materialize(_call_round(todo.repartition(tasks, "batch_id"), fn_factory, attempt),
-                              f"replies-{attempt}")
+    for number in range(1, max_attempts + 1):  # each round uses up an attempt of every batch left
+        replies = materialize(_call_round(todo.repartition(tasks, "batch_id"), fn_factory, max_attempts,
+                                          backoff_base, in_flight, rate), f"replies-{number}")
         if envelope:
             text, env_status = envelope_text(envelope)
             replies = replies.withColumn("reply", text).withColumn(
@@ -87,24 +106,26 @@ def run_batches(requests: DataFrame, fn_factory: Callable[[], Callable[[dict], s
                 "status", F.when(F.col("error").isNotNull(), F.lit("error")))
         parsed = materialize(parse_replies(replies, "reply", "n").select(
             "batch_id", "n", F.col("attempt").alias("attempts"), "status", "error", "items"),
-            f"parsed-{attempt}")
-        finished.append(parsed.filter(F.col("status") == STATUS_OK))
-        last_failed = parsed.filter(F.col("status") != STATUS_OK)
-        if attempt == max_attempts or last_failed.isEmpty():
+            f"parsed-{number}")
+        again = (F.col("status") != STATUS_OK) & (F.col("attempts") < max_attempts)
+        finished.append(parsed.filter(~again))
+        left = parsed.filter(again).select("batch_id", F.col("attempts").alias("used"))
+        if number == max_attempts or left.isEmpty():
             break
         if backoff_base:
-            time.sleep(backoff_base ** attempt)
-        todo = requests.join(last_failed.select("batch_id"), "batch_id", "left_semi")
+            time.sleep(backoff_base ** number)
+        todo = requests.join(left, "batch_id")
     out = finished[0]
     for f in finished[1:]:
         out = out.unionByName(f)
-    return out.unionByName(last_failed)
+    return out
 
 
 def run_frontier(requests: DataFrame, fn_factory: Callable[[], Callable[[dict], str]],
                  max_attempts: int = MAX_ATTEMPTS, backoff_base: float = BACKOFF_BASE_SECONDS,
                  envelope: str | None = None, parallelism: int | None = None,
-                 largest_slice: int | None = None) -> DataFrame:
+                 largest_slice: int | None = None, in_flight: int = 1,
+                 calls_per_second: float | None = None) -> DataFrame:
     """I4: call the batches in order, slice by slice, and stop after the first slice in
     which a batch fails all attempts; batches beyond that slice are never called.
 
@@ -122,13 +143,15 @@ def run_frontier(requests: DataFrame, fn_factory: Callable[[], Callable[[dict],
     largest = largest_slice or 64 * tasks
     edge = requests.agg(F.min("batch_id").alias("lo"), F.max("batch_id").alias("hi")).first()
     if edge["lo"] is None:
-        return run_batches(requests, fn_factory, max_attempts, backoff_base, envelope, tasks).withColumn(
+        return run_batches(requests, fn_factory, max_attempts, backoff_base, envelope, tasks,
+                           in_flight, calls_per_second).withColumn(
             "slice", F.lit(0))
     called: DataFrame | None = None
     at, size, number = edge["lo"], min(tasks, largest), 0
     while at <= edge["hi"]:
         part = requests.filter(F.col("batch_id").between(at, at + size - 1))
-        results = run_batches(part, fn_factory, max_attempts, backoff_base, envelope, tasks).withColumn(
+        results = run_batches(part, fn_factory, max_attempts, backoff_base, envelope, tasks,
+                              in_flight, calls_per_second).withColumn(
             "slice", F.lit(number))
         called = results if called is None else called.unionByName(results)
         if not results.filter(F.col("status") != STATUS_OK).isEmpty():

@@ -70,6 +70,50 @@ def q_frontier_stop(spark, sf_dir):
                          F.coalesce("kept", F.lit(False)).alias("kept")))
 
 
+@register("q_calls_in_flight", _conv_prompt_sql() + """
+SELECT provider, p.batch_id, CAST(CASE p.batch_id % 4 WHEN 0 THEN 1 WHEN 3 THEN 3 ELSE 2 END AS INTEGER) AS attempts,
+       CASE WHEN p.batch_id % 4 < 3 THEN 'ok' WHEN provider = 'openai' THEN 'refused' ELSE 'invalid_envelope' END AS status,
+       CASE WHEN p.batch_id % 4 < 3 THEN chars END AS chars
+FROM p, (SELECT unnest(['anthropic', 'openai']) AS provider),
+     (SELECT batch_id, CAST(sum(length(text) + 5) AS BIGINT) AS chars FROM b GROUP BY batch_id) c
+WHERE c.batch_id = p.batch_id
+""")
+def q_calls_in_flight(spark, sf_dir):
+    """Four calls in flight per task, replies out of order, both providers'
+    envelopes.  Batches with id % 4 = 1 raise once (tried again by their task), = 2 are cut
+    off once (next round), = 3 raise once and then come without content to the end."""
+    import json
+    import time
+
+    def factory(provider):
+        def make():
+            def fn(req):
+                kind, attempt = req["batch_id"] % 4, req["attempt"]
+                time.sleep(0.002 * (3 - kind))
+                if kind in (1, 3) and attempt == 1:
+                    raise RuntimeError("overloaded")
+                text = None if kind == 3 else json.dumps(["[xx] " + t for t in req["texts"]])
+                cut = kind == 2 and attempt == 1
+                if provider == "openai":
+                    return json.dumps({"choices": [{"message": {"content": text},
+                                                    "finish_reason": "length" if cut else "stop"}]})
+                return json.dumps({"content": [{"type": "text", "text": text}],
+                                   "stop_reason": "max_tokens" if cut else "end_turn"})
+            return fn
+        return make
+
+    units = conversation_units(spark, sf_dir)
+    out = None
+    for provider in ("anthropic", "openai"):
+        reqs = requests.build_requests(units, "English", "Kazakh", provider, "m")
+        done = infer.run_batches(reqs, factory(provider), backoff_base=0, envelope=provider, in_flight=4)
+        chars = F.aggregate(F.expr("items"), F.lit(0).cast("long"), lambda a, x: a + F.length(x))
+        part = done.select(F.lit(provider).alias("provider"), "batch_id", F.col("attempts").cast("int").alias("attempts"),
+                           "status", F.when(F.col("status") == "ok", chars).alias("chars"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @register("q_csv_splits", O.with_(O.RAW_ENTRIES, O.ENTRIES, O.LOG) + """
 SELECT filepath, string_key, string_id, field, source_text, translated_text, status,
        row_number() OVER (ORDER BY entry_idx, variant_idx) - 1 AS place

@@ -55,7 +55,8 @@ def translate(entries: DataFrame, log: DataFrame | None,
               run_id: str | None = None, max_attempts: int = infer.MAX_ATTEMPTS,
               backoff_base: float = infer.BACKOFF_BASE_SECONDS, envelope: str | None = None,
               stop_on_failure: bool = False, title: str = requests.DEFAULT_TITLE,
-              parallelism: int | None = None) -> Translation | None:
+              parallelism: int | None = None, in_flight: int = 1,
+              calls_per_second: float | None = None) -> Translation | None:
     """I5.  Returns None when nothing is pending (the reference exits early before it
     even checks the provider, B3).
 
@@ -69,7 +70,8 @@ def translate(entries: DataFrame, log: DataFrame | None,
     check_provider(provider)
     reqs = requests.build_requests(units, source_lang, target_lang, provider, model, title)
     call = infer.run_frontier if stop_on_failure else infer.run_batches
-    results = call(reqs, fn_factory, max_attempts, backoff_base, envelope, parallelism)
+    results = call(reqs, fn_factory, max_attempts, backoff_base, envelope, parallelism,
+                   in_flight=in_flight, calls_per_second=calls_per_second)
     if stop_on_failure:
         results = infer.stop_at_first_failure(results)
     recs = records.records_from_results(units, results, run_id)
@@ -135,7 +137,8 @@ def run_translation_job(entries: DataFrame, log_path: str,
                         backoff_base: float = infer.BACKOFF_BASE_SECONDS,
                         envelope: str | None = None, title: str = requests.DEFAULT_TITLE,
                         parallelism: int | None = None, metrics_path: str | None = None,
-                        stop_on_failure: bool = False, log_buckets: int | None = None) -> int:
+                        stop_on_failure: bool = False, log_buckets: int | None = None,
+                        in_flight: int = 1, calls_per_second: float | None = None) -> int:
     """K2 at scale: translate in waves of ``wave_batches`` batches and append each
     wave's records to the log before the next wave starts.
 
@@ -153,7 +156,8 @@ def run_translation_job(entries: DataFrame, log_path: str,
     runs slice by slice (``infer.run_frontier``), its records before that batch are
     appended, and neither the later slices nor the later waves are called.  ``log_buckets``
     starts the log as snapshot and deltas by path bucket (``sinks.bucketed_log``); a log
-    that has that layout keeps it.
+    that has that layout keeps it.  ``in_flight`` and ``calls_per_second``: see
+    ``operators.infer``.
     """
     started = time.time()
     metrics: list[tuple[str, str, float]] = []
@@ -161,13 +165,13 @@ def run_translation_job(entries: DataFrame, log_path: str,
         return _run_waves(entries, log_path, fn_factory, source_lang, target_lang, provider,
                           model, batch_size, wave_batches, n_waves, run_id, max_attempts,
                           backoff_base, envelope, title, parallelism, metrics_path, started,
-                          metrics, stop_on_failure, log_buckets)
+                          metrics, stop_on_failure, log_buckets, in_flight, calls_per_second)
 
 
 def _run_waves(entries, log_path, fn_factory, source_lang, target_lang, provider, model,
                batch_size, wave_batches, n_waves, run_id, max_attempts, backoff_base,
                envelope, title, parallelism, metrics_path, started, metrics, stop_on_failure,
-               log_buckets) -> int:
+               log_buckets, in_flight, calls_per_second) -> int:
     from ..sinks.bucketed_log import open_log
     spark = entries.sparkSession
     run_id = run_id or new_run_id()
@@ -190,7 +194,8 @@ def _run_waves(entries, log_path, fn_factory, source_lang, target_lang, provider
         wave = by_wave.filter(F.col("wave") == w).drop("wave")
         reqs = requests.build_requests(wave, source_lang, target_lang, provider, model, title)
         call = infer.run_frontier if stop_on_failure else infer.run_batches
-        results = call(reqs, fn_factory, max_attempts, backoff_base, envelope, parallelism)
+        results = call(reqs, fn_factory, max_attempts, backoff_base, envelope, parallelism,
+                       in_flight=in_flight, calls_per_second=calls_per_second)
         done = infer.stop_at_first_failure(results) if stop_on_failure else results
         new = records.records_from_results(wave, done, run_id)
         log.append(new)
