@@ -27,6 +27,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from ..session import materialize
+
 WIDTH = 5
 #: Bytes of text per range, and ranges at most (they bound the list of cut points).
 RANGE_BYTES, MAX_RANGES = 8 << 20, 4096
@@ -178,7 +180,22 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         _likeness((c("f0"), c("f1")), (c("x0"), c("x1"))).alias("near_next"))
 
 
+def near_counts(prints: DataFrame, queries: Column, radius: int = 3) -> DataFrame:
+    """``prints`` (with fingerprint) and near_prints: for rows that meet ``queries`` the number
+    of other distinct fingerprints at most ``radius`` bits away among all rows, else null."""
+    def half(start: int) -> Column:
+        return F.conv(F.substr("fingerprint", F.lit(start), F.lit(16)), 16, -10).cast("long")
+
+    asked = F.coalesce(queries, F.lit(False))
+    both = [df.select(half(1).alias("f0"), half(17).alias("f1")) for df in (prints, prints.filter(asked))]
+    found = within_radius(*both, radius).groupBy("q").agg(F.count("*").alias("found"))
+    rows = prints.join(found, F.col("fingerprint") == F.col("q"), "left")
+    return rows.select(*prints.columns, F.when(asked, F.coalesce("found", F.lit(0).cast("long"))).alias("near_prints"))
+
+
 def op5_fingerprints(spark, sf_dir: str) -> DataFrame:
-    """Fingerprints of every document and of its edited text."""
+    """Fingerprints of every document and of its edited text; for ids divisible by 20 also the
+    number of other fingerprints of the table within three bits, by permuted block tables."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return edited_fingerprints(docs)
+    prints = materialize(edited_fingerprints(docs), "fingerprints")
+    return near_counts(prints, F.col("doc_id") % 20 == 0)

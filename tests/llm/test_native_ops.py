@@ -205,6 +205,30 @@ def test_within_radius_finds_all(spark):
     assert got == expected and expected
 
 
+def test_near_counts_against_all_pairs(spark):
+    """Long texts of which one or two words differ, copies, repeated and null ids."""
+    rng = np.random.default_rng(3)
+    rows = [(None, "a b"), (0, None), (20, ""), (40, "x y"), (40, "x y"), (60, "w " * 30_000)]
+    for group in range(6):
+        words = [f"w{x}" for x in rng.integers(0, 5_000, 3_000)]
+        for copy in range(12):
+            own = list(words)
+            for at in rng.choice(len(words), copy % 4, replace=False):
+                own[at] = f"n{copy}"
+            rows.append((100 + 20 * len(rows) if copy % 3 else 7, " ".join(own)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    prints = fingerprints.edited_fingerprints(docs)
+    got = fingerprints.near_counts(prints, F.col("doc_id") % 20 == 0).collect()
+    codes = {int(r.fingerprint, 16) for r in got}
+    assert len(got) == len(rows)
+    for r in got:
+        code = int(r.fingerprint, 16)
+        want = sum(0 < (code ^ c).bit_count() <= 3 for c in codes)
+        assert r.near_prints == (want if r.doc_id is not None and r.doc_id % 20 == 0 else None)
+    assert max(r.near_prints or 0 for r in got) > 1
+    assert fingerprints.near_counts(prints.limit(0), F.col("doc_id") % 20 == 0).count() == 0
+
+
 def test_single_document_and_empty_table(spark):
     one = fingerprints.edited_fingerprints(_docs(spark, [(5, "a b c d e f", "en")])).first()
     assert one.edited_sha256 == hashlib.sha256(b"a b c " + b"a b c").hexdigest()
