@@ -15,9 +15,9 @@ d <= k(n) whichever of the two n is.
 * Larger bands enumerate the single parts.  Of the m non-empty parts of linked sets at
   least m - d agree, so two sets already share one of their k + 1 first parts in any
   common order.  The order goes by the corpus-wide frequency of a part's rarest shingle,
-  so a line or passage that many documents share makes no candidates by itself.  Some
-  parts beyond k + 1 are emitted as well, which raises the number a linked pair must share
-  and rejects pairs without reading their texts.
+  so a line or passage that many documents share makes no candidates by itself.  Sets of
+  more than SKETCH_BITS elements emit some parts beyond k + 1, which raises the number a
+  linked pair must share.
 * A set that runs out of rare parts emits frequent ones, too, and then each of its rare
   shingles alone.  Two such sets either meet in a rare shingle, or share none, and then
   they differ in all r rare shingles of both: their frequent signatures count only if
@@ -28,9 +28,16 @@ d <= k(n) whichever of the two n is.
 **Pairs.**  Sets that share a signature are checked against the least set of the group,
 each set only against the leader it shares most with, not all against all.  Links give
 components.  Then only groups that still hold several components are searched on: all
-pairs between components in groups up to ``GROUP``, a few leaders (of the smallest
-components) per round in larger ones, until no group is left.  Every candidate is verified on whole texts, so the order,
-the leaders and the frequency table decide cost only, never the result.
+pairs between components in groups up to ``GROUP``, LEADERS members (of the smallest
+components) per round in larger ones, until no group is left.  Groups with the same members
+(the parts of one shared passage) are searched once.
+
+**Sketches.**  A class carries one bit per hash bucket: whether the set has an odd number of
+elements in it.  Two sets differ in at least as many elements as their sketches differ in
+bits, so a pair whose sketches differ in more than d bits cannot link.  The test is part of
+the join condition of a group's members: only pairs that pass it become rows, and only
+their texts move.  Every candidate left is verified on whole texts, so the order, the
+leaders, the sketches and the frequency table decide cost only, never the result.
 
 Frequent shingles are counted over all documents: each task counts its own and passes on
 those above a floor.  Frequency classes and documents to verify travel as tables of fixed
@@ -60,10 +67,13 @@ PERCENT = 75
 #: STRETCH times their start, with as many parts as the largest size.
 SMALL, SMALL_PARTS, STRETCH = 11, 5, 4
 #: Groups up to this size are searched in full; larger ones by LEADERS a round.
-GROUP, LEADERS = 128, 64
+GROUP, LEADERS = 512, 512
+#: Bits of a set's parity sketch, in longs of 64.
+SKETCH_BITS = 512
+SKETCH = [f"s{i}" for i in range(SKETCH_BITS // 64)]
 #: A task passes on shingles that it met this often among COUNTED elements; a shingle is
 #: frequent from FREQUENT on.  At most MOST_FREQUENT enter the table (else FREQUENT doubles).
-LOCAL_FLOOR, COUNTED, FREQUENT, MOST_FREQUENT = 8, 4_000_000, 32, 1 << 18
+LOCAL_FLOOR, COUNTED, FREQUENT, MOST_FREQUENT = 8, 2_000_000, 32, 1 << 18
 BITMAP_BITS = 22
 #: Documents to verify up to this number are picked by a broadcast of their ids, more by
 #: a bitmap.
@@ -102,7 +112,8 @@ def _parts(s: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
 
 def emitted(n: int, m: int) -> int:
     """Signatures of a set of n elements with m non-empty parts in a larger band."""
-    return min(m, allowance(n) + 1 + n // 16)
+    more = n // 16 if n > SKETCH_BITS else 0  # smaller sets are told apart by their sketches
+    return min(m, allowance(n) + 1 + more)
 
 
 def signatures(s: np.ndarray, level: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
@@ -177,6 +188,13 @@ def _set_key(s: np.ndarray) -> tuple[int, int]:
     return int(a.view(np.int64)[0]), int(b.view(np.int64)[0])
 
 
+def parity_sketch(s: np.ndarray) -> np.ndarray:
+    """SKETCH_BITS bits as longs: the parity of the number of elements in each hash bucket."""
+    bucket = ((s >> np.uint64(16)) & np.uint64(SKETCH_BITS - 1)).astype(np.int64)
+    odd = (np.bincount(bucket, minlength=SKETCH_BITS) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64)
+
+
 # -- bitmaps of fixed size --------------------------------------------------------------------
 def _bitmap(rows: DataFrame, col: str) -> np.ndarray:
     """Bitmap of 2**BITMAP_BITS bits over the low bits of a long column, or-ed together on
@@ -197,13 +215,14 @@ def _in_bitmap(bitmap: np.ndarray, v: np.ndarray) -> np.ndarray:
 
 # -- passes over the texts --------------------------------------------------------------------
 def set_keys(docs: DataFrame, levels: np.ndarray, percent: int = PERCENT) -> DataFrame:
-    """id -> n (set size), key, key2, least (see _least_emitted) and hot (see _hot_slack)."""
+    """id -> n (set size), key, key2, least (see _least_emitted), hot (see _hot_slack) and the
+    sketch."""
     kind = dict(docs.dtypes)["id"]
     shared = docs.sparkSession.sparkContext.broadcast(levels)  # 2**BITMAP_BITS bytes
 
     def run(batches):
         for batch in batches:
-            n, k1, k2, least, hot = [], [], [], [], []
+            n, k1, k2, least, hot, bits = [], [], [], [], [], [np.zeros((0, len(SKETCH)), np.int64)]
             for s in shingle_sets(batch.column(1).to_pylist()):
                 a, b = _set_key(s)
                 n.append(s.size)
@@ -212,12 +231,13 @@ def set_keys(docs: DataFrame, levels: np.ndarray, percent: int = PERCENT) -> Dat
                 least.append(_least_emitted(s))
                 level = shared.value[(s & np.uint64((1 << BITMAP_BITS) - 1)).astype(np.int64)]
                 hot.append(_hot_slack(s, level, percent))
+                bits.append(parity_sketch(s)[None])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(x, pa.int64()) for x in (n, k1, k2, least, hot))],
-                names=["id", "n", "key", "key2", "least", "hot"])
+                [batch.column(0), *(pa.array(x, pa.int64()) for x in (n, k1, k2, least, hot, *np.concatenate(bits).T))],
+                names=["id", "n", "key", "key2", "least", "hot", *SKETCH])
 
     return docs.select("id", "text").mapInArrow(
-        run, f"id {kind}, n bigint, key bigint, key2 bigint, least bigint, hot bigint")
+        run, f"id {kind}, " + ", ".join(f"{c} bigint" for c in ("n", "key", "key2", "least", "hot", *SKETCH)))
 
 
 def _distinct_sets(batches, column: int):
@@ -288,7 +308,7 @@ def postings(docs: DataFrame, levels: np.ndarray, percent: int = PERCENT) -> Dat
             sigs.append(sig.view(np.int64))
             slack.append(w)
             size += sig.size
-            if size >= 500_000:
+            if size >= 100_000:
                 yield listed(keys, sigs, slack)
                 keys, sigs, slack, size = [], [], [], 0
         if keys:
@@ -366,18 +386,35 @@ def _oriented(pairs: DataFrame) -> DataFrame:
 # -- the join ---------------------------------------------------------------------------------
 def _classes(keys: DataFrame) -> DataFrame:
     return materialize(keys.filter("n > 0").groupBy("n", "key", "key2")
-                       .agg(F.min("id").alias("rep"), F.max("least").alias("least"), F.max("hot").alias("hot")), "set-classes")
+                       .agg(F.min("id").alias("rep"), F.max("least").alias("least"), F.max("hot").alias("hot"),
+                            *(F.min(s).alias(s) for s in SKETCH)), "set-classes")  # equal sets, equal sketches
+
+
+def _differ(percent: int) -> Column:
+    """d: elements that linked sets of na and nb elements differ in at most."""
+    return F.floor((F.col("na") + F.col("nb")) * (100 - percent) / (100 + percent))
+
+
+def _may_link(percent: int) -> Column:
+    """Whether the sizes na, nb and the sketches (a_s0.., b_s0..) allow a link."""
+    bits = sum((F.bit_count(F.col(f"a_{s}").bitwiseXOR(F.col(f"b_{s}"))) for s in SKETCH[1:]),
+               F.bit_count(F.col(f"a_{SKETCH[0]}").bitwiseXOR(F.col(f"b_{SKETCH[0]}"))))
+    return (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")) & (bits <= _differ(percent))
+
+
+def _sketch_as(side: str) -> list[Column]:
+    return [F.col("n").alias(f"n{side}"), *(F.col(s).alias(f"{side}_{s}") for s in SKETCH)]
 
 
 def _with_ids(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Key pairs (ka, kb) as representatives (a, b) whose sizes allow a link."""
+    """Key pairs (ka, kb) as representatives (a, b) whose sizes and sketches allow a link."""
     c = classes.filter("n >= 3")
-    a = c.select(F.col("key").alias("ka"), F.col("rep").alias("a"), F.col("n").alias("na"), F.col("least").alias("la"),
-                 F.col("hot").alias("ha"))
-    b = c.select(F.col("key").alias("kb"), F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("least").alias("lb"),
-                 F.col("hot").alias("hb"))
-    near = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
-    return pairs.join(a, "ka").join(b, "kb").filter(near)
+    a = c.select(F.col("key").alias("ka"), F.col("rep").alias("a"), F.col("least").alias("la"),
+                 F.col("hot").alias("ha"), *_sketch_as("a"))
+    b = c.select(F.col("key").alias("kb"), F.col("rep").alias("b"), F.col("least").alias("lb"),
+                 F.col("hot").alias("hb"), *_sketch_as("b"))
+    return pairs.join(a, "ka").join(b, "kb").filter(_may_link(percent)) \
+                .drop(*(f"{side}_{s}" for side in "ab" for s in SKETCH))
 
 
 def _enough(percent: int) -> Column:
@@ -386,15 +423,17 @@ def _enough(percent: int) -> Column:
     Where both fall back to frequent parts and their slacks add up to more than 0, the
     frequent parts that they share are no meetings.  Linked sets with r_a and r_b rare
     shingles then meet in each rare one they share, (r_a + r_b - d) / 2 at least."""
-    differ = F.floor((F.col("na") + F.col("nb")) * (100 - percent) / (100 + percent))
+    differ = _differ(percent)
     slack = F.col("ha") + F.col("hb")
     rare = (slack > 0) & (2 * (100 + percent) * F.col("c") >= slack)
     return (F.least("la", "lb") < 0) | (F.col("c") >= F.least("la", "lb") - differ) | rare
 
 
 def _residual(groups: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
-    """Signature groups that still hold several components: (sig, slack, key, comp, members).
-    Sets that may meet nobody in their group by their slack are left out."""
+    """Signature groups that still hold several components: (sig, slack, key, comp, members,
+    times).  Sets that may meet nobody in their group by their slack are left out.  Of groups
+    with the same members one stays, with their number as ``times``; the members are told
+    apart by 128 bits over all of them."""
     comp = classes.filter("n >= 3").select("key", "rep") \
                   .join(labels.withColumnRenamed("id", "rep"), "rep", "left")
     # keys that two classes share (a hash collision) stay apart: they have two rows here
@@ -403,8 +442,11 @@ def _residual(groups: DataFrame, classes: DataFrame, labels: DataFrame) -> DataF
                                     F.max("comp").alias("hi")).filter("lo != hi and least <= 0")
     rows = rows.join(least.select("sig", "least"), "sig").filter("slack + least <= 0")
     by = rows.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
-                                 F.count("*").alias("members")).filter("lo != hi")
-    return rows.join(by.select("sig", "members"), "sig").select("sig", "slack", "key", "comp", "members")
+                                 F.count("*").alias("members"), F.bit_xor(F.xxhash64("key", "slack", "comp")).alias("h1"),
+                                 F.bit_xor(F.xxhash64("comp", "slack", "key")).alias("h2")).filter("lo != hi")
+    one = by.groupBy("members", "h1", "h2").agg(F.min("sig").alias("sig"), F.count("*").alias("times"))
+    return rows.join(one.select("sig", "members", "times"), "sig") \
+               .select("sig", "slack", "key", "comp", "members", "times")
 
 
 def similar_classes(docs: DataFrame, classes: DataFrame, levels: np.ndarray, percent: int = PERCENT) -> DataFrame:
@@ -431,21 +473,23 @@ def similar_classes(docs: DataFrame, classes: DataFrame, levels: np.ndarray, per
         rest = materialize(_residual(groups, classes, labels), "open-groups")
         if rest.isEmpty():
             return labels
-        small = rest.filter(F.col("members") <= GROUP)
         large = rest.filter(F.col("members") > GROUP)
         # members of small components lead: once they are compared with all others, a group
         # around one large component is finished
-        size = F.count("*").over(W.partitionBy("sig", "comp"))
+        sizes = large.groupBy("sig", "comp").agg(F.count("*").alias("size"))
         rank = F.row_number().over(W.partitionBy("sig").orderBy("size", "comp", "key"))
-        heads = large.withColumn("size", size).withColumn("r", rank).filter(F.col("r") <= LEADERS).drop("r", "size")
-        heads = materialize(heads, "heads")
-        x = small.unionByName(heads).select("sig", F.col("key").alias("ka"), F.col("comp").alias("ca"),
-                                            F.col("slack").alias("wa"), "members")
-        y = rest.select("sig", F.col("key").alias("kb"), F.col("comp").alias("cb"), F.col("slack").alias("wb"))
-        meet = (x.join(y, "sig")
-                 .filter(f"wa + wb <= 0 and ca != cb and ka != kb and (members > {GROUP} or ka < kb)")
-                 .select(F.least("ka", "kb").alias("ka"), F.greatest("ka", "kb").alias("kb"), "members")
-                 .groupBy("ka", "kb").agg(F.count("*").alias("c"), F.max("members").alias("members")))
+        heads = large.join(sizes, ["sig", "comp"]).withColumn("r", rank).filter(F.col("r") <= LEADERS)
+        heads = materialize(heads.select(*rest.columns), "heads")
+        sketches = classes.filter("n >= 3").select("key", "n", *SKETCH)
+        x = rest.filter(F.col("members") <= GROUP).unionByName(heads).join(sketches, "key") \
+                .select("sig", F.col("key").alias("ka"), F.col("comp").alias("ca"), F.col("slack").alias("wa"),
+                        "members", "times", *_sketch_as("a"))
+        y = rest.join(sketches, "key").select("sig", F.col("key").alias("kb"), F.col("comp").alias("cb"),
+                                              F.col("slack").alias("wb"), *_sketch_as("b"))
+        other = F.expr(f"wa + wb <= 0 and ca != cb and ka != kb and (members > {GROUP} or ka < kb)")
+        meet = (x.join(y, "sig").filter(other & _may_link(percent))
+                 .select(F.least("ka", "kb").alias("ka"), F.greatest("ka", "kb").alias("kb"), "members", "times")
+                 .groupBy("ka", "kb").agg(F.sum("times").alias("c"), F.max("members").alias("members")))
         pairs = _with_ids(meet, classes, percent)
         if counts_whole:
             # a linked pair shares so many of its emitted parts.  Pairs of a large group

@@ -376,6 +376,29 @@ def test_join_around_a_frequent_passage(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == expected
 
 
+def test_members_that_link_with_nobody(spark, monkeypatch):
+    """A passage held by texts of which only few link: sketches keep the others apart, whether
+    their group is searched in full or by leaders."""
+    texts = _passage_pairs(pairs=6, others=150)
+    expected = brute_components(texts)
+    for size in (512, 32):
+        monkeypatch.setattr(ngram_join, "GROUP", size)
+        monkeypatch.setattr(ngram_join, "LEADERS", size)
+        rows = ngram_join.link_documents(_docs(spark, texts)).collect()
+        assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == expected
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.integers(0, 3000), st.integers(0, 300), st.integers(0, 300), st.integers(0, 2**32))
+def test_sketches_differ_in_no_more_bits_than_sets(n, drop, add, seed):
+    rng = np.random.default_rng(seed)
+    a = np.unique(rng.integers(0, 2**64, n, np.uint64))
+    b = np.unique(np.append(a[min(drop, a.size):], rng.integers(0, 2**64, add, np.uint64)))
+    x, y = ngram_join.parity_sketch(a), ngram_join.parity_sketch(b)
+    assert x.size == len(ngram_join.SKETCH)
+    assert int(np.bitwise_count((x ^ y).view(np.uint64)).sum()) <= np.setxor1d(a, b).size
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.integers(12, 400), st.integers(0, 60), st.integers(0, 60), st.floats(0, 1), st.integers(0, 2**32))
 def test_linked_sets_meet_often_enough(n, drop, add, hot, seed):
