@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import RESPONSES
-from ..session import materialize
+from ..session import materialize, settings
 from .calls import call_many
 from .replies import STATUS_OK, envelope_text, parse_replies
 
@@ -40,8 +40,11 @@ BACKOFF_BASE_SECONDS = 2.0   # wait base ** attempt between attempts: 2 s, then
 REQUEST_FIELDS = ("batch_id", "n", "prompt", "provider", "model", "body", "texts")
 
 
-#: Replies of a task that are passed on together.
-REPLIES_AT_ONCE = 256
+#: Requests that reach a task's Python together, and replies that leave it together.  A request
+#: holds its batch's texts several times over, so Spark's default of 10,000 rows would be a
+#: task's whole share of the job.
+REQUESTS_AT_ONCE = REPLIES_AT_ONCE = 32
+FEW_ROWS = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(REQUESTS_AT_ONCE)}
 
 
 def _call_round(requests: DataFrame, fn_factory: Callable[[], Callable[[dict], str]], max_attempts: int,
@@ -95,8 +98,9 @@ def run_batches(requests: DataFrame, fn_factory: Callable[[], Callable[[dict], s
     todo = requests.withColumn("used", F.lit(0))
     finished: list[DataFrame] = []
     for number in range(1, max_attempts + 1):  # each round uses up an attempt of every batch left
-        replies = materialize(_call_round(todo.repartition(tasks, "batch_id"), fn_factory, max_attempts,
-                                          backoff_base, in_flight, rate), f"replies-{number}")
+        with settings(todo.sparkSession, FEW_ROWS):
+            replies = materialize(_call_round(todo.repartition(tasks, "batch_id"), fn_factory, max_attempts,
+                                              backoff_base, in_flight, rate), f"replies-{number}")
         if envelope:
             text, env_status = envelope_text(envelope)
             replies = replies.withColumn("reply", text).withColumn(

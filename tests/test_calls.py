@@ -131,3 +131,20 @@ def test_attempts_add_up_over_tasks_and_rounds(spark, tmp_path):
     assert empty.count() == 0
     with pytest.raises(ValueError):
         infer.run_batches(reqs, factory, in_flight=0)
+
+
+def test_a_task_holds_few_requests(spark):
+    """Requests reach Python some at a time, however many a task has."""
+    reqs = spark.range(0, 600, 1, 1).selectExpr("id as batch_id", "1 as n", "'p' as prompt", "array('t') as texts")
+
+    def factory():
+        import gc
+
+        def fn(req):
+            return json.dumps([sum(isinstance(o, dict) and "prompt" in o for o in gc.get_objects())])
+        return fn
+
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    out = infer.run_batches(reqs, factory, 1, 0, parallelism=1).collect()
+    assert len(out) == 600 and max(int(r["items"][0]) for r in out) <= 100
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
