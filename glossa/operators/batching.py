@@ -22,12 +22,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.models import validate_settings
-from ..session import materialize
+from ..session import TEXT_CODEC, materialize
 
 
 def global_index(df: DataFrame, order: list[Column], name: str = "idx",
-                 partitions: int | None = None) -> DataFrame:
+                 partitions: int | None = None, keep_range: bool = False) -> DataFrame:
     """Add ``name`` = 0-based position of each row in the total order ``order``.
+    ``keep_range`` leaves the number of the row's range in ``_range``: every file holds one
+    range, so a filter on it skips the others.
 
     ``order`` must be a total order (unique per row) for the index to be reproducible.
     """
@@ -42,7 +44,7 @@ def global_index(df: DataFrame, order: list[Column], name: str = "idx",
         tagged = ranged.select("*", pid.alias("_range"),
                                (F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33))
                                .alias("_pos"))
-        fixed = materialize(tagged, "ordered")
+        fixed = materialize(tagged, "ordered", codec=TEXT_CODEC)
     finally:
         cached.unpersist()
     counts = fixed.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
@@ -53,14 +55,14 @@ def global_index(df: DataFrame, order: list[Column], name: str = "idx",
     starts = starts.select("_range", F.coalesce("_start", F.lit(0)).alias("_start"))
     return (fixed.join(F.broadcast(starts), "_range")
                  .withColumn(name, F.col("_start") + F.col("_pos"))
-                 .drop("_range", "_pos", "_start"))
+                 .drop(*([] if keep_range else ["_range"]), "_pos", "_start"))
 
 
 def assign_batches(units: DataFrame, order: list[Column], batch_size: int,
-                   partitions: int | None = None) -> DataFrame:
+                   partitions: int | None = None, keep_range: bool = False) -> DataFrame:
     """``unit_idx``, ``batch_id = unit_idx div batch_size``, ``pos`` in the batch."""
     validate_settings(batch_size)
-    indexed = global_index(units, order, "unit_idx", partitions)
+    indexed = global_index(units, order, "unit_idx", partitions, keep_range)
     return (indexed.withColumn("batch_id", F.floor(F.col("unit_idx") / batch_size).cast("long"))
                    .withColumn("pos", (F.col("unit_idx") % batch_size).cast("int")))
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import ENTRY_KEY, GROUP_KEY, VARIANT_FIELDS
-from .resume import normalize_ids
+from .resume import done_keys, normalize_ids
 
 
 def _last(field: str) -> F.Column:
@@ -32,11 +32,38 @@ def group_entries(pending: DataFrame) -> DataFrame:
     )
 
 
+def group_pending(entries: DataFrame, log: DataFrame | None) -> DataFrame:
+    """J1 + A1: :func:`group_entries` of the entries that the log does not hold (``pending``).
+
+    The log's keys take part in the grouping as rows without text, so an entry's text is
+    shuffled once, not for an anti join and again for the groups.  As in that join, a key
+    with a NULL path or string key is never done."""
+    entries = normalize_ids(entries)
+    if log is None:
+        return group_entries(entries)
+    cols = [*ENTRY_KEY, "entry_idx", "variant_idx", "source_text"]
+    kinds = dict(entries.dtypes)
+    keys = done_keys(log, distinct=False).filter(F.col("filepath").isNotNull() & F.col("string_key").isNotNull())
+    keys = keys.select(*ENTRY_KEY, *[F.lit(None).cast(kinds[c]).alias(c) for c in cols[len(ENTRY_KEY):]],
+                       F.lit(True).alias("_done"))
+    rows = entries.select(*cols, F.lit(False).alias("_done")).unionByName(keys)
+    female, male = VARIANT_FIELDS
+    place = F.when(~F.col("_done"), F.struct("entry_idx", "variant_idx"))
+    per_field = {name: (F.max((F.col("field") == field) & F.col("_done")), F.min(F.when(F.col("field") == field, place)))
+                 for name, field in (("female", female), ("male", male))}
+    g = rows.groupBy(*GROUP_KEY).agg(
+        _last(female).alias("female"), _last(male).alias("male"),
+        *[x.alias(f"_{name}_{kind}") for name, both in per_field.items() for x, kind in zip(both, ("done", "first"))])
+    left = lambda name, col: F.when(~F.coalesce(F.col(f"_{name}_done"), F.lit(False)), F.col(col))
+    return g.select(*GROUP_KEY, left("female", "female").alias("female"), left("male", "male").alias("male"),
+                    F.least(left("female", "_female_first"), left("male", "_male_first")).alias("first"))
+
+
 def _is_dedup(f, m):
     return f.isNotNull() & m.isNotNull() & (f.source_text == m.source_text)
 
 
-def plan_units(pending: DataFrame, grouped: DataFrame | None = None) -> DataFrame:
+def plan_units(pending: DataFrame | None, grouped: DataFrame | None = None) -> DataFrame:
     """A2: units to translate.  An identical female/male pair becomes one female unit
     marked ``is_dedup``; otherwise each present variant is a unit.
 

@@ -11,8 +11,9 @@ reply that does not parse (the reference retries it as well, because its batch f
 parses inside the retry loop) fails its attempt too; as the parse runs on the JVM
 (``replies``), such batches are called again in the next round.  Attempts add up over rounds,
 so a batch is called at most ``max_attempts`` times.  Each round's replies are
-written to the shared folder before they are parsed, so lazy re-evaluation never repeats a
-paid call.  ``parallelism`` (default: the cluster's cores) is the number of tasks per round,
+parsed as they come and written to the shared folder, so lazy re-evaluation never repeats a
+paid call.  Requests are not written: each round builds those that it calls, so they must come
+out the same each time (as ``requests.build_requests`` over batched units does).  ``parallelism`` (default: the cluster's cores) is the number of tasks per round,
 so ``parallelism * in_flight`` bounds the calls in flight and ``calls_per_second`` their
 rate over all tasks; batches are hash-spread over the tasks by id.  With ``in_flight``
 above 1, ``fn`` is called from several threads.
@@ -23,12 +24,13 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schemas import RESPONSES
-from ..session import materialize, settings
+from ..session import TEXT_CODEC, materialize, settings
 from .calls import call_many
 from .replies import STATUS_OK, envelope_text, parse_replies
 
@@ -38,6 +40,8 @@ BACKOFF_BASE_SECONDS = 2.0   # wait base ** attempt between attempts: 2 s, then
 # ------------------------------------------------------------------------------------
 
 REQUEST_FIELDS = ("batch_id", "n", "prompt", "provider", "model", "body", "texts")
+#: Column of a request that goes on to its result and that ``fn`` does not see.
+UNITS = "units"
 
 
 #: Requests that reach a task's Python together, and replies that leave it together.  A request
@@ -51,33 +55,35 @@ def _call_round(requests: DataFrame, fn_factory: Callable[[], Callable[[dict], s
                 backoff_base: float, in_flight: int, calls_per_second: float | None) -> DataFrame:
     """One reply per request, whose column ``used`` counts the attempts of earlier rounds."""
     cols = [c for c in REQUEST_FIELDS if c in requests.columns] + ["used"]
+    kept = [UNITS] if UNITS in requests.columns else []
+    schema = T.StructType([*RESPONSES.fields, *(requests.schema[c] for c in kept)])
 
     def records(batches):
-        for pdf in batches:
-            for rec in pdf.to_dict("records"):
-                if "texts" in rec and rec["texts"] is not None:
-                    rec["texts"] = list(rec["texts"])
+        for batch in batches:
+            for i, rec in enumerate(batch.select(cols).to_pylist()):
                 rec["attempt"] = rec.pop("used") + 1
-                yield rec
+                yield rec | {UNITS: [batch.column(c).slice(i, 1) for c in kept]}
 
     def frame(done):
-        ids, n, attempts, raw, errors = zip(*done)
-        return pd.DataFrame({"batch_id": pd.Series(ids, dtype="int64"), "n": pd.Series(n, dtype="int32"),
-                             "attempt": pd.Series(attempts, dtype="int32"),
-                             "raw": pd.Series(raw, dtype=object), "error": pd.Series(errors, dtype=object)})
+        recs, raw, errors = zip(*done)
+        return pa.RecordBatch.from_arrays(
+            [*(pa.array([r[c] for r in recs], t) for c, t in (("batch_id", pa.int64()), ("n", pa.int32()),
+                                                             ("attempt", pa.int32()))),
+             pa.array(raw, pa.string()), pa.array(errors, pa.string()),
+             *(pa.concat_arrays([r[UNITS][k] for r in recs]) for k in range(len(kept)))], names=schema.names)
 
     def run(batches):
-        done = []
-        for rec, raw, error in call_many(records(batches), fn_factory(), in_flight, max_attempts,
-                                         backoff_base, calls_per_second):
-            done.append((rec["batch_id"], rec["n"], rec["attempt"], raw, error))
+        fn, done = fn_factory(), []
+        seen = lambda rec: fn({k: v for k, v in rec.items() if k != UNITS})
+        for reply in call_many(records(batches), seen, in_flight, max_attempts, backoff_base, calls_per_second):
+            done.append(reply)
             if len(done) == REPLIES_AT_ONCE:
                 yield frame(done)
                 done = []
         if done:
             yield frame(done)
 
-    return requests.select(*cols).mapInPandas(run, RESPONSES)
+    return requests.select(*cols, *kept).mapInArrow(run, schema)
 
 
 def run_batches(requests: DataFrame, fn_factory: Callable[[], Callable[[dict], str]],
@@ -85,22 +91,19 @@ def run_batches(requests: DataFrame, fn_factory: Callable[[], Callable[[dict], s
                 envelope: str | None = None, parallelism: int | None = None, in_flight: int = 1,
                 calls_per_second: float | None = None) -> DataFrame:
     """Call every batch, retrying failed ones; return one row per batch:
-    (batch_id, n, attempts, status, error, items).  ``status`` is ``ok`` or the last
+    (batch_id, n, attempts, status, error, items), and the ``units`` of ok batches if the
+    requests have them.  ``status`` is ``ok`` or the last
     failure reason (``error`` for an exception, else the parse status)."""
     if in_flight < 1:
         raise ValueError("in_flight must be at least 1")
-    # persisted once: every round reads the same prompts, and they are the audit record
-    # of what was sent
-    requests = materialize(requests, "requests")
     # calls in flight = tasks of a round * in_flight; batches are spread by id over that many tasks
     tasks = parallelism or requests.sparkSession.sparkContext.defaultParallelism
     rate = calls_per_second / tasks if calls_per_second else None
     todo = requests.withColumn("used", F.lit(0))
     finished: list[DataFrame] = []
     for number in range(1, max_attempts + 1):  # each round uses up an attempt of every batch left
-        with settings(todo.sparkSession, FEW_ROWS):
-            replies = materialize(_call_round(todo.repartition(tasks, "batch_id"), fn_factory, max_attempts,
-                                              backoff_base, in_flight, rate), f"replies-{number}")
+        replies = _call_round(todo.repartition(tasks, "batch_id"), fn_factory, max_attempts,
+                              backoff_base, in_flight, rate)
         if envelope:
             text, env_status = envelope_text(envelope)
             replies = replies.withColumn("reply", text).withColumn(
@@ -108,17 +111,21 @@ def run_batches(requests: DataFrame, fn_factory: Callable[[], Callable[[dict], s
         else:
             replies = replies.withColumn("reply", F.col("raw")).withColumn(
                 "status", F.when(F.col("error").isNotNull(), F.lit("error")))
-        parsed = materialize(parse_replies(replies, "reply", "n").select(
-            "batch_id", "n", F.col("attempt").alias("attempts"), "status", "error", "items"),
-            f"parsed-{number}")
+        ok_units = [F.when(F.col("status") == STATUS_OK, F.col(UNITS)).alias(UNITS)] if UNITS in replies.columns else []
+        with settings(todo.sparkSession, FEW_ROWS):
+            parsed = materialize(parse_replies(replies, "reply", "n").select(
+                "batch_id", "n", F.col("attempt").alias("attempts"), "status", "error", "items", *ok_units),
+                f"replies-{number}", codec=TEXT_CODEC)
         again = (F.col("status") != STATUS_OK) & (F.col("attempts") < max_attempts)
         finished.append(parsed.filter(~again))
-        left = parsed.filter(again).select("batch_id", F.col("attempts").alias("used"))
-        if number == max_attempts or left.isEmpty():
+        if number == max_attempts or parsed.filter(again).isEmpty():
             break
+        # written, so that its true size decides how it is joined with the requests
+        left = materialize(parsed.filter(again).select("batch_id", F.col("attempts").alias("used")), "again")
         if backoff_base:
             time.sleep(backoff_base ** number)
-        todo = requests.join(left, "batch_id")
+        # only the units of these batches are read and moved again
+        todo = requests.join(left, "batch_id", "left_semi").join(left, "batch_id")
     out = finished[0]
     for f in finished[1:]:
         out = out.unionByName(f)

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import ENTRY_KEY
+from ..session import TEXT_CODEC
 from .dedup import expand_dedup
 from .replies import explode_items
 from .resume import normalize_ids
@@ -25,9 +26,13 @@ LOG_COLUMNS = ("run_id", "batch_id", "pos", "variant_idx", "filepath", "string_k
 
 def records_from_results(units: DataFrame, results: DataFrame, run_id: str) -> DataFrame:
     """J4 + J3: zip each ok batch with its units by (batch_id, pos), then add the male
-    copy of every deduped pair.  Returns log rows with ``status = 'translated'``."""
-    items = explode_items(results)
-    zipped = units.join(items, ["batch_id", "pos"])
+    copy of every deduped pair.  Returns log rows with ``status = 'translated'``.  Results
+    that carry their units are zipped in place, without a join."""
+    if "units" in results.columns:
+        pairs = results.select("batch_id", F.explode(F.arrays_zip("units", "items")).alias("z"))
+        zipped = pairs.select("batch_id", "z.units.*", F.col("z.items").alias("translated_text"))
+    else:
+        zipped = units.join(explode_items(results), ["batch_id", "pos"])
     expanded = expand_dedup(zipped)
     return expanded.select(
         F.lit(run_id).alias("run_id"), F.col("batch_id").cast("long").alias("batch_id"),
@@ -47,7 +52,8 @@ def preview_records(entries: DataFrame, run_id: str) -> DataFrame:
 
 def append_log(records: DataFrame, log_path: str) -> None:
     """K2: append new rows only, one partition directory per run."""
-    records.select(*LOG_COLUMNS).write.mode("append").partitionBy("run_id").parquet(log_path)
+    (records.select(*LOG_COLUMNS).write.mode("append").option("compression", TEXT_CODEC)
+            .partitionBy("run_id").parquet(log_path))
 
 
 def run_rank(run_id: str = "run_id"):

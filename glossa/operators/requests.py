@@ -80,14 +80,25 @@ def body_for(provider_col, model_col, prompt_col) -> F.Column:
              .otherwise(body_column("anthropic", resolved, prompt_col)))
 
 
+#: Columns of a unit that become part of its log record, beside those of the prompt.
+RECORD_FIELDS = ("filepath", "string_id", "variant_idx", "is_dedup")
+
+
 def build_requests(units: DataFrame, source_lang: str, target_lang: str, provider: str,
-                   model: str, title: str = DEFAULT_TITLE) -> DataFrame:
-    """requests(batch_id, n, prompt, provider, model, body, texts)."""
+                   model: str, title: str = DEFAULT_TITLE, parallelism: int | None = None,
+                   keep_units: bool = False) -> DataFrame:
+    """requests(batch_id, n, prompt, provider, model, body, texts).
+
+    The units are spread by batch over the tasks that make the calls (see ``infer``), so
+    each text moves once; the prompt and body, which repeat it, are built where they are
+    used.  ``keep_units`` adds the batch's units in order, which the results carry on."""
     from ..functions.models import check_provider
     check_provider(provider)
-    b = batch_items(units)
+    tasks = parallelism or units.sparkSession.sparkContext.defaultParallelism
+    b = batch_items(units.repartition(tasks, "batch_id"), RECORD_FIELDS if keep_units else ())
     prompt = prompt_column(source_lang, target_lang, title)
     return b.select(
+        *([F.col("items").alias("units")] if keep_units else []),
         "batch_id", "n", prompt.alias("prompt"), F.lit(provider).alias("provider"),
         resolve_model(F.lit(provider), F.lit(model)).alias("model"),
         F.transform("items", lambda x: x.source_text).alias("texts"),

@@ -22,12 +22,13 @@ def normalize_ids(df: DataFrame) -> DataFrame:
                                         .otherwise(F.col("string_id")))
 
 
-def done_keys(log: DataFrame, translated_only: bool = True) -> DataFrame:
-    """Distinct entry keys present in the log.  With ``translated_only`` the preview
+def done_keys(log: DataFrame, translated_only: bool = True, distinct: bool = True) -> DataFrame:
+    """Distinct entry keys present in the log (``distinct=False``: one per row).  With ``translated_only`` the preview
     rows (``status = 'preview'``) do not count as done (T1)."""
     if translated_only and "status" in log.columns:
         log = log.filter(F.col("status") == "translated")
-    return normalize_ids(log.select(*ENTRY_KEY)).distinct()
+    keys = normalize_ids(log.select(*ENTRY_KEY))
+    return keys.distinct() if distinct else keys
 
 
 def pending(entries: DataFrame, log: DataFrame | None, translated_only: bool = True) -> DataFrame:

@@ -20,9 +20,9 @@ from pyspark.sql import functions as F
 
 from ..functions.models import check_provider, validate_settings
 from ..operators import apply as apply_op
-from ..operators import batching, dedup, gates, infer, records, requests, resume
+from ..operators import batching, dedup, gates, infer, records, requests
 from ..schemas import DEFAULT_BATCH_SIZE, TRANSLATION_LOG
-from ..session import materialize, scratch_scope
+from ..session import scratch_scope
 
 
 def new_run_id(now: _dt.datetime | None = None) -> str:
@@ -39,13 +39,12 @@ class Translation:
 
 
 def plan_batches(entries: DataFrame, log: DataFrame | None, batch_size: int,
-                 partitions: int | None = None) -> DataFrame:
+                 partitions: int | None = None, keep_range: bool = False) -> DataFrame:
     """J1 -> A1/A2 -> W1: the units still to translate, numbered into batches."""
     validate_settings(batch_size)
     done = records.keep_translated(log) if log is not None else None
-    todo = resume.pending(entries, done)
-    units = dedup.plan_units(todo)
-    return batching.assign_batches(units, batching.unit_order(), batch_size, partitions)
+    units = dedup.plan_units(None, dedup.group_pending(entries, done))
+    return batching.assign_batches(units, batching.unit_order(), batch_size, partitions, keep_range)
 
 
 def translate(entries: DataFrame, log: DataFrame | None,
@@ -68,7 +67,7 @@ def translate(entries: DataFrame, log: DataFrame | None,
     if units.isEmpty():
         return None
     check_provider(provider)
-    reqs = requests.build_requests(units, source_lang, target_lang, provider, model, title)
+    reqs = requests.build_requests(units, source_lang, target_lang, provider, model, title, parallelism, True)
     call = infer.run_frontier if stop_on_failure else infer.run_batches
     results = call(reqs, fn_factory, max_attempts, backoff_base, envelope, parallelism,
                    in_flight=in_flight, calls_per_second=calls_per_second)
@@ -144,8 +143,8 @@ def run_translation_job(entries: DataFrame, log_path: str,
 
     A crash (even of the driver) loses at most the wave in flight: rerunning the job
     resumes from the log (J1), like the reference's log rewrite after every batch but
-    with appends only.  The batched units are written once, partitioned by wave, so
-    each wave reads only its own folder (partition pruning); the driver loop is over
+    with appends only.  The batched units are written once, in order, and a wave reads
+    only the files of its ranges (filter pushdown); the driver loop is over
     waves, never over rows.  ``n_waves`` sizes the waves by count instead.  Returns
     the number of waves run.  With ``metrics_path``, counters of the run (D11: units,
     deduped pairs, ok/failed batches, records, elapsed seconds) are appended there as
@@ -176,23 +175,25 @@ def _run_waves(entries, log_path, fn_factory, source_lang, target_lang, provider
     spark = entries.sparkSession
     run_id = run_id or new_run_id()
     log = open_log(spark, log_path, log_buckets)
-    units = plan_batches(entries, log.for_resume(entries), batch_size)
+    units = plan_batches(entries, log.for_resume(entries), batch_size, keep_range=True)
     top = units.agg(F.max("batch_id").alias("m")).first()["m"]
     if top is None:
         return 0
     check_provider(provider)
     if n_waves:
         wave_batches = -(-(top + 1) // n_waves)
-    by_wave = materialize(units.withColumn("wave", F.floor(F.col("batch_id") / wave_batches)
-                                           .cast("long")), "waves", partition_by=["wave"])
+    # a wave is a stretch of the ordered units: its first and last range, one row per wave
+    wave_of = F.floor(F.col("batch_id") / wave_batches).cast("long")
+    spans = {r["w"]: (r["lo"], r["hi"]) for r in units.groupBy(wave_of.alias("w")).agg(
+        F.min("_range").alias("lo"), F.max("_range").alias("hi")).collect()}
     if metrics_path:
-        plan = by_wave.agg(F.count(F.lit(1)).alias("u"), F.count_if("is_dedup").alias("d")).first()
+        plan = units.agg(F.count(F.lit(1)).alias("u"), F.count_if("is_dedup").alias("d")).first()
         metrics += [("plan", "units", plan["u"]), ("plan", "deduped_pairs", plan["d"]),
                     ("plan", "batches", top + 1)]
     waves = 0
     for w in range(0, top // wave_batches + 1):
-        wave = by_wave.filter(F.col("wave") == w).drop("wave")
-        reqs = requests.build_requests(wave, source_lang, target_lang, provider, model, title)
+        wave = units.filter((wave_of == w) & F.col("_range").between(*spans[w])).drop("_range")
+        reqs = requests.build_requests(wave, source_lang, target_lang, provider, model, title, parallelism, True)
         call = infer.run_frontier if stop_on_failure else infer.run_batches
         results = call(reqs, fn_factory, max_attempts, backoff_base, envelope, parallelism,
                        in_flight=in_flight, calls_per_second=calls_per_second)
@@ -230,7 +231,7 @@ def failed_batches(results: DataFrame, units: DataFrame, run_id: str) -> DataFra
     """One row per batch that failed all attempts: its files, attempts, status and
     whole error text.  Its strings stay pending for the next run."""
     bad = results.filter(F.col("status") != "ok").select("batch_id", "n", "attempts", "status", "error")
-    files = units.groupBy("batch_id").agg(F.sort_array(F.collect_set("filepath")).alias("files"))
+    files = units.join(bad.select("batch_id"), "batch_id", "left_semi").groupBy("batch_id").agg(F.sort_array(F.collect_set("filepath")).alias("files"))
     return bad.join(files, "batch_id").select(F.lit(run_id).alias("run_id"), "*")
 
 

@@ -114,7 +114,12 @@ def settings(spark: SparkSession, values: dict[str, str]):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
+#: Codec of tables that hold texts, about half as large as with Spark's default.
+TEXT_CODEC = "zstd"
+
+
+def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None,
+                codec: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     This cuts lineage so that (a) side effects upstream (paid inference calls) are never
@@ -125,6 +130,8 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
     spark = df.sparkSession
     path = scratch_path(spark, name)
     writer = df.write.mode("errorifexists")
+    if codec:
+        writer = writer.option("compression", codec)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from ..operators.records import LOG_COLUMNS, LOG_ORDER, keep_translated, run_rank
 from ..operators.resume import normalize_ids, pending
 from ..schemas import ENTRY_KEY, TRANSLATION_LOG
+from ..session import TEXT_CODEC
 from . import manifests
 
 DEFAULT_BUCKETS = 256
@@ -80,7 +81,8 @@ class BucketedLog:
         """One generation: rows by bucket, large buckets over several files and tasks."""
         name = uuid.uuid4().hex
         dealt = rows.select(*LOG_COLUMNS).withColumn("bucket", bucket_of(n_buckets))
-        dealt.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(f"{self.root}/gen={name}")
+        (dealt.hint("rebalance", "bucket").write.option("compression", TEXT_CODEC)
+              .partitionBy("bucket").parquet(f"{self.root}/gen={name}"))
         return name
 
     def _replace(self, change) -> State:
