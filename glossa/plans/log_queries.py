@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import apply as ap
 from ..operators import extract, infer, requests
-from ..session import scratch_path
+from ..session import TEXT_CODEC, scratch_path
 from ..sinks.bucketed_log import BucketedLog
 from . import oracles as O
 from . import pipeline
@@ -190,7 +190,8 @@ def q_stream_failing_starts(spark, sf_dir):
     docs = json_docs(spark, sf_dir)
     for start, failing in enumerate((lambda r: r["batch_id"] % 3 > 0, lambda r: r["batch_id"] % 4 == 1, lambda r: False)):
         if start < 2:
-            docs.filter(F.col("doc_id") % 2 == start).select("filepath", "content").write.mode("append").parquet(src)
+            docs.filter(F.col("doc_id") % 2 == start).select("filepath", "content").write.mode("append") \
+                .option("compression", TEXT_CODEC).parquet(src)
         run_incremental(spark, src, path, ckpt, pipeline.failing_translator(failing), "English", "Kazakh",
                         source="parquet", backoff_base=0, log_buckets=64)
     return BucketedLog(spark, path).read().select(

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..operators.records import run_rank
 from ..schemas import LOG_CSV_COLUMNS
-from ..session import exists, write_small_file
+from ..session import TEXT_CODEC, exists, write_small_file
 from . import manifests
 
 CSV_WRITE_OPTIONS = {
@@ -128,5 +128,5 @@ def read_published(spark: SparkSession, root: str, number: int | None = None) ->
 def write_published(df: DataFrame, root: str, expected: int | None = None) -> int:
     """Write ``df`` as a new version of ``root`` and publish it; returns its number."""
     version = uuid.uuid4().hex
-    df.write.mode("errorifexists").parquet(f"{root.rstrip('/')}/version={version}")
+    df.write.mode("errorifexists").option("compression", TEXT_CODEC).parquet(f"{root.rstrip('/')}/version={version}")
     return publish_version(df.sparkSession, root, version, expected)

@@ -19,9 +19,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.paths import is_locale_path, relative_to
-from ..operators import extract, resume
+from ..operators import dedup, extract
 from ..plans import pipeline
-from ..session import materialize, scratch_scope
+from ..session import TEXT_CODEC, materialize, scratch_scope
 from ..sinks.bucketed_log import open_log
 from ..sinks.files import read_published, write_published
 
@@ -71,6 +71,19 @@ def waiting(spark: SparkSession, log_path: str) -> DataFrame | None:
     return None if left is None or left.isEmpty() else left
 
 
+def still_waiting(entries: DataFrame, t: pipeline.Translation | None, failed: DataFrame | None) -> DataFrame:
+    """The entries to try again: those of the units whose batch failed (both variants of a
+    deduped pair), taken from the units by the failed ids, so no other text is moved.  An entry
+    without path or string key waits for ever, since it equals no key of the log."""
+    columns = entries.columns
+    lost = entries.filter("filepath is null or string_key is null").distinct()
+    if t is None or failed is None:
+        return lost
+    units = t.units.join(failed.select("batch_id"), "batch_id", "left_semi") \
+                   .filter("filepath is not null and string_key is not null")
+    return dedup.expand_dedup(units).select(*columns).unionByName(lost)
+
+
 def run_incremental(spark: SparkSession, source_dir: str, log_path: str, checkpoint: str,
                     fn_factory: Callable[[], Callable[[dict], str]], source_lang: str,
                     target_lang: str, provider: str = "anthropic",
@@ -93,8 +106,9 @@ def run_incremental(spark: SparkSession, source_dir: str, log_path: str, checkpo
                 return
             entries = again if new is None else new if again is None else \
                 new.unionByName(again.select(*new.columns))
-            # read and parsed once per micro-batch
-            entries = materialize(entries.distinct() if again is not None else entries, "stream-entries")
+            # read and parsed once per micro-batch; what is waiting may be among the new rows,
+            # too (a replayed micro-batch), which changes no unit
+            entries = materialize(entries, "stream-entries", codec=TEXT_CODEC)
             log = open_log(spark, log_path, log_buckets)
             # only the log rows of files in this micro-batch can match: the log is reduced to
             # its buckets (or paths) before keys are de-duplicated for the anti join
@@ -103,14 +117,14 @@ def run_incremental(spark: SparkSession, source_dir: str, log_path: str, checkpo
             failed = None
             if t is not None:
                 log.append(t.records)
-                failed = pipeline.failed_batches(t.results, t.units, run_id)
+                # written, so that its true size decides how it is joined with the units
+                failed = materialize(pipeline.failed_batches(t.results, t.units, run_id), "failed")
             lasting = failed is not None and not failed.isEmpty()
             if lasting:
                 failed.write.mode("append").parquet(pipeline.failures_path(log_path))
             if lasting or again is not None:
                 # the checkpoint moves on, so what is left is kept for the next micro-batch
-                left = resume.pending(entries, log.for_entries(entries))
-                write_published(left, retry_path(log_path))
+                write_published(still_waiting(entries, t, failed), retry_path(log_path))
 
     def one_batch(batch: DataFrame, epoch_id: int) -> None:
         # ids of one start sort by epoch, those of a later start come after them

@@ -46,3 +46,25 @@ def test_failed_strings_are_retried(spark, tmp_path):
     run()
     run()
     assert sorted(r.source_text for r in spark.read.parquet(log).collect()) == ["t-a", "t-b", "t-c"]
+
+
+def test_what_waits_is_taken_from_the_failed_batches(spark, tmp_path):
+    """Both variants of a deduped pair wait; an entry that a later one with its key replaces
+    does not, for it is never sent."""
+    from glossa.streaming.incremental import waiting
+    src, log, ckpt = (str(tmp_path / x) for x in ("src", "log", "ckpt"))
+    flag = tmp_path / "down"
+    flag.write_text("x")
+    entry = lambda k, t, **more: {"secondaryKey": k, "femaleVariant": t} | more
+    write_docs(src, {"a.json.json": nested([entry("a", "t-a")]),
+                     "b.json.json": nested([entry("b", "old"), entry("b", "t-b", maleVariant="t-b")])})
+    run = lambda: run_incremental(spark, src, log, ckpt, pipeline.failing_translator(
+        lambda req: flag.exists() and "t-b" in req["texts"]), "E", "K", batch_size=1, backoff_base=0)
+    run()
+    assert sorted((r.field, r.source_text) for r in waiting(spark, log).collect()) == [
+        ("femaleVariant", "t-b"), ("maleVariant", "t-b")]
+    flag.unlink()
+    run()
+    assert waiting(spark, log) is None
+    assert sorted((r.field, r.source_text) for r in spark.read.parquet(log).collect()) == [
+        ("femaleVariant", "t-a"), ("femaleVariant", "t-b"), ("maleVariant", "t-b")]
