@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import few_rows_at_once
+
 #: Distinct words a worker remembers before it starts anew.
 CACHE_WORDS = 200_000
 #: Words per merge batch.
@@ -264,6 +266,7 @@ def _schema(df: DataFrame, keep: list[str], *extra: str) -> str:
 
 
 def _texts(docs: DataFrame, keep: list[str], text_col: str) -> DataFrame:
+    few_rows_at_once(docs.sparkSession)
     return docs.select(*keep, F.col(text_col).cast("string").alias("__text"))
 
 

@@ -114,6 +114,22 @@ def settings(spark: SparkSession, values: dict[str, str]):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+#: Rows of texts that go to a Python worker at once.
+ROWS_AT_ONCE = 512
+_ROWS_AT_ONCE_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def few_rows_at_once(spark: SparkSession) -> None:
+    """Bound the Arrow batches of this session to ROWS_AT_ONCE rows; a smaller bound stays.
+
+    Spark's default of 10,000 rows holds all texts of a task at once, in the executor's
+    native memory and again in Python.  Plans read the setting when they run, which for a
+    returned DataFrame is after the operator, so it stays set."""
+    now = int(spark.conf.get(_ROWS_AT_ONCE_CONF))
+    if now <= 0 or now > ROWS_AT_ONCE:
+        spark.conf.set(_ROWS_AT_ONCE_CONF, str(ROWS_AT_ONCE))
+
+
 #: Codec of tables that hold texts, about half as large as with Spark's default.
 TEXT_CODEC = "zstd"
 

@@ -72,3 +72,18 @@ def test_run_and_empty_table(spark, tmp_path):
     _corpus(spark).limit(0).write.parquet(str(empty / "documents.parquet"))
     assert corpus_pipeline.run(spark, str(empty)).count() == 0
     assert language_id.MIN_SCORE < 0.5
+
+
+def test_texts_reach_python_once_and_few_at_a_time(spark):
+    """The language stage held 10,000 rows at once, with every text twice."""
+    rows_at_once = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(rows_at_once)
+    try:
+        for given, held in (("10000", "512"), ("0", "512"), ("32", "32")):
+            spark.conf.set(rows_at_once, given)
+            accepted = corpus_pipeline.language(spark, _corpus(spark), "")
+            assert spark.conf.get(rows_at_once) == held
+        plan = accepted._jdf.queryExecution().analyzed().toString()
+        assert "MapInArrow" in plan and "__body" not in plan and "__text" not in plan
+    finally:
+        spark.conf.set(rows_at_once, before)
