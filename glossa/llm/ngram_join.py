@@ -27,10 +27,13 @@ d <= k(n) whichever of the two n is.
 
 **Pairs.**  Sets that share a signature are checked against the least set of the group,
 each set only against the leader it shares most with, not all against all.  Links give
-components.  Then only groups that still hold several components are searched on: all
-pairs between components in groups up to ``GROUP``, LEADERS members (of the smallest
-components) per round in larger ones, until no group is left.  Groups with the same members
-(the parts of one shared passage) are searched once.
+components.  Then only groups that still hold several components are searched on.  Those of
+more than ``CROWD`` sets first check each set against HEADS members drawn by chance, alike in
+all groups, so that a group of near copies whose least set is unlike the others becomes one
+component before its pairs are formed.  Then come all pairs between components in groups up
+to ``GROUP``, LEADERS members (of the smallest components) per round in larger ones, until no
+group is left.  Groups with the same members (the parts of one shared passage) are searched
+once, and a set that has fewer open signatures than a linked pair must share makes no pair.
 
 **Sketches.**  A class carries one bit per hash bucket: whether the set has an odd number of
 elements in it.  Two sets differ in at least as many elements as their sketches differ in
@@ -59,7 +62,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from ..session import materialize
+from ..session import few_rows_at_once, materialize
 from .shingles import WIDTH, mix, shingle_sets
 
 PERCENT = 75
@@ -68,6 +71,8 @@ PERCENT = 75
 SMALL, SMALL_PARTS, STRETCH = 11, 5, 4
 #: Groups up to this size are searched in full; larger ones by LEADERS a round.
 GROUP, LEADERS = 512, 512
+#: Larger groups are thinned by HEADS members each before their pairs are searched.
+CROWD, HEADS = 16, 8
 #: Bits of a set's parity sketch, in longs of 64.
 SKETCH_BITS = 512
 SKETCH = [f"s{i}" for i in range(SKETCH_BITS // 64)]
@@ -417,16 +422,17 @@ def _with_ids(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
                 .drop(*(f"{side}_{s}" for side in "ab" for s in SKETCH))
 
 
-def _enough(percent: int) -> Column:
-    """Whether two sets that meet in ``c`` signatures may link, by their sizes.
+def _enough(percent: int, c: Column | None = None) -> Column:
+    """Whether two sets that meet in ``c`` signatures (or fewer) may link, by their sizes.
 
     Where both fall back to frequent parts and their slacks add up to more than 0, the
     frequent parts that they share are no meetings.  Linked sets with r_a and r_b rare
     shingles then meet in each rare one they share, (r_a + r_b - d) / 2 at least."""
+    c = F.col("c") if c is None else c
     differ = _differ(percent)
     slack = F.col("ha") + F.col("hb")
-    rare = (slack > 0) & (2 * (100 + percent) * F.col("c") >= slack)
-    return (F.least("la", "lb") < 0) | (F.col("c") >= F.least("la", "lb") - differ) | rare
+    rare = (slack > 0) & (2 * (100 + percent) * c >= slack)
+    return (F.least("la", "lb") < 0) | (c >= F.least("la", "lb") - differ) | rare
 
 
 def _residual(groups: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
@@ -449,6 +455,29 @@ def _residual(groups: DataFrame, classes: DataFrame, labels: DataFrame) -> DataF
                .select("sig", "slack", "key", "comp", "members", "times")
 
 
+def _crowded(rest: DataFrame) -> DataFrame:
+    """(ka, kb, c): the sets of crowded groups with those of their HEADS members that are in
+    other components, and the signatures (of these groups) that they meet in."""
+    crowd = rest.filter(F.col("members") > CROWD)
+    head = [F.min(F.struct(F.xxhash64("key", F.lit(i)).alias("h"), "key", "slack", "comp")) for i in range(HEADS)]
+    heads = crowd.groupBy("sig").agg(*(x.alias(f"h{i}") for i, x in enumerate(head))) \
+                 .select("sig", F.array_distinct(F.array(*(
+                     F.struct(*(F.col(f"h{i}.{c}").alias(c) for c in ("key", "slack", "comp"))) for i in range(HEADS)))).alias("heads"))
+    met = crowd.join(heads, "sig") \
+               .withColumn("heads", F.expr("filter(heads, h -> h.comp != comp and h.key != key and h.slack + slack <= 0)")) \
+               .select("key", "times", F.explode("heads.key").alias("head"))
+    return met.groupBy(F.least("key", "head").alias("ka"), F.greatest("key", "head").alias("kb"), "key") \
+              .agg(F.sum("times").alias("c")).groupBy("ka", "kb").agg(F.max("c").alias("c"))
+
+
+def _relabelled(rest: DataFrame, labels: DataFrame) -> DataFrame:
+    """The open groups with the components of ``labels``, without those that hold one only."""
+    rows = rest.join(labels.select(F.col("id").alias("comp"), F.col("comp").alias("now")), "comp", "left") \
+               .withColumn("comp", F.coalesce("now", "comp")).select(*rest.columns)
+    several = rows.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo != hi")
+    return rows.join(several.select("sig"), "sig", "left_semi")
+
+
 def similar_classes(docs: DataFrame, classes: DataFrame, levels: np.ndarray, percent: int = PERCENT) -> DataFrame:
     """(id, comp) of the class representatives that link with another class."""
     found = postings(docs, levels, percent)
@@ -469,10 +498,33 @@ def similar_classes(docs: DataFrame, classes: DataFrame, levels: np.ndarray, per
     counts_whole = True
     groups = groups.groupBy("sig", "key").agg(F.min("slack").alias("slack"))
     labels = components(edges)
+    traits = classes.filter("n >= 3").select("key", "n", "least", "hot", *SKETCH)
+
+    def side(rows: DataFrame, x: str, *more: str) -> DataFrame:
+        return rows.join(traits, "key").select(
+            "sig", F.col("key").alias(f"k{x}"), F.col("comp").alias(f"c{x}"), F.col("slack").alias(f"w{x}"),
+            F.col("least").alias(f"l{x}"), F.col("hot").alias(f"h{x}"), F.col("own").alias(f"own{x}"), *more, *_sketch_as(x))
+
+    def check(pairs: DataFrame) -> bool:
+        """Verify the pairs that are not yet verified; whether any of them links."""
+        nonlocal done, edges, labels
+        pairs = materialize(_oriented(pairs).distinct().join(done, ["a", "b"], "left_anti"), "pairs")
+        if pairs.isEmpty():
+            return False
+        more = materialize(_oriented(verify(pairs, docs, percent)), "links")
+        done = done.unionByName(pairs)
+        if more.isEmpty():
+            return False
+        edges = edges.unionByName(more)
+        labels = components(edges)
+        return True
+
     while True:
         rest = materialize(_residual(groups, classes, labels), "open-groups")
         if rest.isEmpty():
             return labels
+        if counts_whole and check(_with_ids(_crowded(rest), classes, percent).filter(_enough(percent))):
+            rest = materialize(_relabelled(rest, labels), "open-groups")
         large = rest.filter(F.col("members") > GROUP)
         # members of small components lead: once they are compared with all others, a group
         # around one large component is finished
@@ -480,13 +532,13 @@ def similar_classes(docs: DataFrame, classes: DataFrame, levels: np.ndarray, per
         rank = F.row_number().over(W.partitionBy("sig").orderBy("size", "comp", "key"))
         heads = large.join(sizes, ["sig", "comp"]).withColumn("r", rank).filter(F.col("r") <= LEADERS)
         heads = materialize(heads.select(*rest.columns), "heads")
-        sketches = classes.filter("n >= 3").select("key", "n", *SKETCH)
-        x = rest.filter(F.col("members") <= GROUP).unionByName(heads).join(sketches, "key") \
-                .select("sig", F.col("key").alias("ka"), F.col("comp").alias("ca"), F.col("slack").alias("wa"),
-                        "members", "times", *_sketch_as("a"))
-        y = rest.join(sketches, "key").select("sig", F.col("key").alias("kb"), F.col("comp").alias("cb"),
-                                              F.col("slack").alias("wb"), *_sketch_as("b"))
+        # a pair meets in no more signatures than either of its sets has left
+        own = rest.groupBy("key").agg(F.sum("times").alias("own"))
+        x = side(rest.filter(F.col("members") <= GROUP).unionByName(heads).join(own, "key"), "a", "members", "times")
+        y = side(rest.join(own, "key"), "b")
         other = F.expr(f"wa + wb <= 0 and ca != cb and ka != kb and (members > {GROUP} or ka < kb)")
+        if counts_whole:
+            other = other & _enough(percent, F.least("owna", "ownb"))
         meet = (x.join(y, "sig").filter(other & _may_link(percent))
                  .select(F.least("ka", "kb").alias("ka"), F.greatest("ka", "kb").alias("kb"), "members", "times")
                  .groupBy("ka", "kb").agg(F.sum("times").alias("c"), F.max("members").alias("members")))
@@ -495,13 +547,7 @@ def similar_classes(docs: DataFrame, classes: DataFrame, levels: np.ndarray, per
             # a linked pair shares so many of its emitted parts.  Pairs of a large group
             # pass as they are, for not all their groups are counted yet
             pairs = pairs.filter(_enough(percent) | (F.col("members") > GROUP))
-        pairs = materialize(_oriented(pairs).distinct().join(done, ["a", "b"], "left_anti"), "pairs")
-        if not pairs.isEmpty():
-            more = materialize(_oriented(verify(pairs, docs, percent)), "links")
-            done = done.unionByName(pairs)
-            if not more.isEmpty():
-                edges = edges.unionByName(more)
-                labels = components(edges)
+        check(pairs)
         counts_whole = False
         # a group searched in full is finished; a large one loses this round's leaders
         if heads.isEmpty():
@@ -514,6 +560,7 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """<id>, n_shingles, component_id per input row."""
     if percent < 75:
         raise ValueError("the bands and subsets are laid out for 75 per cent or more")
+    few_rows_at_once(docs.sparkSession)
     rows = docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text"))
     levels = frequency_levels(rows)
     keys = materialize(set_keys(rows, levels, percent), "set-keys")

@@ -388,6 +388,40 @@ def test_members_that_link_with_nobody(spark, monkeypatch):
         assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == expected
 
 
+def test_crowds_join_before_their_pairs_are_formed(spark, monkeypatch):
+    """Near copies of which each links with about half of the others: no single leader
+    links them all, but few members do, so most pairs are never formed."""
+    rnd = random.Random(4)
+    lines = [" ".join(f"w{i}x{j}" for j in range(9)) for i in range(40)]
+    texts = []
+    for i in range(70):
+        own = list(lines)
+        for at in rnd.sample(range(len(lines)), 2):
+            own[at] = " ".join(f"o{i}a{at}b{j}" for j in range(9))
+        texts.append((i, " ".join(own)))
+    monkeypatch.setattr(ngram_join, "FREQUENT", 1000)
+    made = Counter()
+
+    def counted(df, name, *more):
+        out = materialize(df, name, *more)
+        made[name] += out.count() if name == "pairs" else 0
+        return out
+
+    materialize = ngram_join.materialize
+    monkeypatch.setattr(ngram_join, "materialize", counted)
+    rows = ngram_join.link_documents(_docs(spark, texts)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == brute_components(texts)
+    assert made["pairs"] < 1000  # of 2,415
+
+
+def test_small_crowds_against_all_pairs(spark, monkeypatch):
+    for name, value in (("CROWD", 3), ("HEADS", 2), ("GROUP", 12), ("LEADERS", 6), ("FREQUENT", 16)):
+        monkeypatch.setattr(ngram_join, name, value)
+    texts = _near_texts()
+    rows = ngram_join.link_documents(_docs(spark, texts)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == brute_components(texts)
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.integers(0, 3000), st.integers(0, 300), st.integers(0, 300), st.integers(0, 2**32))
 def test_sketches_differ_in_no_more_bits_than_sets(n, drop, add, seed):
