@@ -457,7 +457,8 @@ def _residual(groups: DataFrame, classes: DataFrame, labels: DataFrame) -> DataF
 
 def _crowded(rest: DataFrame) -> DataFrame:
     """(ka, kb, c): the sets of crowded groups with those of their HEADS members that are in
-    other components, and the signatures (of these groups) that they meet in."""
+    other components, and the signatures (of these groups) that they meet in; of each set
+    with the HEADS that it meets most."""
     crowd = rest.filter(F.col("members") > CROWD)
     head = [F.min(F.struct(F.xxhash64("key", F.lit(i)).alias("h"), "key", "slack", "comp")) for i in range(HEADS)]
     heads = crowd.groupBy("sig").agg(*(x.alias(f"h{i}") for i, x in enumerate(head))) \
@@ -466,8 +467,10 @@ def _crowded(rest: DataFrame) -> DataFrame:
     met = crowd.join(heads, "sig") \
                .withColumn("heads", F.expr("filter(heads, h -> h.comp != comp and h.key != key and h.slack + slack <= 0)")) \
                .select("key", "times", F.explode("heads.key").alias("head"))
-    return met.groupBy(F.least("key", "head").alias("ka"), F.greatest("key", "head").alias("kb"), "key") \
-              .agg(F.sum("times").alias("c")).groupBy("ka", "kb").agg(F.max("c").alias("c"))
+    rank = F.row_number().over(W.partitionBy("key").orderBy(F.desc("c"), "head"))
+    return met.groupBy("key", "head").agg(F.sum("times").alias("c")) \
+              .withColumn("r", rank).filter(F.col("r") <= HEADS) \
+              .groupBy(F.least("key", "head").alias("ka"), F.greatest("key", "head").alias("kb")).agg(F.max("c").alias("c"))
 
 
 def _relabelled(rest: DataFrame, labels: DataFrame) -> DataFrame:
