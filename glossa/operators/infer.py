@@ -44,9 +44,10 @@ REQUEST_FIELDS = ("batch_id", "n", "prompt", "provider", "model", "body", "texts
 UNITS = "units"
 
 
-#: Requests that reach a task's Python together, and replies that leave it together.  A request
-#: holds its batch's texts several times over, so Spark's default of 10,000 rows would be a
-#: task's whole share of the job.
+#: Requests that reach a task's Python together, replies that leave it together and those that a
+#: scan of the written replies decodes together.  A request holds its batch's texts several times
+#: over, so Spark's default of 10,000 rows would be a task's whole share of the job; so would the
+#: 4,096 rows of a scan, as a reply holds its batch's texts and their translations.
 REQUESTS_AT_ONCE = REPLIES_AT_ONCE = 32
 FEW_ROWS = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(REQUESTS_AT_ONCE)}
 
@@ -115,7 +116,7 @@ def run_batches(requests: DataFrame, fn_factory: Callable[[], Callable[[dict], s
         with settings(todo.sparkSession, FEW_ROWS):
             parsed = materialize(parse_replies(replies, "reply", "n").select(
                 "batch_id", "n", F.col("attempt").alias("attempts"), "status", "error", "items", *ok_units),
-                f"replies-{number}", codec=TEXT_CODEC)
+                f"replies-{number}", codec=TEXT_CODEC, group_rows=REPLIES_AT_ONCE)
         again = (F.col("status") != STATUS_OK) & (F.col("attempts") < max_attempts)
         finished.append(parsed.filter(~again))
         if number == max_attempts or parsed.filter(again).isEmpty():

@@ -135,19 +135,24 @@ TEXT_CODEC = "zstd"
 
 
 def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None,
-                codec: str | None = None) -> DataFrame:
+                codec: str | None = None, group_rows: int | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     This cuts lineage so that (a) side effects upstream (paid inference calls) are never
     recomputed, and (b) columns derived from partition layout (``spark_partition_id``)
     stay fixed for every later pass.  Survives executor loss: the data lives in the
     shared folder, not in executor memory.
+
+    ``group_rows`` is for wide rows: Parquet row groups of at most as many.  A scan decodes
+    4,096 rows at once, but never beyond a row group, whatever session reads them later.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     writer = df.write.mode("errorifexists")
     if codec:
         writer = writer.option("compression", codec)
+    if group_rows:
+        writer = writer.option("parquet.block.row.count.limit", str(group_rows))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)

@@ -148,3 +148,15 @@ def test_a_task_holds_few_requests(spark):
     out = infer.run_batches(reqs, factory, 1, 0, parallelism=1).collect()
     assert len(out) == 600 and max(int(r["items"][0]) for r in out) <= 100
     assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+
+
+def test_a_scan_of_replies_decodes_few_rows(spark):
+    """A Parquet scan decodes up to 4,096 rows at once, but none beyond a row group; a reply
+    holds its batch's texts, so the groups hold few of them.  The results are whole."""
+    import pyarrow.parquet as pq
+    reqs = spark.range(0, 600, 1, 1).selectExpr("id as batch_id", "1 as n", "'p' as prompt", "array(cast(id as string)) as texts")
+    results = infer.run_batches(reqs, lambda: lambda req: json.dumps(req["texts"]), 1, 0, parallelism=1)
+    files = [pq.ParquetFile(f.removeprefix("file://")).metadata for f in results.inputFiles()]
+    rows = [m.row_group(i).num_rows for m in files for i in range(m.num_row_groups)]
+    assert sum(rows) == 600 and max(rows) <= infer.REPLIES_AT_ONCE
+    assert sorted((r.batch_id, r.items) for r in results.collect()) == [(i, [str(i)]) for i in range(600)]
