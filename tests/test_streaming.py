@@ -2,6 +2,8 @@
 
 import json
 
+import pytest
+
 from glossa.plans import pipeline
 from glossa.streaming.incremental import run_incremental
 from helpers import nested, write_docs
@@ -68,3 +70,31 @@ def test_what_waits_is_taken_from_the_failed_batches(spark, tmp_path):
     assert waiting(spark, log) is None
     assert sorted((r.field, r.source_text) for r in spark.read.parquet(log).collect()) == [
         ("femaleVariant", "t-a"), ("femaleVariant", "t-b"), ("maleVariant", "t-b")]
+
+
+@pytest.mark.parametrize("log_buckets", [None])
+def test_a_micro_batch_reads_few_replies_at_once(spark, tmp_path, monkeypatch, log_buckets):
+    """The log is appended from replies in small row groups (a scan decodes one whole group of up
+    to 4,096 rows), at the start that fails for half of the batches and at the next one."""
+    import pyarrow.parquet as pq
+
+    from glossa.operators import infer
+    from glossa.sinks.bucketed_log import open_log
+    groups, write = [], infer.materialize
+
+    def seen(df, name, *args, **more):
+        out = write(df, name, *args, **more)
+        if name.startswith("replies-"):
+            for m in (pq.ParquetFile(f.removeprefix("file://")).metadata for f in out.inputFiles()):
+                groups.extend(m.row_group(i).num_rows for i in range(m.num_row_groups))
+        return out
+
+    monkeypatch.setattr(infer, "materialize", seen)
+    src, log, ckpt = (str(tmp_path / x) for x in ("src", "log", "ckpt"))
+    write_docs(src, {"a.json.json": nested([{"secondaryKey": f"k{i}", "femaleVariant": f"t{i}"} for i in range(400)])})
+    for failing in (lambda r: r["batch_id"] % 2 == 0, lambda r: False):
+        run_incremental(spark, src, log, ckpt, pipeline.failing_translator(failing), "E", "K", batch_size=1,
+                        backoff_base=0, log_buckets=log_buckets)
+    assert sum(groups) == 600 and max(groups) <= infer.REPLIES_AT_ONCE
+    rows = open_log(spark, log).read()
+    assert sorted(r.translated_text for r in rows.collect()) == sorted(f"[xx] t{i}" for i in range(400))
