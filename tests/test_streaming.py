@@ -72,7 +72,7 @@ def test_what_waits_is_taken_from_the_failed_batches(spark, tmp_path):
         ("femaleVariant", "t-a"), ("femaleVariant", "t-b"), ("maleVariant", "t-b")]
 
 
-@pytest.mark.parametrize("log_buckets", [None])
+@pytest.mark.parametrize("log_buckets", [None, 4])
 def test_a_micro_batch_reads_few_replies_at_once(spark, tmp_path, monkeypatch, log_buckets):
     """The log is appended from replies in small row groups (a scan decodes one whole group of up
     to 4,096 rows), at the start that fails for half of the batches and at the next one."""
